@@ -20,7 +20,7 @@ def change_rows(table: str, types: Iterable[str] | None = None, database: str |
 
 
 def _project(df: DataFrame, columns: Iterable[str], keep: Iterable[str]) -> DataFrame:
-    return df.select(*[F.col("data")[c].alias(c) for c in columns], *keep)
+    return df.selectExpr(*[f"data['{c}'] AS `{c}`" for c in columns], *keep)
 
 
 def cdc_select(

@@ -30,3 +30,35 @@ def split_log(df: DataFrame) -> dict[str, DataFrame]:
         "display": items("display"),
         "action": items("action"),
     }
+
+
+def log_rows(df: DataFrame) -> DataFrame:
+    """The same five kinds of rows in one table and one pass, for ``write.partitionBy("kind")``.
+
+    Columns: kind, item (the display or action, as JSON text), err, start, common, page, ts. Columns
+    that a kind does not have are null.
+    """
+    carried = [c for c in df.columns if c not in ("err", "start", "display", "action", "page", "common", "ts")]
+    is_page = F.col("start").isNull()
+
+    def one(kind: str, cond):
+        row = F.struct(F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("item"), F.col("ts").alias("ts"))
+        return F.when(cond, F.array(row)).otherwise(F.array())
+
+    def many(kind: str):
+        has_ts = "ts" in df.schema[kind].dataType.elementType.names
+        rows = F.transform(kind, lambda i: F.struct(
+            F.lit(kind).alias("kind"), F.to_json(i).alias("item"),
+            (F.coalesce(i["ts"], F.col("ts")) if has_ts else F.col("ts")).alias("ts"),
+        ))
+        return F.when(is_page & F.col(kind).isNotNull(), rows).otherwise(F.array())
+
+    kinds = F.concat(
+        one("error", F.col("err").isNotNull()), one("start", ~is_page), one("page", is_page), many("display"), many("action")
+    )
+    rows = df.select(F.explode(kinds).alias("_k"), *[c for c in df.columns if c not in ("display", "action", "ts")])
+    kind = F.col("_k.kind")
+    return rows.select(
+        kind.alias("kind"), "_k.item", F.when(kind == "error", F.col("err")).alias("err"),
+        F.when(kind.isin("start", "error"), F.col("start")).alias("start"), "common", "page", "_k.ts", *carried,
+    )

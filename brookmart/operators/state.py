@@ -46,17 +46,19 @@ def latest_by_key(df: DataFrame, keys, newest: Iterable) -> DataFrame:
 
 
 def first_state(df: DataFrame, key: str, ts: str, flag: str, tiebreak: Iterable = ()) -> DataFrame:
-    """(key, first_day): the day a device counts as new.
+    """(key, first_day, rows): the day a device counts as new, and its number of rows.
 
     It is the day of the first row if that row says it is new, and the day before it otherwise.
     """
-    slim = df.select(
-        as_col(key).alias("_key"), F.col(ts).alias("_ts"), as_col(flag).alias("_flag"),
-        *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tiebreak)],
-    ).where(F.col("_key").isNotNull())
-    first = first_by(slim, "_key", ["_ts", *[f"_t{i}" for i, _ in enumerate(tiebreak)]])
-    day = F.when(F.col("_flag") == "1", F.to_date("_ts")).otherwise(F.to_date(F.col("_ts") - F.expr("INTERVAL 24 HOURS")))
-    return first.select("_key", day.alias("first_day"))
+    first = F.min(F.struct(F.col(ts).alias("ts"), *tiebreak, as_col(flag).alias("flag")))
+    per_key = (
+        df.where(as_col(key).isNotNull())
+        .groupBy(as_col(key).alias("_key"))
+        .agg(first.alias("_f"), F.count("*").alias("rows"))
+    )
+    new = F.to_date("_f.ts")
+    day = F.when(F.col("_f.flag") == "1", new).otherwise(F.to_date(F.col("_f.ts") - F.expr("INTERVAL 24 HOURS")))
+    return per_key.select("_key", day.alias("first_day"), "rows")
 
 
 def repair_is_new(
@@ -70,14 +72,15 @@ def repair_is_new(
 ) -> DataFrame:
     """Set a device's 'new' flag to '0' on every day but its first. ``flag`` may be a struct field.
 
-    ``state`` (key, first_day) replaces the state computed from ``df`` itself. The state is joined
+    ``state`` (_key, first_day) replaces the state computed from ``df`` itself. The state is joined
     back with hot devices split into slots.
     """
+    count = None
     if state is None:
-        state = first_state(df, key, ts, flag, tiebreak)
+        state, count = first_state(df, key, ts, flag, tiebreak), "rows"
     columns = df.columns
     keyed = df.withColumn("_key", as_col(key))
-    joined = split_hot_join(keyed, state, "_key", "left", rows_per_split)
+    joined = split_hot_join(keyed, state, "_key", "left", rows_per_split, count=count)
     stale = (as_col(flag) == "1") & (F.to_date(ts) != F.col("first_day"))
     return assign(joined, flag, F.when(stale, F.lit("0")).otherwise(as_col(flag))).select(*columns)
 

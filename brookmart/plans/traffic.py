@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from brookmart.functions.dates import event_time
 from brookmart.functions.text import tokenize
 from brookmart.operators import (
-    bounces, first_by, first_per_day, measures, repair_is_new, split_log, tumble,
+    bounces, first_by, first_per_day, log_rows, measures, repair_is_new, split_log, tumble,
 )
 
 HOME, DETAIL = "home", "good_detail"
@@ -19,11 +19,21 @@ def with_event_time(logs: DataFrame, watermark: str | None = None) -> DataFrame:
     return out.withWatermark("et", watermark) if watermark and logs.isStreaming else out
 
 
+def repaired_logs(logs: DataFrame, tiebreak=(), state: DataFrame | None = None) -> DataFrame:
+    """Logs with the new-visitor flag put right."""
+    return repair_is_new(with_event_time(logs), "common.mid", "et", "common.is_new", tiebreak, state).drop("et")
+
+
 def log_split(logs: DataFrame, tiebreak=(), state: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Repair the new-visitor flag, then split the log. Stream: live.log_split."""
-    timed = with_event_time(logs)
-    repaired = repair_is_new(timed, "common.mid", "et", "common.is_new", tiebreak, state).drop("et")
-    return split_log(repaired)
+    """Repair the new-visitor flag, then split the log by kind. Stream: live.log_split.
+
+    To write all kinds at once use ``log_split_rows``, which reads the log once.
+    """
+    return split_log(repaired_logs(logs, tiebreak, state))
+
+
+def log_split_rows(logs: DataFrame, tiebreak=(), state: DataFrame | None = None) -> DataFrame:
+    return log_rows(repaired_logs(logs, tiebreak, state))
 
 
 def visit_starts(pages: DataFrame) -> DataFrame:

@@ -39,11 +39,23 @@ def _split(s, d):
 
 
 def log_split_counts(s, d):
-    out = None
-    for name, rows in _split(s, d).items():
-        part = rows.select(F.lit(name).alias("kind"), F.col("common.is_new").alias("is_new"))
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy("kind", "is_new").agg(F.count("*").alias("n"))
+    good, _ = read_log(samples.log_texts(s, d))
+    rows = traffic.log_split_rows(good, ["seq"])
+    return rows.groupBy("kind", F.col("common.is_new").alias("is_new")).agg(F.count("*").alias("n"))
+
+
+def log_pages(s, d):
+    return _split(s, d)["page"].select("seq", "common.mid", "common.is_new", "page.page_id", "page.last_page_id", "ts")
+
+
+def log_errors(s, d):
+    return _split(s, d)["error"].select(
+        "seq", "common.mid", "err.error_code", "err.msg", F.col("start").isNotNull().cast("int").alias("on_start"), "ts"
+    )
+
+
+def log_starts(s, d):
+    return _split(s, d)["start"].select("seq", "common.mid", "common.is_new", "start.loading_time", "start.open_ad_id", "ts")
 
 
 def log_displays(s, d):
@@ -279,7 +291,8 @@ def dim_sync(s, d):
 
 
 BATCH = {f.__name__: f for f in (
-    json_props, quarantined_logs, log_split_counts, log_displays, log_actions, changes_by_table, unique_visits,
+    json_props, quarantined_logs, log_split_counts, log_pages, log_errors, log_starts,
+    log_displays, log_actions, changes_by_table, unique_visits,
     bounce_visits, is_new_repair, traffic_by_segment, page_uniques, keyword_counts, keyword_counts_parts,
     users_registered, favourites_added, comments_added, registrations, returning_users, login_activity, cart_adds,
     cart_uniques, order_wide, orders_placed, orders_cancelled, payments_succeeded, order_users, payment_users,

@@ -305,6 +305,16 @@ SELECT kind, is_new, count(*) AS n FROM (
   UNION ALL SELECT 'display', is_new FROM fixed, range({SHOWN}) i
   UNION ALL SELECT 'action', is_new FROM fixed WHERE kind = 'purchase')
 GROUP BY 1, 2""",
+    "log_pages": f"""
+WITH {EV}, {GOOD}, {repaired("good")}
+SELECT seq, mid, is_new, page_id, last_page_id, ts FROM fixed WHERE kind <> 'signup'""",
+    "log_errors": f"""
+WITH {EV}, {GOOD}
+SELECT seq, mid, k AS error_code, 'error ' || k AS msg, (kind = 'signup')::INT AS on_start, ts FROM good
+WHERE kind = 'error' OR (kind = 'signup' AND k % 10 = 0)""",
+    "log_starts": f"""
+WITH {EV}, {GOOD}, {repaired("good")}
+SELECT seq, mid, is_new, k * 10 AS loading_time, k AS open_ad_id, ts FROM fixed WHERE kind = 'signup'""",
     "log_displays": f"""
 WITH {EV}, {GOOD}
 SELECT seq, 'query' AS display_type, (k + i)::VARCHAR AS item, 'sku_id' AS item_type, i AS display_order, k % 5 AS pos_id,

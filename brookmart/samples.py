@@ -12,27 +12,49 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from brookmart import schemas
 from brookmart.functions.dates import DATETIME
 from brookmart.operators.changes import DATABASE
+from brookmart.operators.joins import estimated_bytes
 from brookmart.operators.parse import to_json_value
 
 
+# The columns of the given tables that are read here.
+LAYOUT = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
+
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, with zone-less times as timestamps of the session zone (UTC)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spread_small(spark.read.schema(LAYOUT[name]).parquet(f"{sf_dir}/{name}.parquet"))
     zoneless = [c for c, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
 
-def text(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
-
+def spread_small(df: DataFrame) -> DataFrame:
+    """Hash a table of fewer splits than cores over all cores, by its first column (an id).
 
-def money(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
+    A table of one small file would otherwise be read, and all work up to the next shuffle done, by
+    one task. Tables with enough splits, so any large one, are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = max(len(df.inputFiles()), estimated_bytes(df) // SPLIT_BYTES)
+    return df if splits >= cores else df.repartition(cores, df.columns[0])
 
 
-def datetime(c: str | Column) -> Column:
-    return F.date_format(c, DATETIME)
+def text(c: str | Column) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
 # ---- behaviour logs ---------------------------------------------------------------------------
@@ -137,256 +159,244 @@ def part_search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- change events ----------------------------------------------------------------------------
+# Values are SQL expressions over the table the change comes from.
+
+def _map(values: dict[str, str]) -> str:
+    return "map(" + ", ".join(f"'{name}', cast({value} as string)" for name, value in values.items()) + ")"
+
+
+def _change(rows: DataFrame, name: str, kind: str, time: str, data: dict[str, str],
+            old: dict[str, str] | None = None) -> DataFrame:
+    data = {c: data.get(c, "null") for c in schemas.TABLE_COLUMNS.get(name, list(data))}
+    return rows.selectExpr(
+        f"'{DATABASE}' as database",
+        f"'{name}' as table",
+        f"'{kind}' as type",
+        f"unix_millis({time}) as ts",
+        f"{_map(data)} as data",
+        f"{_map(old) if old else 'cast(null as map<string,string>)'} as old",
+    )
 
-def _map(values: dict[str, Column]) -> Column:
-    pairs = [x for name, v in values.items() for x in (F.lit(name), v.cast("string"))]
-    return F.create_map(*pairs)
 
+def dt(time: str) -> str:
+    return f"date_format({time}, '{DATETIME}')"
 
-def _change(rows: DataFrame, name: str, kind: str | Column, time: Column, data: dict[str, Column],
-            old: dict[str, Column] | None = None) -> DataFrame:
-    data = {c: data.get(c, F.lit(None).cast("string")) for c in schemas.TABLE_COLUMNS.get(name, list(data))}
-    return rows.select(
-        F.lit(DATABASE).alias("database"),
-        F.lit(name).alias("table"),
-        (F.lit(kind) if isinstance(kind, str) else kind).alias("type"),
-        F.unix_millis(time).alias("ts"),
-        _map(data).alias("data"),
-        (_map(old) if old else F.lit(None).cast(schemas.STRING_MAP)).alias("old"),
-    )
+
+def later(time: str, days: int) -> str:
+    return f"{time} + INTERVAL {days} DAYS"
 
 
-def _days(n: int) -> Column:
-    return F.expr(f"INTERVAL {n} DAYS")
+def money(x: str) -> str:
+    return f"cast({x} as decimal(18,2))"
 
 
-def line_id() -> Column:
-    return F.concat_ws("-", "l_orderkey", "l_linenumber")
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber)"
+PRICE, DISCOUNT, TAX = money("l_extendedprice"), "cast(l_discount as decimal(4,2))", "cast(l_tax as decimal(4,2))"
 
 
 def _order_changes(s, d) -> list[DataFrame]:
     o = table(s, d, "orders")
-    t = F.col("o_orderdate")
+    t = "o_orderdate"
 
-    def data(status: str, **more: Column) -> dict[str, Column]:
+    def data(status: str, **more: str) -> dict[str, str]:
         return {
-            "id": text("o_orderkey"), "consignee": F.concat(F.lit("consignee "), F.col("o_custkey")),
-            "total_amount": text(money("o_totalprice")), "order_status": F.lit(status), "user_id": text("o_custkey"),
-            "payment_way": F.substring("o_orderpriority", 1, 1), "out_trade_no": F.concat(F.lit("T"), F.col("o_orderkey")),
-            "create_time": datetime(t), "province_id": text(F.col("o_custkey") % 28),
-            "original_total_amount": text(money("o_totalprice")), **more,
+            "id": "o_orderkey", "consignee": "concat('consignee ', o_custkey)", "total_amount": money("o_totalprice"),
+            "order_status": f"'{status}'", "user_id": "o_custkey", "payment_way": "substring(o_orderpriority, 1, 1)",
+            "out_trade_no": "concat('T', o_orderkey)", "create_time": dt(t), "province_id": "o_custkey % 28",
+            "original_total_amount": money("o_totalprice"), **more,
         }
 
-    def update(rows, status: str, after: int, old: dict[str, Column]) -> DataFrame:
-        return _change(rows, "order_info", "update", t + _days(after), data(status, operate_time=datetime(t + _days(after))), old)
+    def update(rows, status: str, after: int, old: dict[str, str]) -> DataFrame:
+        time = later(t, after)
+        return _change(rows, "order_info", "update", time, data(status, operate_time=dt(time)), old)
 
-    finished, cancelled, open_ = (o.where(F.col("o_orderstatus") == x) for x in "FPO")
+    finished, cancelled, open_ = (o.where(f"o_orderstatus = '{x}'") for x in "FPO")
     return [
         _change(o, "order_info", "insert", t, data("1001")),
-        update(cancelled, "1003", 1, {"order_status": F.lit("1001")}),
-        update(finished, "1005", 2, {"order_status": F.lit("1002")}),
-        update(finished.where(F.col("o_orderkey") % 2 == 0), "1006", 3, {"order_status": F.lit("1005")}),
+        update(cancelled, "1003", 1, {"order_status": "'1001'"}),
+        update(finished, "1005", 2, {"order_status": "'1002'"}),
+        update(finished.where("o_orderkey % 2 = 0"), "1006", 3, {"order_status": "'1005'"}),
         # An update of another column of an order that is cancelled already: not a cancellation.
-        update(open_, "1003", 4, {"consignee_tel": F.lit("0")}),
+        update(open_, "1003", 4, {"consignee_tel": "'0'"}),
     ]
 
 
 def _line_changes(s, d) -> list[DataFrame]:
     l = table(s, d, "lineitem")
-    t = F.col("l_shipdate")
-    price, discount = money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
-    return [_change(l, "order_detail", "insert", t, {
-        "id": line_id(), "order_id": text("l_orderkey"), "sku_id": text("l_partkey"),
-        "sku_name": F.concat(F.lit("sku "), F.col("l_partkey")), "order_price": text(price),
-        "sku_num": text(F.col("l_quantity").cast("int")), "create_time": datetime(t),
-        "source_type": F.concat(F.lit("240"), F.col("l_linenumber") % 3 + 1), "source_id": text("l_suppkey"),
-        "split_total_amount": text(money(price * (1 - discount))),
-        "split_activity_amount": F.when(discount > 0, text(money(price * discount))),
-        "split_coupon_amount": F.when(tax > 0, text(money(price * tax))),
+    return [_change(l, "order_detail", "insert", "l_shipdate", {
+        "id": LINE_ID, "order_id": "l_orderkey", "sku_id": "l_partkey", "sku_name": "concat('sku ', l_partkey)",
+        "order_price": PRICE, "sku_num": "cast(l_quantity as int)", "create_time": dt("l_shipdate"),
+        "source_type": "concat('240', l_linenumber % 3 + 1)", "source_id": "l_suppkey",
+        "split_total_amount": money(f"{PRICE} * (1 - {DISCOUNT})"),
+        "split_activity_amount": f"CASE WHEN {DISCOUNT} > 0 THEN {money(f'{PRICE} * {DISCOUNT}')} END",
+        "split_coupon_amount": f"CASE WHEN {TAX} > 0 THEN {money(f'{PRICE} * {TAX}')} END",
     })]
 
 
 def _activity_changes(s, d) -> list[DataFrame]:
-    l = table(s, d, "lineitem").where(F.col("l_discount") > 0.05)
-    return [_change(l, "order_detail_activity", "insert", F.col("l_shipdate"), {
-        "order_id": text("l_orderkey"), "order_detail_id": line_id(), "sku_id": text("l_partkey"),
-        "activity_id": text(F.col("l_partkey") % 10), "activity_rule_id": text(F.col("l_suppkey") % 10),
-        "create_time": datetime("l_shipdate"),
+    l = table(s, d, "lineitem").where("l_discount > 0.05D")
+    return [_change(l, "order_detail_activity", "insert", "l_shipdate", {
+        "order_id": "l_orderkey", "order_detail_id": LINE_ID, "sku_id": "l_partkey", "activity_id": "l_partkey % 10",
+        "activity_rule_id": "l_suppkey % 10", "create_time": dt("l_shipdate"),
     })]
 
 
 def _coupon_line_changes(s, d) -> list[DataFrame]:
-    l = table(s, d, "lineitem").where(F.col("l_tax") > 0.04)
-    return [_change(l, "order_detail_coupon", "insert", F.col("l_shipdate"), {
-        "order_id": text("l_orderkey"), "order_detail_id": line_id(), "sku_id": text("l_partkey"),
-        "coupon_id": text(F.col("l_partkey") % 7), "coupon_use_id": text(F.col("l_suppkey") % 7),
-        "create_time": datetime("l_shipdate"),
+    l = table(s, d, "lineitem").where("l_tax > 0.04D")
+    return [_change(l, "order_detail_coupon", "insert", "l_shipdate", {
+        "order_id": "l_orderkey", "order_detail_id": LINE_ID, "sku_id": "l_partkey", "coupon_id": "l_partkey % 7",
+        "coupon_use_id": "l_suppkey % 7", "create_time": dt("l_shipdate"),
     })]
 
 
 def _payment_changes(s, d) -> list[DataFrame]:
     o = table(s, d, "orders")
-    t = F.col("o_orderdate")
+    t = "o_orderdate"
 
-    def data(status: str) -> dict[str, Column]:
+    def data(status: str) -> dict[str, str]:
         return {
-            "out_trade_no": F.concat(F.lit("P"), F.col("o_orderkey")), "order_id": text("o_orderkey"),
-            "user_id": text("o_custkey"), "payment_type": F.concat(F.lit("110"), F.substring("o_orderpriority", 1, 1)),
-            "trade_no": F.concat(F.lit("N"), F.col("o_orderkey")), "total_amount": text(money("o_totalprice")),
-            "subject": F.lit("order"), "payment_status": F.lit(status), "create_time": datetime(t),
-            "callback_time": datetime(t + _days(1)),
+            "out_trade_no": "concat('P', o_orderkey)", "order_id": "o_orderkey", "user_id": "o_custkey",
+            "payment_type": "concat('110', substring(o_orderpriority, 1, 1))", "trade_no": "concat('N', o_orderkey)",
+            "total_amount": money("o_totalprice"), "subject": "'order'", "payment_status": f"'{status}'",
+            "create_time": dt(t), "callback_time": dt(later(t, 1)),
         }
 
     return [
         _change(o, "payment_info", "insert", t, data("1001")),
-        _change(o.where("o_orderstatus = 'F'"), "payment_info", "update", t + _days(1), data("1002"),
-                {"payment_status": F.lit("1001")}),
-        _change(o.where("o_orderstatus = 'O'"), "payment_info", "update", t + _days(1), data("1002"),
-                {"subject": F.lit("x")}),
+        _change(o.where("o_orderstatus = 'F'"), "payment_info", "update", later(t, 1), data("1002"),
+                {"payment_status": "'1001'"}),
+        _change(o.where("o_orderstatus = 'O'"), "payment_info", "update", later(t, 1), data("1002"), {"subject": "'x'"}),
     ]
 
 
 def _refund_changes(s, d) -> list[DataFrame]:
     l = table(s, d, "lineitem").where("l_returnflag = 'R'")
-    t = F.col("l_shipdate")
+    t = "l_shipdate"
 
-    def data(status: str) -> dict[str, Column]:
+    def data(status: str) -> dict[str, str]:
         return {
-            "id": line_id(), "user_id": text("l_suppkey"), "order_id": text("l_orderkey"), "sku_id": text("l_partkey"),
-            "refund_type": F.concat(F.lit("150"), F.col("l_linenumber") % 2 + 1),
-            "refund_num": text(F.col("l_quantity").cast("int")), "refund_amount": text(money("l_extendedprice")),
-            "refund_reason_type": F.concat(F.lit("130"), F.col("l_partkey") % 5 + 1),
-            "refund_reason_txt": F.concat(F.lit("reason "), F.col("l_partkey") % 9), "refund_status": F.lit(status),
-            "create_time": datetime(t),
+            "id": LINE_ID, "user_id": "l_suppkey", "order_id": "l_orderkey", "sku_id": "l_partkey",
+            "refund_type": "concat('150', l_linenumber % 2 + 1)", "refund_num": "cast(l_quantity as int)",
+            "refund_amount": PRICE, "refund_reason_type": "concat('130', l_partkey % 5 + 1)",
+            "refund_reason_txt": "concat('reason ', l_partkey % 9)", "refund_status": f"'{status}'", "create_time": dt(t),
         }
 
     return [
         _change(l, "order_refund_info", "insert", t, data("0701")),
-        _change(l.where("l_linestatus = 'F'"), "order_refund_info", "update", t + _days(1), data("0705"),
-                {"refund_status": F.lit("0701")}),
-        _change(l.where("l_linestatus = 'O'"), "order_refund_info", "update", t + _days(1), data("0705"),
-                {"refund_num": F.lit("0")}),
+        _change(l.where("l_linestatus = 'F'"), "order_refund_info", "update", later(t, 1), data("0705"),
+                {"refund_status": "'0701'"}),
+        _change(l.where("l_linestatus = 'O'"), "order_refund_info", "update", later(t, 1), data("0705"),
+                {"refund_num": "'0'"}),
     ]
 
 
 def _refund_payment_changes(s, d) -> list[DataFrame]:
     l = table(s, d, "lineitem").where("l_returnflag = 'R' and l_linestatus = 'F'")
-    t = F.col("l_shipdate")
+    t = "l_shipdate"
 
-    def data(status: str) -> dict[str, Column]:
+    def data(status: str) -> dict[str, str]:
         return {
-            "id": line_id(), "out_trade_no": F.concat(F.lit("R"), F.col("l_orderkey")), "order_id": text("l_orderkey"),
-            "sku_id": text("l_partkey"), "payment_type": F.concat(F.lit("110"), F.col("l_suppkey") % 3 + 1),
-            "trade_no": F.concat(F.lit("RN"), F.col("l_orderkey")), "total_amount": text(money("l_extendedprice")),
-            "subject": F.lit("refund"), "refund_status": F.lit(status), "create_time": datetime(t),
-            "callback_time": datetime(t + _days(2)),
+            "id": LINE_ID, "out_trade_no": "concat('R', l_orderkey)", "order_id": "l_orderkey", "sku_id": "l_partkey",
+            "payment_type": "concat('110', l_suppkey % 3 + 1)", "trade_no": "concat('RN', l_orderkey)",
+            "total_amount": PRICE, "subject": "'refund'", "refund_status": f"'{status}'", "create_time": dt(t),
+            "callback_time": dt(later(t, 2)),
         }
 
     return [
         _change(l, "refund_payment", "insert", t, data("0701")),
-        _change(l, "refund_payment", "update", t + _days(2), data("0705"), {"refund_status": F.lit("0701")}),
+        _change(l, "refund_payment", "update", later(t, 2), data("0705"), {"refund_status": "'0701'"}),
     ]
 
 
 def _cart_changes(s, d) -> list[DataFrame]:
     l = table(s, d, "lineitem")
-    t = F.col("l_shipdate")
+    t = "l_shipdate"
 
-    def data(**more: Column) -> dict[str, Column]:
+    def data(**more: str) -> dict[str, str]:
         return {
-            "id": line_id(), "user_id": text(F.col("l_orderkey") % 500), "sku_id": text("l_partkey"),
-            "cart_price": text(money("l_extendedprice")), "sku_num": text(F.col("l_quantity").cast("int")),
-            "sku_name": F.concat(F.lit("sku "), F.col("l_partkey")), "is_checked": F.lit("1"), "create_time": datetime(t),
-            "is_ordered": F.lit("0"), "source_type": F.concat(F.lit("240"), F.col("l_linenumber") % 4 + 1),
-            "source_id": text("l_suppkey"), **more,
+            "id": LINE_ID, "user_id": "l_orderkey % 500", "sku_id": "l_partkey", "cart_price": PRICE,
+            "sku_num": "cast(l_quantity as int)", "sku_name": "concat('sku ', l_partkey)", "is_checked": "'1'",
+            "create_time": dt(t), "is_ordered": "'0'", "source_type": "concat('240', l_linenumber % 4 + 1)",
+            "source_id": "l_suppkey", **more,
         }
 
     added, changed = l.where("l_linestatus = 'O'"), l.where("l_linestatus = 'F'")
-    later = {"operate_time": datetime(t + _days(1))}
+    day_after = data(operate_time=dt(later(t, 1)))
     return [
         _change(added, "cart_info", "insert", t, data()),
-        _change(changed.where("l_partkey % 3 <> 0"), "cart_info", "update", t + _days(1), data(**later),
-                {"sku_num": text(F.col("l_linenumber") * 7)}),
-        _change(changed.where("l_partkey % 3 = 0"), "cart_info", "update", t + _days(1), data(**later),
-                {"is_checked": F.lit("0")}),
+        _change(changed.where("l_partkey % 3 <> 0"), "cart_info", "update", later(t, 1), day_after,
+                {"sku_num": "l_linenumber * 7"}),
+        _change(changed.where("l_partkey % 3 = 0"), "cart_info", "update", later(t, 1), day_after, {"is_checked": "'0'"}),
     ]
 
 
 def _coupon_changes(s, d) -> list[DataFrame]:
     o = table(s, d, "orders")
-    t = F.col("o_orderdate")
+    t = "o_orderdate"
 
-    def data(status: str, **more: Column) -> dict[str, Column]:
+    def data(status: str, **more: str) -> dict[str, str]:
         return {
-            "id": text("o_orderkey"), "coupon_id": text(F.col("o_custkey") % 20), "user_id": text("o_custkey"),
-            "order_id": text("o_orderkey"), "coupon_status": F.lit(status), "create_time": datetime(t),
-            "get_time": datetime(t), "expire_time": datetime(t + _days(30)), **more,
+            "id": "o_orderkey", "coupon_id": "o_custkey % 20", "user_id": "o_custkey", "order_id": "o_orderkey",
+            "coupon_status": f"'{status}'", "create_time": dt(t), "get_time": dt(t), "expire_time": dt(later(t, 30)), **more,
         }
 
     return [
         _change(o, "coupon_use", "insert", t, data("1401")),
-        _change(o.where("o_orderstatus <> 'P'"), "coupon_use", "update", t + _days(1),
-                data("1402", using_time=datetime(t + _days(1))), {"coupon_status": F.lit("1401")}),
-        _change(o.where("o_orderstatus = 'F'"), "coupon_use", "update", t + _days(2),
-                data("1403", used_time=datetime(t + _days(2))), {"coupon_status": F.lit("1402")}),
-        _change(o.where("o_orderstatus = 'P'"), "coupon_use", "update", t + _days(3), data("1403"),
-                {"expire_time": datetime(t)}),
+        _change(o.where("o_orderstatus <> 'P'"), "coupon_use", "update", later(t, 1),
+                data("1402", using_time=dt(later(t, 1))), {"coupon_status": "'1401'"}),
+        _change(o.where("o_orderstatus = 'F'"), "coupon_use", "update", later(t, 2),
+                data("1403", used_time=dt(later(t, 2))), {"coupon_status": "'1402'"}),
+        _change(o.where("o_orderstatus = 'P'"), "coupon_use", "update", later(t, 3), data("1403"), {"expire_time": dt(t)}),
     ]
 
 
 def _favour_changes(s, d) -> list[DataFrame]:
     e = table(s, d, "events")
     data = {
-        "id": text("event_id"), "user_id": text("user_id"), "sku_id": text(F.col("event_id") % 200),
-        "spu_id": text(F.col("event_id") % 20), "is_cancel": F.lit("0"), "create_time": datetime("ts"),
+        "id": "event_id", "user_id": "user_id", "sku_id": "event_id % 200", "spu_id": "event_id % 20", "is_cancel": "'0'",
+        "create_time": dt("ts"),
     }
     return [
-        _change(e.where("event_type = 'click'"), "favor_info", "insert", F.col("ts"), data),
-        _change(e.where("event_type = 'purchase'"), "favor_info", "update", F.col("ts"),
-                {**data, "is_cancel": F.lit("1"), "cancel_time": datetime("ts")}, {"is_cancel": F.lit("0")}),
+        _change(e.where("event_type = 'click'"), "favor_info", "insert", "ts", data),
+        _change(e.where("event_type = 'purchase'"), "favor_info", "update", "ts",
+                {**data, "is_cancel": "'1'", "cancel_time": dt("ts")}, {"is_cancel": "'0'"}),
     ]
 
 
 def _comment_changes(s, d) -> list[DataFrame]:
-    c = table(s, d, "documents")
-    t = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id"))
-    return [_change(c, "comment_info", "insert", t, {
-        "id": text("doc_id"), "user_id": text(F.col("doc_id") % 150), "nick_name": F.col("source"),
-        "sku_id": text(F.col("doc_id") % 200), "spu_id": text(F.col("doc_id") % 20), "order_id": text(F.col("doc_id") % 999),
-        "appraise": F.concat(F.lit("120"), F.col("doc_id") % 5 + 1), "comment_txt": F.col("text"), "create_time": datetime(t),
+    t = "timestamp_seconds(1704067200 + doc_id)"
+    return [_change(table(s, d, "documents"), "comment_info", "insert", t, {
+        "id": "doc_id", "user_id": "doc_id % 150", "nick_name": "source", "sku_id": "doc_id % 200", "spu_id": "doc_id % 20",
+        "order_id": "doc_id % 999", "appraise": "concat('120', doc_id % 5 + 1)", "comment_txt": "text", "create_time": dt(t),
     })]
 
 
 def _user_changes(s, d) -> list[DataFrame]:
     c = table(s, d, "customer")
-    t = F.timestamp_seconds(F.lit(1704067200) + F.col("c_custkey") * 97)
+    t = "timestamp_seconds(1704067200 + c_custkey * 97)"
     data = {
-        "id": text("c_custkey"), "login_name": F.lower("c_name"), "nick_name": F.col("c_mktsegment"), "name": F.col("c_name"),
-        "user_level": text(F.col("c_nationkey") % 3), "gender": F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M"),
-        "create_time": datetime(t),
+        "id": "c_custkey", "login_name": "lower(c_name)", "nick_name": "c_mktsegment", "name": "c_name",
+        "user_level": "c_nationkey % 3", "gender": "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END", "create_time": dt(t),
     }
-    changed = {**data, "nick_name": F.concat(F.lit("new "), F.col("c_mktsegment")), "operate_time": datetime(t + _days(1))}
+    changed = {**data, "nick_name": "concat('new ', c_mktsegment)", "operate_time": dt(later(t, 1))}
     return [
         _change(c, "user_info", "insert", t, data),
-        _change(c.where("c_custkey % 2 = 0"), "user_info", "update", t + _days(1), changed,
-                {"nick_name": F.col("c_mktsegment")}),
-        _change(c.where("c_custkey % 10 = 0"), "user_info", "delete", t + _days(2), data),
+        _change(c.where("c_custkey % 2 = 0"), "user_info", "update", later(t, 1), changed, {"nick_name": "c_mktsegment"}),
+        _change(c.where("c_custkey % 10 = 0"), "user_info", "delete", later(t, 2), data),
     ]
 
 
 def _sku_changes(s, d) -> list[DataFrame]:
     p = table(s, d, "part")
-    t = F.timestamp_seconds(F.lit(1704067200) + F.col("p_partkey"))
+    t = "timestamp_seconds(1704067200 + p_partkey)"
     data = {
-        "id": text("p_partkey"), "sku_name": F.col("p_name"), "price": text(money("p_retailprice")),
-        "category3_id": text("p_size"), "tm_id": F.substring_index("p_brand", "#", -1),
-        "spu_id": text(F.col("p_partkey") % 50),
+        "id": "p_partkey", "sku_name": "p_name", "price": money("p_retailprice"), "category3_id": "p_size",
+        "tm_id": "substring_index(p_brand, '#', -1)", "spu_id": "p_partkey % 50",
     }
     return [
         _change(p, "sku_info", "bootstrap-insert", t, data),
-        _change(p.where("p_partkey % 4 = 0"), "sku_info", "update", t + _days(1),
-                {**data, "sku_name": F.concat(F.col("p_name"), F.lit(" v2"))}, {"sku_name": F.col("p_name")}),
+        _change(p.where("p_partkey % 4 = 0"), "sku_info", "update", later(t, 1),
+                {**data, "sku_name": "concat(p_name, ' v2')"}, {"sku_name": "p_name"}),
     ]
 
 
