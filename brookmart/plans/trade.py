@@ -105,17 +105,25 @@ def payments_succeeded(
     return lookup(rows, codes, "payment_type", "dic_code", {"payment_type_name": "dic_name"})
 
 
-def user_firsts(df: DataFrame, key: str, ts: str, tiebreak=()) -> DataFrame:
-    """One row per user and day: (key, ts, day_ct = 1, new_ct = 1 on the user's first row ever).
+def user_firsts(df: DataFrame, key: str, ts: str, tiebreak=(), known: DataFrame | None = None) -> DataFrame:
+    """One row per user and day: (key, day, ts, day_ct = 1, new_ct = 1 on the user's first day ever).
 
-    The second step runs over a user's days, of which there are at most one per calendar day.
+    ``known`` (key, day) holds days of earlier batches; they are not emitted again. The second step
+    runs over a user's days, of which there is at most one per calendar day.
     Stream: live.user_firsts.
     """
     days = first_per_day(df.where(F.col(key).isNotNull()), key, ts, tiebreak)
+    days = days.select(key, F.to_date(ts).alias("day"), ts)
+    if known is not None:
+        days = days.join(known.select(key, "day"), [key, "day"], "left_anti")
     order = Window.partitionBy(key).orderBy(ts)
-    ranked = days.select(key, ts).withColumn("_rn", F.row_number().over(order))
-    return ranked.select(
-        key, ts, F.lit(1).cast("long").alias("day_ct"), F.when(F.col("_rn") == 1, 1).otherwise(0).cast("long").alias("new_ct")
+    new = F.row_number().over(order) == 1
+    if known is not None:
+        past = known.select(key).distinct().withColumn("_past", F.lit(True))
+        days = days.join(past, key, "left")
+        new = new & F.col("_past").isNull()
+    return days.withColumn("_new", new).select(
+        key, "day", ts, F.lit(1).cast("long").alias("day_ct"), F.col("_new").cast("long").alias("new_ct")
     )
 
 
@@ -131,11 +139,16 @@ def payment_users(firsts: DataFrame, ts: str = "et", size: str = "2 seconds", wa
     return tumble(firsts, ts, size, [], aggs, watermark)
 
 
+# The newest version comes first; versions of equal time are told apart by their columns.
+LINE_VERSION = [
+    "change_ts", "ts", "sku_id", "order_price", "sku_num", "split_total_amount", "split_activity_amount",
+    "split_coupon_amount", "activity_id", "coupon_id",
+]
+
+
 def newest_lines(placed: DataFrame) -> DataFrame:
-    """The newest version per order line. Versions of equal time are told apart by their columns."""
-    order = ["change_ts", "ts", "sku_id", "order_price", "sku_num", "split_total_amount",
-             "split_activity_amount", "split_coupon_amount", "activity_id", "coupon_id"]
-    return latest_by_key(placed, "id", order)
+    """The newest version per order line. Stream: live.newest_lines."""
+    return latest_by_key(placed, "id", LINE_VERSION)
 
 
 def sku_chain(dims: dict[str, DataFrame]) -> list[Step]:

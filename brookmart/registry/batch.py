@@ -17,7 +17,7 @@ BOUNCE = "6 hours"
 
 
 def _pages(s: SparkSession, d: str) -> DataFrame:
-    return traffic.with_event_time(samples.pages(s, d))
+    return traffic.with_event_time(samples.pages(samples.reader(s, d)))
 
 
 # ---- parsing and logs --------------------------------------------------------------------------
@@ -29,17 +29,17 @@ def json_props(s, d):
 
 
 def quarantined_logs(s, d):
-    good, bad = read_log(samples.log_texts(s, d))
+    good, bad = read_log(samples.log_texts(samples.reader(s, d)))
     return good.select("seq", F.lit("good").alias("verdict")).unionByName(bad.select("seq", F.lit("bad").alias("verdict")))
 
 
 def _split(s, d):
-    good, _ = read_log(samples.log_texts(s, d))
+    good, _ = read_log(samples.log_texts(samples.reader(s, d)))
     return traffic.log_split(good, ["seq"])
 
 
 def log_split_counts(s, d):
-    good, _ = read_log(samples.log_texts(s, d))
+    good, _ = read_log(samples.log_texts(samples.reader(s, d)))
     rows = traffic.log_split_rows(good, ["seq"])
     return rows.groupBy("kind", F.col("common.is_new").alias("is_new")).agg(F.count("*").alias("n"))
 
@@ -73,7 +73,7 @@ def log_actions(s, d):
 
 def changes_by_table(s, d):
     """All change events, through their JSON text."""
-    rows = read_changes(samples.change_texts(s, d))
+    rows = read_changes(samples.change_texts(samples.reader(s, d)))
     return rows.groupBy("table", "type").agg(
         F.count("*").alias("n"), F.sum("ts").alias("ts_sum"), F.count(F.col("old")).alias("with_old")
     )
@@ -111,25 +111,25 @@ def page_uniques(s, d):
 
 
 def keyword_counts(s, d):
-    return traffic.keyword_counts(traffic.with_event_time(samples.search_pages(s, d)), "1 minute")
+    return traffic.keyword_counts(traffic.with_event_time(samples.search_pages(samples.reader(s, d))), "1 minute")
 
 
 def keyword_counts_parts(s, d):
-    return traffic.keyword_counts(traffic.with_event_time(samples.part_search_pages(s, d)), MONTH)
+    return traffic.keyword_counts(traffic.with_event_time(samples.part_search_pages(samples.reader(s, d))), MONTH)
 
 
 # ---- users -------------------------------------------------------------------------------------
 
 def users_registered(s, d):
-    return users.users_registered(samples.changes(s, d, "user_info"))
+    return users.users_registered(samples.changes(samples.reader(s, d), "user_info"))
 
 
 def favourites_added(s, d):
-    return users.favourites_added(samples.changes(s, d, "favor_info"))
+    return users.favourites_added(samples.changes(samples.reader(s, d), "favor_info"))
 
 
 def comments_added(s, d):
-    return users.comments_added(samples.changes(s, d, "comment_info"), samples.codes(s))
+    return users.comments_added(samples.changes(samples.reader(s, d), "comment_info"), samples.codes(s))
 
 
 def registrations(s, d):
@@ -148,7 +148,7 @@ def login_activity(s, d):
 # ---- trade -------------------------------------------------------------------------------------
 
 def cart_adds(s, d):
-    return trade.cart_adds(samples.changes(s, d, "cart_info"), samples.codes(s))
+    return trade.cart_adds(samples.changes(samples.reader(s, d), "cart_info"), samples.codes(s))
 
 
 def cart_uniques(s, d):
@@ -159,7 +159,7 @@ _WIDE = ("order_info", "order_detail", "order_detail_activity", "order_detail_co
 
 
 def _wide(s, d):
-    return trade.order_wide(samples.changes(s, d, *_WIDE), samples.codes(s))
+    return trade.order_wide(samples.changes(samples.reader(s, d), *_WIDE), samples.codes(s))
 
 
 def order_wide(s, d):
@@ -175,7 +175,7 @@ def orders_cancelled(s, d):
 
 
 def payments_succeeded(s, d):
-    return trade.payments_succeeded(samples.changes(s, d, "payment_info"), orders_placed(s, d), samples.codes(s))
+    return trade.payments_succeeded(samples.changes(samples.reader(s, d), "payment_info"), orders_placed(s, d), samples.codes(s))
 
 
 def order_users(s, d):
@@ -203,25 +203,25 @@ def sku_orders_dedup(s, d):
 
 
 def province_orders(s, d):
-    return trade.province_orders(samples.changes(s, d, "order_info"), samples.dims(s, d)["base_province"], MONTH)
+    return trade.province_orders(samples.changes(samples.reader(s, d), "order_info"), samples.dims(s, d)["base_province"], MONTH)
 
 
 # ---- coupons and refunds -----------------------------------------------------------------------
 
 def coupons_received(s, d):
-    return coupons.coupons_received(samples.changes(s, d, "coupon_use"))
+    return coupons.coupons_received(samples.changes(samples.reader(s, d), "coupon_use"))
 
 
 def coupons_ordered(s, d):
-    return coupons.coupons_ordered(samples.changes(s, d, "coupon_use"))
+    return coupons.coupons_ordered(samples.changes(samples.reader(s, d), "coupon_use"))
 
 
 def coupons_paid(s, d):
-    return coupons.coupons_paid(samples.changes(s, d, "coupon_use"))
+    return coupons.coupons_paid(samples.changes(samples.reader(s, d), "coupon_use"))
 
 
 def _refunds_wide(s, d):
-    return refunds.refund_requests_wide(samples.changes(s, d, "order_refund_info"), orders_placed(s, d), samples.codes(s))
+    return refunds.refund_requests_wide(samples.changes(samples.reader(s, d), "order_refund_info"), orders_placed(s, d), samples.codes(s))
 
 
 def refund_requests_wide(s, d):
@@ -229,16 +229,16 @@ def refund_requests_wide(s, d):
 
 
 def refund_requests(s, d):
-    return refunds.refund_requests(samples.changes(s, d, "order_refund_info", "order_info"), samples.codes(s))
+    return refunds.refund_requests(samples.changes(samples.reader(s, d), "order_refund_info", "order_info"), samples.codes(s))
 
 
 def refunds_paid_wide(s, d):
-    return refunds.refunds_paid_wide(samples.changes(s, d, "refund_payment"), _refunds_wide(s, d), samples.codes(s))
+    return refunds.refunds_paid_wide(samples.changes(samples.reader(s, d), "refund_payment"), _refunds_wide(s, d), samples.codes(s))
 
 
 def refunds_paid(s, d):
     return refunds.refunds_paid(
-        samples.changes(s, d, "refund_payment", "order_info", "order_refund_info"), samples.codes(s)
+        samples.changes(samples.reader(s, d), "refund_payment", "order_info", "order_refund_info"), samples.codes(s)
     )
 
 
@@ -275,14 +275,14 @@ def first_orders(s, d):
 
 
 def latest_order_status(s, d):
-    rows = samples.changes(s, d, "order_info")
+    rows = samples.changes(samples.reader(s, d), "order_info")
     rows = rows.select(F.col("data")["id"].alias("id"), F.col("data")["order_status"].alias("order_status"), "ts")
     return latest_by_key(rows, "id", ["ts"])
 
 
 def dim_sync(s, d):
     synced = dimensions.dim_sync(
-        samples.changes(s, d, "user_info", "sku_info", "order_info"), latest_config(samples.config_events(s, d))
+        samples.changes(samples.reader(s, d), "user_info", "sku_info", "order_info"), latest_config(samples.config_events(s, d))
     )
     return synced.select(
         "sink_table", "pk", F.size("data").cast("long").alias("n_columns"),

@@ -455,3 +455,50 @@ UNION ALL
 SELECT 'dim_sku_info', p_partkey::VARCHAR, 5, CASE WHEN p_partkey % 4 = 0 THEN p_name || ' v2' ELSE p_name END,
        (1704067200 + p_partkey + CASE WHEN p_partkey % 4 = 0 THEN 86400 ELSE 0 END) * 1000 FROM part""",
 }
+
+# ---- streams -----------------------------------------------------------------------------------
+
+_LINE_MARK = f"(SELECT max(epoch_ms(l_shipdate)) - 2000 FROM lineitem)"
+
+STREAM_ORACLES = {
+    "live_unique_visits": f"""
+WITH {EV} SELECT DISTINCT mid, strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS day FROM ev WHERE last_page_id IS NULL""",
+    "live_bounce_visits": f"""
+WITH {EV}, {BOUNCES} SELECT mid, ch, ts, seq FROM uj WHERE ts + 21600000 <= (SELECT max(ts) - 5000 FROM ev)""",
+    "live_page_uniques": f"""
+WITH {EV}, v AS (SELECT DISTINCT mid, page_id, ts // 86400000 AS day FROM ev WHERE page_id IN ('home', 'good_detail'))
+SELECT {win("day * 86400000", DAY)}, sum(CASE WHEN page_id = 'home' THEN 1 ELSE 0 END)::BIGINT AS home_uv_ct,
+       sum(CASE WHEN page_id = 'good_detail' THEN 1 ELSE 0 END)::BIGINT AS good_detail_uv_ct
+FROM v WHERE day < (SELECT max(day) FROM v) GROUP BY 1, 2""",
+    "live_keyword_counts": f"""
+SELECT * FROM ({ORACLES["keyword_counts"]})
+WHERE edt <= strftime(make_timestamp((1704067200 - 2 + (SELECT max(doc_id) FROM documents)) * 1000000), {DT})""",
+    "live_log_split_counts": ORACLES["log_split_counts"],
+    "live_returning_users": ORACLES["returning_users"],
+    "live_order_users": users_sql(
+        "rows_ AS (SELECT o_custkey AS user_id, epoch_ms(o_orderdate) AS t0 FROM orders)", "t0",
+        "order_unique_user_count", "order_new_user_count"),
+    "live_province_orders": f"""
+SELECT * FROM ({ORACLES["province_orders"]})
+WHERE edt <= (SELECT strftime(max(o_orderdate) - INTERVAL 2 SECOND, {DT}) FROM orders)""",
+    "live_registrations": f"""
+SELECT * FROM ({ORACLES["registrations"]}) WHERE edt <= (SELECT strftime(max({_USER_T}) - INTERVAL 2 SECOND, {DT}) FROM customer)""",
+    "live_cart_adds": ORACLES["cart_adds"],
+    "live_sku_order_lines": f"""
+WITH {LINES}, {DIMS}, a AS (SELECT sku_id, order_id, ts, {_LINE_AMOUNTS} FROM line)
+SELECT {win("ts", YEAR)}, sku_id, trademark_name, count(DISTINCT order_id) AS order_count,
+       cast(sum(original_amount) AS DOUBLE) AS original_amount, cast(sum(order_amount) AS DOUBLE) AS order_amount
+FROM a LEFT JOIN sku_dim ON sku_id = sku_dim.id LEFT JOIN tm_dim ON trademark_id = tm_dim.id
+WHERE (ts // {YEAR * 1000} + 1) * {YEAR * 1000} <= {_LINE_MARK} GROUP BY 1, 2, 3, 4""",
+    "live_refunds_paid": ORACLES["refunds_paid"],
+    "live_orders_placed": f"""
+WITH {WIDE}
+SELECT id, order_id, sku_id, user_id, activity_id, coupon_id, split_total_amount, source_name FROM placed
+WHERE activity_id IS NOT NULL AND coupon_id IS NOT NULL""",
+    "live_interval_pairs": ORACLES["interval_pairs"],
+    "live_dim_sync": """
+SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 2 = 0 THEN 'new ' || c_mktsegment ELSE c_mktsegment END AS name,
+       (c_nationkey % 3)::VARCHAR AS attribute FROM customer
+UNION ALL SELECT p_partkey::VARCHAR, CASE WHEN p_partkey % 4 = 0 THEN p_name || ' v2' ELSE p_name END,
+       (p_partkey % 50)::VARCHAR FROM part""",
+}

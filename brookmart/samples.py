@@ -7,6 +7,8 @@ every order, line, customer or document a change row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brookmart import schemas
@@ -34,10 +36,31 @@ LAYOUT = {
 SPLIT_BYTES = 128 * 1024 * 1024
 
 
+Reader = Callable[[str], DataFrame]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, with zone-less times as timestamps of the session zone (UTC)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = spread_small(spark.read.schema(LAYOUT[name]).parquet(f"{sf_dir}/{name}.parquet"))
+    return _zoned(spread_small(spark.read.schema(LAYOUT[name]).parquet(f"{sf_dir}/{name}.parquet")))
+
+
+def reader(spark: SparkSession, sf_dir: str) -> Reader:
+    return lambda name: table(spark, sf_dir, name)
+
+
+def stream_reader(spark: SparkSession, sf_dir: str) -> Reader:
+    """The given tables as streams."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+    def read(name: str) -> DataFrame:
+        files = spark.readStream.schema(LAYOUT[name]).option("pathGlobFilter", f"{name}.parquet")
+        return _zoned(files.parquet(sf_dir))
+
+    return read
+
+
+def _zoned(df: DataFrame) -> DataFrame:
     zoneless = [c for c, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
@@ -59,9 +82,9 @@ def text(c: str | Column) -> Column:
 
 # ---- behaviour logs ---------------------------------------------------------------------------
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def logs(read: Reader) -> DataFrame:
     """One behaviour log per event, plus ``seq``, its arrival number."""
-    e = table(spark, sf_dir, "events")
+    e = read("events")
     kind = F.col("event_type")
     k = F.get_json_object("props", "$.k").cast("long")
 
@@ -117,17 +140,17 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_texts(read: Reader) -> DataFrame:
     """The logs as JSON text; one in 25 is cut off and so malformed."""
-    rows = logs(spark, sf_dir)
+    rows = logs(read)
     whole = rows.select("seq", F.to_json(F.struct(*[c for c in rows.columns if c != "seq"])).alias("v"))
     cut = F.when(F.col("seq") % 25 == 0, F.expr("left(v, length(v) - 5)")).otherwise(F.col("v"))
     return whole.select("seq", cut.alias("value"))
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pages(read: Reader) -> DataFrame:
     """The page log: every event as a page row (also sign-ups, as views of the login page)."""
-    e = logs(spark, sf_dir)
+    e = logs(read)
     login = F.struct(
         F.lit(0).cast("long").alias("during_time"), F.lit("login").alias("last_page_id"), F.lit("login").alias("page_id"),
         F.lit(None).cast("string").alias("item"), F.lit(None).cast("string").alias("item_type"),
@@ -135,9 +158,9 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("common", F.coalesce("page", login).alias("page"), "ts", "seq")
 
 
-def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def search_pages(read: Reader) -> DataFrame:
     """Documents as searches: one per second, with the whole text as the searched words."""
-    d = table(spark, sf_dir, "documents")
+    d = read("documents")
     return d.select(
         F.struct(F.concat(F.lit("mid_"), F.col("doc_id") % 100).alias("mid")).alias("common"),
         F.struct(
@@ -147,9 +170,9 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def part_search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def part_search_pages(read: Reader) -> DataFrame:
     """Order lines as searches for the part's name."""
-    lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    lines, part = read("lineitem"), read("part")
     rows = lines.join(part, lines.l_partkey == part.p_partkey)
     return rows.select(
         F.struct(F.col("p_name").alias("item"), F.lit("keyword").alias("item_type"), F.lit("search").alias("last_page_id"))
@@ -194,8 +217,8 @@ LINE_ID = "concat_ws('-', l_orderkey, l_linenumber)"
 PRICE, DISCOUNT, TAX = money("l_extendedprice"), "cast(l_discount as decimal(4,2))", "cast(l_tax as decimal(4,2))"
 
 
-def _order_changes(s, d) -> list[DataFrame]:
-    o = table(s, d, "orders")
+def _order_changes(read: Reader) -> list[DataFrame]:
+    o = read("orders")
     t = "o_orderdate"
 
     def data(status: str, **more: str) -> dict[str, str]:
@@ -221,8 +244,8 @@ def _order_changes(s, d) -> list[DataFrame]:
     ]
 
 
-def _line_changes(s, d) -> list[DataFrame]:
-    l = table(s, d, "lineitem")
+def _line_changes(read: Reader) -> list[DataFrame]:
+    l = read("lineitem")
     return [_change(l, "order_detail", "insert", "l_shipdate", {
         "id": LINE_ID, "order_id": "l_orderkey", "sku_id": "l_partkey", "sku_name": "concat('sku ', l_partkey)",
         "order_price": PRICE, "sku_num": "cast(l_quantity as int)", "create_time": dt("l_shipdate"),
@@ -233,24 +256,24 @@ def _line_changes(s, d) -> list[DataFrame]:
     })]
 
 
-def _activity_changes(s, d) -> list[DataFrame]:
-    l = table(s, d, "lineitem").where("l_discount > 0.05D")
+def _activity_changes(read: Reader) -> list[DataFrame]:
+    l = read("lineitem").where("l_discount > 0.05D")
     return [_change(l, "order_detail_activity", "insert", "l_shipdate", {
         "order_id": "l_orderkey", "order_detail_id": LINE_ID, "sku_id": "l_partkey", "activity_id": "l_partkey % 10",
         "activity_rule_id": "l_suppkey % 10", "create_time": dt("l_shipdate"),
     })]
 
 
-def _coupon_line_changes(s, d) -> list[DataFrame]:
-    l = table(s, d, "lineitem").where("l_tax > 0.04D")
+def _coupon_line_changes(read: Reader) -> list[DataFrame]:
+    l = read("lineitem").where("l_tax > 0.04D")
     return [_change(l, "order_detail_coupon", "insert", "l_shipdate", {
         "order_id": "l_orderkey", "order_detail_id": LINE_ID, "sku_id": "l_partkey", "coupon_id": "l_partkey % 7",
         "coupon_use_id": "l_suppkey % 7", "create_time": dt("l_shipdate"),
     })]
 
 
-def _payment_changes(s, d) -> list[DataFrame]:
-    o = table(s, d, "orders")
+def _payment_changes(read: Reader) -> list[DataFrame]:
+    o = read("orders")
     t = "o_orderdate"
 
     def data(status: str) -> dict[str, str]:
@@ -269,8 +292,8 @@ def _payment_changes(s, d) -> list[DataFrame]:
     ]
 
 
-def _refund_changes(s, d) -> list[DataFrame]:
-    l = table(s, d, "lineitem").where("l_returnflag = 'R'")
+def _refund_changes(read: Reader) -> list[DataFrame]:
+    l = read("lineitem").where("l_returnflag = 'R'")
     t = "l_shipdate"
 
     def data(status: str) -> dict[str, str]:
@@ -290,8 +313,8 @@ def _refund_changes(s, d) -> list[DataFrame]:
     ]
 
 
-def _refund_payment_changes(s, d) -> list[DataFrame]:
-    l = table(s, d, "lineitem").where("l_returnflag = 'R' and l_linestatus = 'F'")
+def _refund_payment_changes(read: Reader) -> list[DataFrame]:
+    l = read("lineitem").where("l_returnflag = 'R' and l_linestatus = 'F'")
     t = "l_shipdate"
 
     def data(status: str) -> dict[str, str]:
@@ -308,8 +331,8 @@ def _refund_payment_changes(s, d) -> list[DataFrame]:
     ]
 
 
-def _cart_changes(s, d) -> list[DataFrame]:
-    l = table(s, d, "lineitem")
+def _cart_changes(read: Reader) -> list[DataFrame]:
+    l = read("lineitem")
     t = "l_shipdate"
 
     def data(**more: str) -> dict[str, str]:
@@ -330,8 +353,8 @@ def _cart_changes(s, d) -> list[DataFrame]:
     ]
 
 
-def _coupon_changes(s, d) -> list[DataFrame]:
-    o = table(s, d, "orders")
+def _coupon_changes(read: Reader) -> list[DataFrame]:
+    o = read("orders")
     t = "o_orderdate"
 
     def data(status: str, **more: str) -> dict[str, str]:
@@ -350,8 +373,8 @@ def _coupon_changes(s, d) -> list[DataFrame]:
     ]
 
 
-def _favour_changes(s, d) -> list[DataFrame]:
-    e = table(s, d, "events")
+def _favour_changes(read: Reader) -> list[DataFrame]:
+    e = read("events")
     data = {
         "id": "event_id", "user_id": "user_id", "sku_id": "event_id % 200", "spu_id": "event_id % 20", "is_cancel": "'0'",
         "create_time": dt("ts"),
@@ -363,16 +386,16 @@ def _favour_changes(s, d) -> list[DataFrame]:
     ]
 
 
-def _comment_changes(s, d) -> list[DataFrame]:
+def _comment_changes(read: Reader) -> list[DataFrame]:
     t = "timestamp_seconds(1704067200 + doc_id)"
-    return [_change(table(s, d, "documents"), "comment_info", "insert", t, {
+    return [_change(read("documents"), "comment_info", "insert", t, {
         "id": "doc_id", "user_id": "doc_id % 150", "nick_name": "source", "sku_id": "doc_id % 200", "spu_id": "doc_id % 20",
         "order_id": "doc_id % 999", "appraise": "concat('120', doc_id % 5 + 1)", "comment_txt": "text", "create_time": dt(t),
     })]
 
 
-def _user_changes(s, d) -> list[DataFrame]:
-    c = table(s, d, "customer")
+def _user_changes(read: Reader) -> list[DataFrame]:
+    c = read("customer")
     t = "timestamp_seconds(1704067200 + c_custkey * 97)"
     data = {
         "id": "c_custkey", "login_name": "lower(c_name)", "nick_name": "c_mktsegment", "name": "c_name",
@@ -386,8 +409,8 @@ def _user_changes(s, d) -> list[DataFrame]:
     ]
 
 
-def _sku_changes(s, d) -> list[DataFrame]:
-    p = table(s, d, "part")
+def _sku_changes(read: Reader) -> list[DataFrame]:
+    p = read("part")
     t = "timestamp_seconds(1704067200 + p_partkey)"
     data = {
         "id": "p_partkey", "sku_name": "p_name", "price": money("p_retailprice"), "category3_id": "p_size",
@@ -409,17 +432,17 @@ _SOURCES = {
 }
 
 
-def changes(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
+def changes(read: Reader, *tables: str) -> DataFrame:
     """The change events of the named tables (all when none is named), as one table."""
     out = None
     for name in tables or _SOURCES:
-        for part in _SOURCES[name](spark, sf_dir):
+        for part in _SOURCES[name](read):
             out = part if out is None else out.unionByName(part)
     return out
 
 
-def change_texts(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
-    return to_json_value(changes(spark, sf_dir, *tables))
+def change_texts(read: Reader, *tables: str) -> DataFrame:
+    return to_json_value(changes(read, *tables))
 
 
 # ---- dimensions -------------------------------------------------------------------------------
