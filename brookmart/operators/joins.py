@@ -155,7 +155,6 @@ def split_hot_join(
     how: str = "inner",
     rows_per_split: int = 5_000_000,
     max_hot: int = 1024,
-    count: str | None = None,
 ) -> DataFrame:
     """Equi-join of ``big`` with a table of few rows per key, where a key of ``big`` may be hot.
 
@@ -163,16 +162,12 @@ def split_hot_join(
     slots by hash, and their rows in ``per_key`` are repeated once per slot. At most ``max_hot`` keys
     are split, so the broadcast slot list is bounded; any other key holds under 1/max_hot of the rows.
     The slot depends on the row and its input partition only, so a task that runs again repeats it.
-    ``count`` names a column of ``per_key`` with the key's number of rows in ``big``, where known; it
-    saves a pass over ``big``, and is dropped.
+    Finding the hot keys reads only the key column of ``big``.
     """
-    if count:
-        counted = per_key.select(F.col(key).alias("_hk"), F.col(count).alias("_n"))
-        per_key = per_key.drop(count)
-    else:
-        counted = big.groupBy(F.col(key).alias("_hk")).agg(F.count("*").alias("_n"))
     heavy = (
-        counted.where((F.col("_n") > rows_per_split) & F.col("_hk").isNotNull())
+        big.groupBy(F.col(key).alias("_hk"))
+        .agg(F.count("*").alias("_n"))
+        .where((F.col("_n") > rows_per_split) & F.col("_hk").isNotNull())
         .orderBy(F.desc("_n"), "_hk")
         .limit(max_hot)
         .select("_hk", F.ceil(F.col("_n") / rows_per_split).cast("int").alias("_slots"))

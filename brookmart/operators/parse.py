@@ -15,9 +15,13 @@ def parse_or_quarantine(df: DataFrame, schema: T.StructType, column: str = "valu
     with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     rest = [c for c in df.columns if c != column]
-    parsed = df.where(F.col(column).isNotNull()).withColumn("_r", F.from_json(column, with_bad, options))
-    good = parsed.where(F.col(f"_r.{_BAD}").isNull()).select(*rest, *[f"_r.{f.name}" for f in schema.fields])
-    bad = parsed.where(F.col(f"_r.{_BAD}").isNotNull()).select(*rest, column)
+    # A generator is evaluated once per row; filters on its output are not pushed below it, where
+    # they would parse the text a second time.
+    parsed = df.where(F.col(column).isNotNull()).select(
+        *rest, F.col(column).alias("_text"), F.inline(F.array(F.from_json(column, with_bad, options)))
+    )
+    good = parsed.where(F.col(_BAD).isNull()).select(*rest, *[f.name for f in schema.fields])
+    bad = parsed.where(F.col(_BAD).isNotNull()).select(*rest, F.col("_text").alias(column))
     return good, bad
 
 

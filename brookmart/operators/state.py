@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brookmart.functions.dates import seconds_of
 from brookmart.operators.columns import as_col, as_cols, assign
-from brookmart.operators.joins import split_hot_join
+from brookmart.operators.joins import small_side, split_hot_join
 
 
 def first_by(df: DataFrame, keys, order) -> DataFrame:
@@ -46,7 +46,7 @@ def latest_by_key(df: DataFrame, keys, newest: Iterable) -> DataFrame:
 
 
 def first_state(df: DataFrame, key: str, ts: str, flag: str, tiebreak: Iterable = ()) -> DataFrame:
-    """(key, first_day, rows): the day a device counts as new, and its number of rows.
+    """(_key, first_day): the day a device counts as new. Pre-aggregated before the shuffle.
 
     It is the day of the first row if that row says it is new, and the day before it otherwise.
     """
@@ -54,11 +54,11 @@ def first_state(df: DataFrame, key: str, ts: str, flag: str, tiebreak: Iterable
     per_key = (
         df.where(as_col(key).isNotNull())
         .groupBy(as_col(key).alias("_key"))
-        .agg(first.alias("_f"), F.count("*").alias("rows"))
+        .agg(first.alias("_f"))
     )
     new = F.to_date("_f.ts")
     day = F.when(F.col("_f.flag") == "1", new).otherwise(F.to_date(F.col("_f.ts") - F.expr("INTERVAL 24 HOURS")))
-    return per_key.select("_key", day.alias("first_day"), "rows")
+    return per_key.select("_key", day.alias("first_day"))
 
 
 def repair_is_new(
@@ -72,17 +72,19 @@ def repair_is_new(
 ) -> DataFrame:
     """Set a device's 'new' flag to '0' on every day but its first. ``flag`` may be a struct field.
 
-    ``state`` (_key, first_day) replaces the state computed from ``df`` itself. The state is joined
-    back with hot devices split into slots.
+    Only rows with the flag set can change, so only these are shuffled and joined with the state, hot
+    devices being split into slots; the others pass through in place. ``state`` (_key, first_day)
+    replaces the state computed from ``df`` itself.
     """
-    count = None
     if state is None:
-        state, count = first_state(df, key, ts, flag, tiebreak), "rows"
+        state = first_state(df, key, ts, flag, tiebreak)
     columns = df.columns
-    keyed = df.withColumn("_key", as_col(key))
-    joined = split_hot_join(keyed, state, "_key", "left", rows_per_split, count=count)
-    stale = (as_col(flag) == "1") & (F.to_date(ts) != F.col("first_day"))
-    return assign(joined, flag, F.when(stale, F.lit("0")).otherwise(as_col(flag))).select(*columns)
+    is_set = F.coalesce(as_col(flag) == "1", F.lit(False))
+    marked = df.where(is_set).withColumn("_key", as_col(key))
+    joined = split_hot_join(marked, state, "_key", "left", rows_per_split)
+    stale = F.coalesce(F.to_date(ts) != F.col("first_day"), F.lit(False))
+    fixed = assign(joined, flag, F.when(stale, F.lit("0")).otherwise(as_col(flag))).select(*columns)
+    return fixed.unionByName(df.where(~is_set))
 
 
 def bounces(
@@ -113,15 +115,27 @@ def bounces(
     own = F.struct(b.alias("b"), F.lit(True).alias("own"))
     ahead = F.struct((b - 1).alias("b"), F.lit(False).alias("own"))
     places = F.when(t - b * width < limit, F.array(own, ahead)).otherwise(F.array(own))
-    rows = df.withColumn("_place", F.explode(places))
-    w = Window.partitionBy(as_col(key), F.col("_place.b")).orderBy(F.col(ts), *as_cols(tiebreak))
     is_start = as_col(last_page).isNull()
-    seen = rows.withColumns({
-        "_next": F.lead(t).over(w),
-        "_next_start": F.lead(is_start).over(w),
-    })
-    bounced = F.col("_next").isNull() | (F.col("_next") - t >= limit) | F.col("_next_start")
-    return seen.where(F.col("_place.own") & is_start & bounced).drop("_place", "_next", "_next_start")
+    order = [f"_o{i}" for i, _ in enumerate(tiebreak)]
+    placed = df.withColumn("_place", F.explode(places))
+    # Only a start in its own bucket can come out; of all other rows just the order is needed.
+    rows = placed.select(
+        as_col(key).alias("_k"), t.alias("_t"), is_start.alias("_start"), "_place",
+        *[as_col(c).alias(n) for c, n in zip(tiebreak, order)],
+        F.when(is_start & F.col("_place.own"), F.struct(*df.columns)).alias("_row"),
+    )
+    w = Window.partitionBy("_k", "_place.b").orderBy("_t", *order)
+    seen = rows.withColumns({"_next": F.lead("_t").over(w), "_next_start": F.lead("_start").over(w)})
+    bounced = F.col("_next").isNull() | (F.col("_next") - F.col("_t") >= limit) | F.col("_next_start")
+    return seen.where(F.col("_row").isNotNull() & bounced).select("_row.*")
+
+
+def of_keys(known: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of a large ``known`` table whose keys occur in ``rows``.
+
+    When the keys are few they are broadcast, and ``known`` is filtered where it is read.
+    """
+    return known.join(small_side(rows.select(*keys).distinct()), keys, "left_semi")
 
 
 def daily_first_times(df: DataFrame, key: str, ts: str) -> DataFrame:
@@ -138,9 +152,9 @@ def returning_users(df: DataFrame, key: str, ts: str, gap_days: int = 7, known:
     name = _name(key)
     days = daily_first_times(df, key, ts).where(F.col(name).isNotNull())
     if known is not None:
-        fresh = days.join(known.select(name, "day"), [name, "day"], "left_anti")
-        past = known.join(fresh.select(name).distinct(), name, "left_semi")
-        days = fresh.unionByName(past.select(name, "day", F.lit(None).cast("timestamp").alias(ts)))
+        past = of_keys(known.select(name, "day"), days, [name])
+        fresh = days.join(past, [name, "day"], "left_anti")
+        days = fresh.unionByName(past.withColumn(ts, F.lit(None).cast("timestamp")))
     w = Window.partitionBy(name).orderBy("day")
     away = F.datediff("day", F.lag("day").over(w))
     out = days.withColumn("back_ct", F.when(away > gap_days, 1).otherwise(0).cast("long"))

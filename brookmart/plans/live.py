@@ -35,7 +35,7 @@ def log_split(
     def work(batch: DataFrame, batch_id: int) -> None:
         good, bad = read_log(batch)
         timed = traffic.with_event_time(good)
-        first = first_state(timed, "common.mid", "et", "common.is_new", tiebreak).drop("rows")
+        first = first_state(timed, "common.mid", "et", "common.is_new", tiebreak)
         devices.record(first, batch_id, ["first_day"])
         state = devices.matching(first, batch_id)
         _write(traffic.log_split_rows(good, tiebreak, state), f"{root}/logs", batch_id, "kind")

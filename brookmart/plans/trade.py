@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from brookmart.functions.dates import event_time, parse_time
 from brookmart.operators import (
     Step, amount, cdc_increase, cdc_select, cdc_transition, enrich, enrich_chain, first_by, first_per_day,
-    latest_by_key, lookup, tumble, tumble_distinct, wide_join,
+    latest_by_key, lookup, of_keys, tumble, tumble_distinct, wide_join,
 )
 from brookmart.operators.changes import DATABASE
 from brookmart.schemas import ORDER_CANCELLED, PAYMENT_DONE, TABLE_COLUMNS
@@ -115,7 +115,8 @@ def user_firsts(df: DataFrame, key: str, ts: str, tiebreak=(), known: DataFrame
     days = first_per_day(df.where(F.col(key).isNotNull()), key, ts, tiebreak)
     days = days.select(key, F.to_date(ts).alias("day"), ts)
     if known is not None:
-        days = days.join(known.select(key, "day"), [key, "day"], "left_anti")
+        known = of_keys(known.select(key, "day"), days, [key])
+        days = days.join(known, [key, "day"], "left_anti")
     order = Window.partitionBy(key).orderBy(ts)
     new = F.row_number().over(order) == 1
     if known is not None:

@@ -84,9 +84,8 @@ def text(c: str | Column) -> Column:
 
 def logs(read: Reader) -> DataFrame:
     """One behaviour log per event, plus ``seq``, its arrival number."""
-    e = read("events")
-    kind = F.col("event_type")
-    k = F.get_json_object("props", "$.k").cast("long")
+    e = read("events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    kind, k = F.col("event_type"), F.col("k")
 
     def when(**by_kind: str | None) -> Column:
         out = None

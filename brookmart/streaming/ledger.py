@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from brookmart.operators.joins import small_side
-from brookmart.operators.state import first_by
+from brookmart.operators.state import first_by, of_keys
 from brookmart.sinks.upsert import batch_path
 
 
@@ -29,12 +28,12 @@ class Ledger:
         """Write the keys of ``rows`` that are new, one row each, and return the written rows."""
         spark = rows.sparkSession
         first = first_by(rows, self.keys, order).select(*self.schema.names)
-        fresh = first.join(self.known(spark, batch_id), self.keys, "left_anti")
+        seen = of_keys(self.known(spark, batch_id), rows, self.keys)
+        fresh = first.join(seen, self.keys, "left_anti")
         target = batch_path(self.path, batch_id)
         fresh.write.mode("overwrite").parquet(target)
         return spark.read.schema(self.schema).parquet(target)
 
     def matching(self, rows: DataFrame, batch_id: int) -> DataFrame:
         """Recorded rows, up to and including this batch, for the keys that occur in ``rows``."""
-        wanted = rows.select(*self.keys).distinct()
-        return self.known(rows.sparkSession, batch_id + 1).join(small_side(wanted), self.keys, "left_semi")
+        return of_keys(self.known(rows.sparkSession, batch_id + 1), rows, self.keys)
