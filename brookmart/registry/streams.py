@@ -14,7 +14,7 @@ from brookmart.plans import live, refunds, trade, traffic, users
 from brookmart.registry.batch import BOUNCE, DAY, MONTH, YEAR
 from brookmart.session import shared_folder
 from brookmart.sinks import read_dim_table, read_upsert, upsert_dims, write_append, write_upsert
-from brookmart.streaming.jobs import run_to_end
+from brookmart.streaming.jobs import run_to_end, sized_state
 
 FAR = "3000 days"  # orders and their lines lie years apart in the given tables
 
@@ -156,7 +156,15 @@ def live_dim_sync(s, d):
     return user.toDF("id", "name", "attribute").unionByName(sku.toDF("id", "name", "attribute"))
 
 
-STREAMS = {f.__name__: f for f in (
+def _sized(query):
+    def run(s: SparkSession, d: str) -> DataFrame:
+        with sized_state(s):
+            return query(s, d)
+
+    return run
+
+
+STREAMS = {f.__name__: _sized(f) for f in (
     live_unique_visits, live_bounce_visits, live_page_uniques, live_keyword_counts, live_log_split_counts,
     live_returning_users, live_order_users, live_province_orders, live_registrations, live_cart_adds,
     live_sku_order_lines, live_refunds_paid, live_orders_placed, live_interval_pairs, live_dim_sync,

@@ -1,6 +1,9 @@
 from brookmart.streaming.bounces import bounces_stream
 from brookmart.streaming.dedup import first_per_day_stream
-from brookmart.streaming.jobs import run_to_end, start_batches
+from brookmart.streaming.jobs import late_rows, run_to_end, sized_state, start_batches
 from brookmart.streaming.ledger import Ledger
 
-__all__ = ["Ledger", "bounces_stream", "first_per_day_stream", "run_to_end", "start_batches"]
+__all__ = [
+    "Ledger", "bounces_stream", "first_per_day_stream", "late_rows", "run_to_end",
+    "sized_state", "start_batches",
+]

@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from brookmart.sinks.append import _trigger
 
 
+@contextmanager
+def sized_state(spark: SparkSession, per_core: int = 2) -> Iterator[None]:
+    """Queries started inside use no more state partitions than ``per_core`` times the cores.
+
+    The number is fixed by a query's first checkpoint, and every partition of every stateful operator
+    is committed in every micro-batch. A lower session setting is kept.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = int(spark.conf.get(name))
+    spark.conf.set(name, min(before, per_core * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def start_batches(
     df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, trigger: Mapping | None = None
 ) -> StreamingQuery:
