@@ -6,8 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-DATABASE = "gmall"  # fixed value: the shop's source database
-
 
 def change_rows(table: str, types: Iterable[str] | None = None, database: str | None = None) -> Column:
     """The predicate that routes change events by database, table and type."""

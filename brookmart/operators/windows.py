@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brookmart.functions.dates import DATETIME
+from brookmart.functions.dates import DATETIME, now_millis
 from brookmart.operators.columns import as_col
 
 
@@ -69,6 +69,11 @@ def tumble_distinct(
     return _with_bounds(out, [*keys, count_as, *sums])
 
 
+def emitted(df: DataFrame) -> DataFrame:
+    """Add ``ts``, the emission time in epoch milliseconds, to the results of a live job."""
+    return df.withColumn("ts", now_millis())
+
+
 def _with_bounds(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(
         F.date_format("_w.start", DATETIME).alias("stt"), F.date_format("_w.end", DATETIME).alias("edt"), *columns

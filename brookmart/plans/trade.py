@@ -9,7 +9,6 @@ from brookmart.operators import (
     Step, amount, cdc_increase, cdc_select, cdc_transition, enrich, enrich_chain, first_by, first_per_day,
     latest_by_key, lookup, of_keys, tumble, tumble_distinct, wide_join,
 )
-from brookmart.operators.changes import DATABASE
 from brookmart.schemas import ORDER_CANCELLED, PAYMENT_DONE, TABLE_COLUMNS
 
 
@@ -18,9 +17,9 @@ def timed(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, event_time("ts")) if df.isStreaming else df
 
 
-def cart_adds(changes: DataFrame, codes: DataFrame) -> DataFrame:
+def cart_adds(changes: DataFrame, codes: DataFrame, database: str | None = None) -> DataFrame:
     """Cart additions; of a raised quantity the rise only."""
-    rows = cdc_increase(changes, "cart_info", "sku_num", TABLE_COLUMNS["cart_info"], DATABASE)
+    rows = cdc_increase(changes, "cart_info", "sku_num", TABLE_COLUMNS["cart_info"], database)
     return lookup(rows, codes, "source_type", "dic_code", {"source_name": "dic_name"})
 
 
@@ -39,25 +38,26 @@ def cart_uniques(users: DataFrame, size: str = "10 seconds", watermark: str = "2
 
 
 def order_wide(
-    changes: DataFrame, codes: DataFrame, horizon: str = "905 seconds", watermark: str = "5 seconds"
+    changes: DataFrame, codes: DataFrame, horizon: str = "905 seconds", watermark: str = "5 seconds",
+    database: str | None = None,
 ) -> DataFrame:
     """Order lines with their order, activity, coupon and source name; one row per order change.
 
     The narrow line-level joins come first, so the wide order columns are shuffled once.
     ``horizon`` and ``watermark`` apply to streams.
     """
-    detail = timed(cdc_select(changes, "order_detail", TABLE_COLUMNS["order_detail"], database=DATABASE), "et")
+    detail = timed(cdc_select(changes, "order_detail", TABLE_COLUMNS["order_detail"], database=database), "et")
     info = cdc_select(
         changes, "order_info", [c for c in TABLE_COLUMNS["order_info"] if c != "create_time"],
-        ("insert", "update"), DATABASE, keep=("ts", "type", "old"),
+        ("insert", "update"), database, keep=("ts", "type", "old"),
     )
     info = timed(info, "info_et").withColumnRenamed("ts", "change_ts")
     activity = timed(
         cdc_select(changes, "order_detail_activity", ["order_detail_id", "activity_id", "activity_rule_id"],
-                   database=DATABASE), "activity_et").drop("ts")
+                   database=database), "activity_et").drop("ts")
     coupon = timed(
         cdc_select(changes, "order_detail_coupon", ["order_detail_id", "coupon_id", "coupon_use_id"],
-                   database=DATABASE), "coupon_et").drop("ts")
+                   database=database), "coupon_et").drop("ts")
     if changes.isStreaming:
         detail, info = detail.withWatermark("et", watermark), info.withWatermark("info_et", watermark)
         activity, coupon = activity.withWatermark("activity_et", watermark), coupon.withWatermark("coupon_et", watermark)
@@ -88,14 +88,15 @@ _PAYMENT_NAMES = {
 
 
 def payments_succeeded(
-    changes: DataFrame, placed: DataFrame, codes: DataFrame, horizon: str = "905 seconds", watermark: str = "5 seconds"
+    changes: DataFrame, placed: DataFrame, codes: DataFrame, horizon: str = "905 seconds", watermark: str = "5 seconds",
+    database: str | None = None,
 ) -> DataFrame:
     """Successful payments, one row per paid order line, with the names of status and type.
 
     On streams ``placed`` carries ``et``; it is dropped here, the next job takes its own.
     """
     paid = cdc_transition(
-        changes, "payment_info", "payment_status", PAYMENT_DONE, TABLE_COLUMNS["payment_info"], DATABASE
+        changes, "payment_info", "payment_status", PAYMENT_DONE, TABLE_COLUMNS["payment_info"], database
     )
     paid = timed(paid, "payment_et").withColumnsRenamed({**_PAYMENT_NAMES, "order_id": "paid_order_id"})
     rows = wide_join(

@@ -6,21 +6,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from brookmart.functions.dates import parse_time
 from brookmart.operators import cdc_select, lookup, returning_users, tumble
-from brookmart.operators.changes import DATABASE
 from brookmart.schemas import TABLE_COLUMNS
 
 
-def users_registered(changes: DataFrame) -> DataFrame:
-    return cdc_select(changes, "user_info", TABLE_COLUMNS["user_info"], database=DATABASE)
+def users_registered(changes: DataFrame, database: str | None = None) -> DataFrame:
+    return cdc_select(changes, "user_info", TABLE_COLUMNS["user_info"], database=database)
 
 
-def favourites_added(changes: DataFrame) -> DataFrame:
-    return cdc_select(changes, "favor_info", TABLE_COLUMNS["favor_info"], database=DATABASE)
+def favourites_added(changes: DataFrame, database: str | None = None) -> DataFrame:
+    return cdc_select(changes, "favor_info", TABLE_COLUMNS["favor_info"], database=database)
 
 
-def comments_added(changes: DataFrame, codes: DataFrame) -> DataFrame:
+def comments_added(changes: DataFrame, codes: DataFrame, database: str | None = None) -> DataFrame:
     """New comments with the name of their rating; an unknown rating drops the row (inner lookup)."""
-    rows = cdc_select(changes, "comment_info", TABLE_COLUMNS["comment_info"], database=DATABASE)
+    rows = cdc_select(changes, "comment_info", TABLE_COLUMNS["comment_info"], database=database)
     return lookup(rows, codes, "appraise", "dic_code", {"appraise_name": "dic_name"})
 
 

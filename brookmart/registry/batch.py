@@ -148,7 +148,7 @@ def login_activity(s, d):
 # ---- trade -------------------------------------------------------------------------------------
 
 def cart_adds(s, d):
-    return trade.cart_adds(samples.changes(samples.reader(s, d), "cart_info"), samples.codes(s))
+    return trade.cart_adds(samples.changes(samples.reader(s, d), "cart_info"), samples.codes(s), samples.DATABASE)
 
 
 def cart_uniques(s, d):
@@ -159,7 +159,7 @@ _WIDE = ("order_info", "order_detail", "order_detail_activity", "order_detail_co
 
 
 def _wide(s, d):
-    return trade.order_wide(samples.changes(samples.reader(s, d), *_WIDE), samples.codes(s))
+    return trade.order_wide(samples.changes(samples.reader(s, d), *_WIDE), samples.codes(s), database=samples.DATABASE)
 
 
 def order_wide(s, d):
@@ -269,6 +269,11 @@ def customer_geography(s, d):
     ])
 
 
+def sku_enriched(s, d):
+    part = samples.table(s, d, "part").select(F.col("p_partkey").cast("string").alias("sku_id"))
+    return enrich_chain(part, trade.sku_chain(samples.dims(s, d)))
+
+
 def first_orders(s, d):
     o = samples.table(s, d, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
     return first_ever(o, "o_custkey", "o_orderdate", ["o_orderkey"]).select("o_custkey", "o_orderkey")
@@ -298,5 +303,5 @@ BATCH = {f.__name__: f for f in (
     cart_uniques, order_wide, orders_placed, orders_cancelled, payments_succeeded, order_users, payment_users,
     newest_order_lines, sku_orders, sku_orders_dedup, province_orders, coupons_received, coupons_ordered,
     coupons_paid, refund_requests_wide, refund_requests, refunds_paid_wide, refunds_paid,
-    refunds_by_brand_category_user, interval_pairs, customer_geography, first_orders, latest_order_status, dim_sync,
+    refunds_by_brand_category_user, interval_pairs, customer_geography, sku_enriched, first_orders, latest_order_status, dim_sync,
 )}

@@ -442,6 +442,11 @@ AND p.ts BETWEEN c.ts - INTERVAL 2 HOUR AND c.ts + INTERVAL 1 HOUR""",
 SELECT c_custkey, c_nationkey, n_name AS nation_name, n_regionkey AS region_key, r_name AS region_name
 FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 7) n ON c_nationkey = n_nationkey
 LEFT JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal > 0""",
+    "sku_enriched": f"""
+WITH {DIMS}
+SELECT sku_dim.id AS sku_id, sku_name, sku_dim.spu_id AS spu_id, category3_id, trademark_id, spu_name, category3_name,
+       category2_id, category2_name, category1_id, category1_name, trademark_name
+FROM sku_dim LEFT JOIN spu_dim ON sku_dim.spu_id = spu_dim.id {_CATEGORIES}""",
     "first_orders": """
 SELECT o_custkey, o_orderkey FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1""",

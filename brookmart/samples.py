@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brookmart import schemas
 from brookmart.functions.dates import DATETIME
-from brookmart.operators.changes import DATABASE
 from brookmart.operators.joins import estimated_bytes
 from brookmart.operators.parse import to_json_value
 
@@ -33,7 +32,9 @@ LAYOUT = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
 }
 
+DATABASE = "shop"
 SPLIT_BYTES = 128 * 1024 * 1024
+SMALL_BYTES = 1024 * 1024 * 1024
 
 
 Reader = Callable[[str], DataFrame]
@@ -66,14 +67,16 @@ def _zoned(df: DataFrame) -> DataFrame:
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """Hash a table of fewer splits than cores over all cores, by its first column (an id).
+    """Hash a small table of fewer splits than cores over more tasks, by its first column (an id).
 
     A table of one small file would otherwise be read, and all work up to the next shuffle done, by
-    one task. Tables with enough splits, so any large one, are left alone.
+    one task. Tables above ``SMALL_BYTES`` have splits enough and are left alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = max(len(df.inputFiles()), estimated_bytes(df) // SPLIT_BYTES)
-    return df if splits >= cores else df.repartition(cores, df.columns[0])
+    size = estimated_bytes(df)
+    if size > SMALL_BYTES:
+        return df
+    parts = min(df.sparkSession.sparkContext.defaultParallelism, size // (1024 * 1024) + 1)
+    return df.repartition(parts, df.columns[0]) if parts > len(df.inputFiles()) else df
 
 
 def text(c: str | Column) -> Column:

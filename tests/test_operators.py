@@ -27,7 +27,7 @@ def rows(df, *columns):
     return sorted(got, key=lambda r: [(x is None, x) for x in r])
 
 
-def change(table, kind, data, old=None, ts=0, database="gmall"):
+def change(table, kind, data, old=None, ts=0, database="shop"):
     return (database, table, kind, ts, data, old)
 
 
@@ -84,8 +84,8 @@ def test_parse_good_and_bad(spark):
 
 def test_read_changes_takes_ts_as_number_or_text(spark):
     df = spark.createDataFrame([
-        ('{"database":"gmall","table":"t","type":"update","ts":5,"data":{"id":"1","n":2},"old":{"n":"1"}}',),
-        ('{"database":"gmall","table":"t","type":"insert","ts":"6","data":{"id":"2"}}',), ("nonsense",),
+        ('{"database":"shop","table":"t","type":"update","ts":5,"data":{"id":"1","n":2},"old":{"n":"1"}}',),
+        ('{"database":"shop","table":"t","type":"insert","ts":"6","data":{"id":"2"}}',), ("nonsense",),
     ], "value string")
     got = rows(read_changes(df), "ts", F.col("data")["id"], F.col("data")["n"], F.col("old")["n"])
     assert got == [(5, "1", "2", "1"), (6, "2", None, None)]
@@ -118,7 +118,7 @@ def test_cdc_select_filters_database_table_and_type(spark):
         change("a", "insert", {"id": "4"}, database="other"),
     )
     assert rows(cdc_select(df, "a", ["id", "missing"]), "id", "missing") == [("1", None), ("4", None)]
-    assert rows(cdc_select(df, "a", ["id"], database="gmall"), "id") == [("1",)]
+    assert rows(cdc_select(df, "a", ["id"], database="shop"), "id") == [("1",)]
     assert rows(cdc_select(df, "a", ["id"], None), "id") == [("1",), ("2",), ("4",)]
 
 
