@@ -15,7 +15,8 @@ from brookmart.operators.windows import emitted, measures, tumble, tumble_distin
 __all__ = [
     "Step", "amount", "bounces", "cdc_increase", "cdc_select", "cdc_transition", "change_rows",
     "daily_first_times", "emitted", "enrich", "enrich_chain", "first_by", "first_ever", "first_per_day", "first_state",
-    "interval_join", "latest_by_key", "latest_config", "log_rows", "lookup", "measures", "of_keys", "parse_or_drop", "parse_or_fail",
+    "interval_join", "latest_by_key", "latest_config", "log_rows", "lookup",
+    "measures", "of_keys", "parse_or_drop", "parse_or_fail",
     "parse_or_quarantine", "repair_is_new", "returning_users", "route_dims", "small_side", "split_hot_join",
     "split_log", "to_json_value", "transition", "tumble", "tumble_distinct", "wide_join",
 ]

@@ -33,7 +33,6 @@ LAYOUT = {
 }
 
 DATABASE = "shop"
-SPLIT_BYTES = 128 * 1024 * 1024
 SMALL_BYTES = 1024 * 1024 * 1024
 
 

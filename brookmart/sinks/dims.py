@@ -44,9 +44,10 @@ def upsert_dims(
     checkpoint: str,
     trigger: Mapping | None = None,
 ) -> StreamingQuery:
-    """Keep the dimension tables up to date. ``read_config()`` is called again for every micro-batch,
+    """Keep the dimension tables up to date.
 
-    so a changed route takes effect with the next batch and rows never wait for their configuration.
+    ``read_config(spark)`` is called again for every micro-batch, so a changed route takes effect with
+    the next batch, and rows never wait for their configuration.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -25,9 +25,7 @@ def connect(sf_dir: str):
 
 
 def _plain(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6)
-    return v
+    return "nan" if isinstance(v, float) and math.isnan(v) else v
 
 
 def rows_of(names: list[str], rows) -> Counter:
@@ -50,7 +48,8 @@ def compare(spark, con, sf_dir: str, query, sql: str) -> str:
     if got == want:
         return "" if got else "no rows"
     more, less = list((got - want).items())[:2], list((want - got).items())[:2]
-    return f"rows {sum(got.values())} vs {sum(want.values())}; only Spark {more}; only SQL {less}"
+    counts = f"rows {sum(got.values())} vs {sum(want.values())}"
+    return f"{counts}; only Spark {more}; only SQL {less}"
 
 
 def main() -> int:

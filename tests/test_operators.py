@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from brookmart import schemas
 from brookmart.functions import (
-    camel_case, camel_case_columns, datetime_text, day_text, event_time, millis_of, parse_time, seconds_of, tokenize,
+    camel_case, camel_case_columns, datetime_text, day_text, event_time, millis_of, seconds_of, tokenize,
 )
 from brookmart.operators import (
     Step, bounces, cdc_increase, cdc_select, cdc_transition, enrich, enrich_chain, first_by, first_ever, first_per_day,

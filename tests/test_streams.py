@@ -1,6 +1,6 @@
 """Streams: parity with the batch form over several files, late rows, restarts and replays."""
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -18,7 +18,7 @@ from brookmart.sources import read_text_stream
 from brookmart.streaming.dedup import first_per_day_stream
 from brookmart.streaming.jobs import late_rows, run_to_end, start_batches
 from brookmart.streaming.ledger import Ledger
-from tests.test_operators import T0, brute_bounces, change, changes, config_event, rows, visits
+from tests.test_operators import T0, brute_bounces, change, changes, rows, visits
 
 LAYOUT = "mid string, ts timestamp, last string, seq int"
 
