@@ -100,9 +100,9 @@ def user_firsts(
 
 
 def newest_lines(placed: DataFrame, out: str, checkpoint: str, trigger: Mapping | None = None) -> StreamingQuery:
-    """The newest version per order line and trigger -> upsert table ``out`` (default trigger: 5 s in live use).
+    """The newest version per order line and micro-batch -> upsert table ``out``.
 
-    A version arriving in a later batch is written again; readers take the newest (``read_upsert``).
+    Live jobs pass ``trigger={"processingTime": "5 seconds"}``. A version arriving in a later batch is written again; readers take the newest (``read_upsert``).
     """
     def work(batch: DataFrame, batch_id: int) -> None:
         upsert_batch(batch, batch_id, out, ["id"], trade.LINE_VERSION)
