@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brookmart.llm.common import importable, table
 from brookmart.llm.exact_dedup import exact_dedup
 from brookmart.llm.extraction import extract_text
+from brookmart.llm.jaccard_join import near_duplicates
 from brookmart.llm.language import held_out, identify, learn
 from brookmart.llm.mixing import mix_sources
 from brookmart.llm.quality import score_quality
@@ -37,6 +38,11 @@ def op4_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies of each document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of each document."""
     docs = table(spark, sf_dir, "documents")
@@ -66,7 +72,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_extract_text, op3_score_quality, op4_scan_secrets, op7_identify_language, op8_exact_dedup, op9_token_files, op10_warc,
+    op1_mix_sources, op2_extract_text, op3_score_quality, op4_scan_secrets, op6_jaccard_join, op7_identify_language, op8_exact_dedup, op9_token_files, op10_warc,
 )}
 
 SQL = {
