@@ -307,12 +307,16 @@ def anchor_order(docs: DataFrame, text_col: str, words: int) -> tuple[bytes, byt
     return h[order].tobytes(), c[order].tobytes()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
+                    keep: list[str] | None = None) -> DataFrame:
     """Components of documents whose sets of word shingles have a Jaccard similarity of at least ``percent`` / 100.
 
     Returns one row per row of ``docs``: doc_id, n_shingles and component_id, the smallest identifier that links reach. Links
     are exact. Null and empty texts and texts of white space have no shingles and stand alone. Rows with equal sets are one set
     in the join. Null identifiers are carried; a component of these alone has a null component_id. No rows give no rows. Other columns are not read.
+
+    With ``keep``, two more columns: ``row`` (a struct of these columns of ``docs``) and ``stays``, true for one row of each component: the
+    one with the smallest identifier (null last), and of equal ones the first written.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
@@ -325,14 +329,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 piece = batch.slice(at, 500)
                 sets = [shingle_set(t.as_py(), words) for t in piece.column(1)]
                 yield pa.record_batch([
-                    piece.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    piece.column(0), *piece.columns[2:], pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_key(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([anchors_of(s, common, counts, percent).view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ], names=["doc_id", "n", "key", "anchors"])
+                ], names=["doc_id", *(["row"] if keep else []), "n", "key", "anchors"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"))
-    described = scratch.keep(
-        rows.mapInArrow(describe, "doc_id long, n long, key binary, anchors array<long>").withColumn("node", F.xxhash64("key")), "described")
+    carried = docs.select(*(F.col(f"`{c}`") for c in keep)).schema.simpleString() if keep else ""
+    schema = f"doc_id long, {f'row {carried}, ' if keep else ''}n long, key binary, anchors array<long>"
+    wide = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"),
+                       *([F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")] if keep else []))
+    described = wide.mapInArrow(describe, schema).withColumn("node", F.xxhash64("key")).withColumn("at", F.monotonically_increasing_id())
+    described = scratch.keep(described, "described")
 
     # Regions of anchors with two sets or more; of regions with the same sets one is enough.
     placed = described.where("n > 0").select("node", F.explode("anchors").alias("anchor"))
@@ -361,9 +369,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = scratch.keep(texts.mapInArrow(sets_of, "cell long, key binary, n long, set binary"), "sets")
     labels = components(group_links(sets, scratch, percent), scratch)
 
-    named = scratch.keep(
-        described.select("doc_id", "n", "key").join(labels.withColumnRenamed("node", "key"), "key", "left")
-        .select("doc_id", "n", F.coalesce("label", "key").alias("label")), "named")
-    smallest = named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("first_id"))
-    return named.join(smallest, "label", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("component_id"))
+    rest = ["row", "at"] if keep else []
+    named = described.select("doc_id", "n", "key", *rest).join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "label", F.coalesce("label", "key"))
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", *rest[1:])
+    smallest = named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("first_id"), F.min(first).alias("first"))
+    out = named.join(scratch.keep(smallest, "smallest"), "label", "left")
+    more = [F.col("row"), (F.col("label").isNull() | (F.col("first.at") == F.col("at"))).alias("stays")] if keep else []
+    return out.select("doc_id", F.col("n").alias("n_shingles"),
+                      F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("component_id"), *more)

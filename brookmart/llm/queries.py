@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmart.llm.common import importable, table
+from brookmart.llm.decontamination import find_leaks, leak_rows
 from brookmart.llm.exact_dedup import exact_dedup
 from brookmart.llm.extraction import extract_text
 from brookmart.llm.jaccard_join import near_duplicates
@@ -38,6 +39,11 @@ def op4_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_find_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, a row for each document and item."""
+    return leak_rows(find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near copies of each document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -72,7 +78,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_extract_text, op3_score_quality, op4_scan_secrets, op6_jaccard_join, op7_identify_language, op8_exact_dedup, op9_token_files, op10_warc,
+    op1_mix_sources, op2_extract_text, op3_score_quality, op4_scan_secrets, op5_find_leaks, op6_jaccard_join, op7_identify_language, op8_exact_dedup, op9_token_files, op10_warc,
 )}
 
 SQL = {

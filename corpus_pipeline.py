@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmart.llm.common import Scratch, importable, table
+from brookmart.llm.decontamination import clean, find_leaks
+from brookmart.llm.jaccard_join import near_duplicates
 from brookmart.llm.language import identify, learn
 from brookmart.llm.mixing import mix_sources
 from brookmart.llm.token_files import tokenise
@@ -24,6 +26,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where("lang_pred <> 'und'").withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the one with the smallest identifier."""
+    found = near_duplicates(docs, words=5, percent=80, keep=docs.columns).where("stays")
+    return found.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark"), docs.columns)
+    return found.where(clean(F.col("leaks"))).select(*docs.columns)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents as often as the mix takes them; sources keep their words to the nearest document."""
     mixed = mix_sources(docs)
@@ -38,6 +52,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", language),
+    ("near copies", near_copies),
+    ("decontamination", decontaminated),
     ("mixture", mixture),
     ("tokens", tokens),
 ]
