@@ -55,6 +55,8 @@ def digest_state(spark: SparkSession, path: str, scratch: Scratch, id_col: str,
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # Else every state partition sets aside megabytes of disk for its log before it holds a row.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     # As a pattern, so that a table of one file is accepted as well as a folder of files.
     parent, _, name = path.rstrip("/").rpartition("/")
     stream = own.readStream.schema(schema).options(**source_options).parquet(f"{parent}/{{{name}}}")
