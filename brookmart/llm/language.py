@@ -62,14 +62,14 @@ class SuffixAutomaton:
         self.table = table[: len(go)]
 
     def parser(self) -> np.ndarray:
-        """Next state times two for (state, symbol), plus one if a phrase ends before the symbol.
+        """Next state times two for (state, symbol), plus one if a phrase starts with the symbol.
 
-        A symbol that does not follow starts a phrase of its own: from the start state, or, if it is unknown
-        there too, back to the start.
+        The last state stands before the first symbol and behind unknown ones: whatever comes next starts a phrase.
         """
-        start = np.maximum(self.table[0], 0)
+        between = len(self.table)
+        start = np.where(self.table[0] >= 0, self.table[0], between)
         steps = np.where(self.table >= 0, self.table * 2, start * 2 + 1)
-        return steps.astype(np.int32)
+        return np.vstack([steps, start * 2 + 1]).astype(np.int32)
 
 
 class Model:
@@ -105,8 +105,8 @@ class Model:
         active = np.searchsorted(-lengths[order], -np.arange(1, BLOCK + 1), side="right")
         owners, out = np.array(owner)[order], np.empty((len(texts), len(self.names)))
         for lang, steps in enumerate(self.parsers):
-            state = np.zeros(len(parts), np.int32)
-            count = np.ones(len(parts), np.int32)
+            state = np.full(len(parts), len(steps) // self.width - 1, np.int32)
+            count = np.zeros(len(parts), np.int32)
             for t in range(BLOCK):
                 n = active[t]
                 if n == 0:
