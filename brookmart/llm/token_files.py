@@ -108,7 +108,7 @@ def _write_shard(folder: str, part: int, batches, tokenizer_file: str, dtype: st
         def flush(last: bool) -> None:
             nonlocal queue, waiting
             flat = np.concatenate(queue) if queue else np.empty(0, dtype)
-            used = len(flat) if last else len(flat) // length * length
+            used = len(flat) if last else len(flat) // (BATCH * length) * BATCH * length  # whole batches, so a number tells its batch
             mask = np.ones(used, bool)
             if pad := -used % length:
                 flat, mask = np.append(flat, np.zeros(pad, dtype)), np.append(mask, np.zeros(pad, bool))
