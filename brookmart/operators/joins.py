@@ -84,8 +84,10 @@ def wide_join(
 ) -> DataFrame:
     """Equi-join of two fact tables on ``on`` (left column -> right column, which is dropped).
 
-    On streams both sides get a watermark, and a pair must lie within ``horizon`` of event time, so
-    that the join state is bounded. A left join then emits the null side once, after the horizon.
+    On streams an inner join without ``horizon`` is complete: both sides stay in state, and a partner may
+    come at any time. With ``horizon`` both sides get a watermark, a pair must lie within it in event
+    time, and later partners are lost, so that the state is bounded. A left join needs a horizon; it
+    emits the null side once, after it. ``live.order_lines`` is the left join without one.
     """
     right_keys = {r: f"_rk_{r}" for r in on.values()}
     r = right.withColumnsRenamed(right_keys)
@@ -96,14 +98,18 @@ def wide_join(
         cond = c if cond is None else cond & c
     drop = list(right_keys.values())
     if left.isStreaming and right.isStreaming:
-        if not (left_time and right_time and horizon):
-            raise ValueError("a stream-stream join needs left_time, right_time and horizon")
-        if watermark:
-            l = l.withWatermark(left_time, watermark)
-            r = r.withWatermark(right_time, watermark)
-        span = F.expr(f"INTERVAL {horizon}")
-        cond &= (F.col(right_time) >= F.col(left_time) - span) & (F.col(right_time) <= F.col(left_time) + span)
-        drop.append(right_time)
+        if horizon and not (left_time and right_time):
+            raise ValueError("a horizon needs left_time and right_time")
+        if not horizon and how != "inner":
+            raise ValueError("an outer stream-stream join needs a horizon")
+        if horizon:
+            if watermark:
+                l = l.withWatermark(left_time, watermark)
+                r = r.withWatermark(right_time, watermark)
+            span = F.expr(f"INTERVAL {horizon}")
+            cond &= (F.col(right_time) >= F.col(left_time) - span) & (F.col(right_time) <= F.col(left_time) + span)
+        if right_time:
+            drop.append(right_time)
     elif right_time and right_time in right.columns:
         drop.append(right_time)
     return l.join(r, cond, how).drop(*drop)
@@ -146,44 +152,3 @@ def interval_join(
         & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {upper}"))
     )
     return l.join(r, cond, "inner").drop("_r_key", "_bucket", "_r_bucket")
-
-
-def split_hot_join(
-    big: DataFrame,
-    per_key: DataFrame,
-    key: str,
-    how: str = "inner",
-    rows_per_split: int = 5_000_000,
-    max_hot: int = 1024,
-) -> DataFrame:
-    """Equi-join of ``big`` with a table of few rows per key, where a key of ``big`` may be hot.
-
-    Keys above ``rows_per_split`` rows get several slots: their rows in ``big`` are spread over the
-    slots by hash, and their rows in ``per_key`` are repeated once per slot. At most ``max_hot`` keys
-    are split, so the broadcast slot list is bounded; any other key holds under 1/max_hot of the rows.
-    The slot depends on the row and its input partition only, so a task that runs again repeats it.
-    Finding the hot keys reads only the key column of ``big``.
-    """
-    heavy = (
-        big.groupBy(F.col(key).alias("_hk"))
-        .agg(F.count("*").alias("_n"))
-        .where((F.col("_n") > rows_per_split) & F.col("_hk").isNotNull())
-        .orderBy(F.desc("_n"), "_hk")
-        .limit(max_hot)
-        .select("_hk", F.ceil(F.col("_n") / rows_per_split).cast("int").alias("_slots"))
-    )
-    slots = F.coalesce("_slots", F.lit(1))
-    plain = [c for c, t in big.dtypes if not t.startswith("map")]
-    spread = (
-        big.join(F.broadcast(heavy), F.col(key) == F.col("_hk"), "left")
-        .withColumn("_slot", F.pmod(F.xxhash64(*plain) + F.spark_partition_id(), slots).cast("int"))
-        .drop("_hk", "_slots")
-    )
-    side = per_key.withColumnRenamed(key, "_pk")
-    repeated = (
-        side.join(F.broadcast(heavy), F.col("_pk") == F.col("_hk"), "left")
-        .withColumn("_pslot", F.explode(F.sequence(F.lit(0), slots - 1)))
-        .drop("_hk", "_slots")
-    )
-    cond = (F.col(key) == F.col("_pk")) & (F.col("_slot") == F.col("_pslot"))
-    return spread.join(repeated, cond, how).drop("_slot", "_pslot", "_pk")

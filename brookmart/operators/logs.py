@@ -35,8 +35,8 @@ def split_log(df: DataFrame) -> dict[str, DataFrame]:
 def log_rows(df: DataFrame) -> DataFrame:
     """The same five kinds of rows in one table and one pass, for ``write.partitionBy("kind")``.
 
-    Columns: kind, item (the display or action, as JSON text), err, start, common, page, ts. Columns
-    that a kind does not have are null.
+    Columns: kind, item (the display or action, as JSON text), err, start, display, action, common, page,
+    ts. Columns that a kind does not have are null; an error row is the whole log, with its arrays.
     """
     carried = [c for c in df.columns if c not in ("err", "start", "display", "action", "page", "common", "ts")]
     is_page = F.col("start").isNull()
@@ -56,9 +56,10 @@ def log_rows(df: DataFrame) -> DataFrame:
     kinds = F.concat(
         one("error", F.col("err").isNotNull()), one("start", ~is_page), one("page", is_page), many("display"), many("action")
     )
-    rows = df.select(F.explode(kinds).alias("_k"), *[c for c in df.columns if c not in ("display", "action", "ts")])
+    rows = df.select(F.explode(kinds).alias("_k"), *[c for c in df.columns if c != "ts"])
     kind = F.col("_k.kind")
     return rows.select(
         kind.alias("kind"), "_k.item", F.when(kind == "error", F.col("err")).alias("err"),
-        F.when(kind.isin("start", "error"), F.col("start")).alias("start"), "common", "page", "_k.ts", *carried,
+        F.when(kind.isin("start", "error"), F.col("start")).alias("start"),
+        *[F.when(kind == "error", F.col(c)).alias(c) for c in ("display", "action")], "common", "page", "_k.ts", *carried,
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brookmart.functions.dates import seconds_of
 from brookmart.operators.columns import as_col, as_cols, assign
-from brookmart.operators.joins import small_side, split_hot_join
+from brookmart.operators.joins import small_side
 
 
 def first_by(df: DataFrame, keys, order) -> DataFrame:
@@ -68,23 +68,23 @@ def repair_is_new(
     flag: str,
     tiebreak: Iterable = (),
     state: DataFrame | None = None,
-    rows_per_split: int = 5_000_000,
 ) -> DataFrame:
     """Set a device's 'new' flag to '0' on every day but its first. ``flag`` may be a struct field.
 
-    Only rows with the flag set can change, so only these are shuffled and joined with the state, hot
-    devices being split into slots; the others pass through in place. ``state`` (_key, first_day)
-    replaces the state computed from ``df`` itself.
+    ``df`` is read twice: for the state, and for the join. The state has one row per device, so a hot
+    device's rows are split by adaptive execution. Rows without the flag cannot change; they get keys
+    that match no device and are spread evenly. ``state`` (_key, first_day) replaces the state computed
+    from ``df`` itself.
     """
     if state is None:
         state = first_state(df, key, ts, flag, tiebreak)
     columns = df.columns
-    is_set = F.coalesce(as_col(flag) == "1", F.lit(False))
-    marked = df.where(is_set).withColumn("_key", as_col(key))
-    joined = split_hot_join(marked, state, "_key", "left", rows_per_split)
+    is_set = as_col(flag) == "1"
+    elsewhere = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(key, ts), F.lit(65_536)))
+    marked = df.withColumn("_k", F.when(is_set & as_col(key).isNotNull(), as_col(key)).otherwise(elsewhere))
+    joined = marked.join(state, F.col("_k") == F.col("_key"), "left")
     stale = F.coalesce(F.to_date(ts) != F.col("first_day"), F.lit(False))
-    fixed = assign(joined, flag, F.when(stale, F.lit("0")).otherwise(as_col(flag))).select(*columns)
-    return fixed.unionByName(df.where(~is_set))
+    return assign(joined, flag, F.when(stale, F.lit("0")).otherwise(as_col(flag))).select(*columns)
 
 
 def bounces(

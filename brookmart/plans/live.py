@@ -12,9 +12,11 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from brookmart.operators import first_per_day, first_state
+from brookmart.operators import cdc_select, first_per_day, first_state, lookup, wide_join
 from brookmart.plans import trade, traffic, users
-from brookmart.sinks.upsert import batch_path, upsert_batch
+from brookmart.schemas import TABLE_COLUMNS
+from brookmart.sinks.append import _trigger
+from brookmart.sinks.upsert import batch_path, upsert_batch, write_upsert
 from brookmart.sources.events import read_log
 from brookmart.streaming.jobs import start_batches
 from brookmart.streaming.ledger import Ledger
@@ -99,6 +101,52 @@ def user_firsts(
     return _per_day(df, key, root, checkpoint, plan, trigger)
 
 
+def order_lines(changes: DataFrame, root: str, checkpoint: str, trigger: Mapping | None = None, database: str | None = None) -> StreamingQuery:
+    """Order lines with their activity and coupon -> ``root/lines``, a new version whenever one of the three arrives.
+
+    The three share the line's id, so one grouping holds the newest of each: a line comes out at once, with nulls for what
+    is missing, and again when that arrives, however late. State is one row per line and is kept for ever.
+    """
+    parts = {
+        "line": cdc_select(changes, "order_detail", TABLE_COLUMNS["order_detail"], database=database),
+        "activity": cdc_select(changes, "order_detail_activity", ["order_detail_id", "activity_id", "activity_rule_id"], database=database),
+        "coupon": cdc_select(changes, "order_detail_coupon", ["order_detail_id", "coupon_id", "coupon_use_id"], database=database),
+    }
+    rows = None
+    for name, df in parts.items():
+        columns = [F.struct("ts", *[c for c in df.columns if c not in ("ts", "order_detail_id")]).alias(name)]
+        part = df.select(F.col("id" if name == "line" else "order_detail_id").alias("_id"), *columns)
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    newest = rows.groupBy("_id").agg(*[F.max(n).alias(n) for n in parts]).where("line IS NOT NULL").select(
+        "line.*", "activity.activity_id", "activity.activity_rule_id", "coupon.coupon_id", "coupon.coupon_use_id")
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("line_version", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(batch_path(f"{root}/lines", batch_id))
+
+    writer = newest.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(work)
+    return _trigger(writer, trigger).start()
+
+
+ORDER_KEY = ["id", "change_ts", "type", "order_status"]
+
+
+def order_wide(
+    changes: DataFrame, lines: DataFrame, codes: DataFrame, root: str, checkpoint: str, trigger: Mapping | None = None,
+    database: str | None = None,
+) -> StreamingQuery:
+    """Order lines with each change of their order -> upsert table ``root/wide`` (key ORDER_KEY, newest ``line_version``).
+
+    ``lines`` is a stream of what ``order_lines`` writes. The join has no time bound; both sides stay in state.
+    """
+    info = cdc_select(
+        changes, "order_info", [c for c in TABLE_COLUMNS["order_info"] if c != "create_time"], ("insert", "update"), database,
+        keep=("ts", "type", "old"),
+    ).withColumnRenamed("ts", "change_ts")
+    wide = wide_join(lines, info, {"order_id": "id"})
+    wide = lookup(wide, codes, "source_type", "dic_code", {"source_name": "dic_name"})
+    return write_upsert(wide, f"{root}/wide", ORDER_KEY, ["line_version"], checkpoint, trigger=trigger)
+
+
 def newest_lines(placed: DataFrame, out: str, checkpoint: str, trigger: Mapping | None = None) -> StreamingQuery:
     """The newest version per order line and micro-batch -> upsert table ``out``.
 

@@ -38,13 +38,14 @@ def cart_uniques(users: DataFrame, size: str = "10 seconds", watermark: str = "2
 
 
 def order_wide(
-    changes: DataFrame, codes: DataFrame, horizon: str = "905 seconds", watermark: str = "5 seconds",
+    changes: DataFrame, codes: DataFrame, horizon: str | None = None, watermark: str = "5 seconds",
     database: str | None = None,
 ) -> DataFrame:
     """Order lines with their order, activity, coupon and source name; one row per order change.
 
     The narrow line-level joins come first, so the wide order columns are shuffled once.
-    ``horizon`` and ``watermark`` apply to streams.
+    ``horizon`` and ``watermark`` apply to streams, where the left joins need a horizon; ``live.order_wide``
+    is the job without one.
     """
     detail = timed(cdc_select(changes, "order_detail", TABLE_COLUMNS["order_detail"], database=database), "et")
     info = cdc_select(
@@ -58,7 +59,7 @@ def order_wide(
     coupon = timed(
         cdc_select(changes, "order_detail_coupon", ["order_detail_id", "coupon_id", "coupon_use_id"],
                    database=database), "coupon_et").drop("ts")
-    if changes.isStreaming:
+    if changes.isStreaming and horizon:
         detail, info = detail.withWatermark("et", watermark), info.withWatermark("info_et", watermark)
         activity, coupon = activity.withWatermark("activity_et", watermark), coupon.withWatermark("coupon_et", watermark)
     lines = wide_join(detail, activity, {"id": "order_detail_id"}, "left", "et", "activity_et", horizon)
@@ -88,7 +89,7 @@ _PAYMENT_NAMES = {
 
 
 def payments_succeeded(
-    changes: DataFrame, placed: DataFrame, codes: DataFrame, horizon: str = "905 seconds", watermark: str = "5 seconds",
+    changes: DataFrame, placed: DataFrame, codes: DataFrame, horizon: str | None = None, watermark: str = "5 seconds",
     database: str | None = None,
 ) -> DataFrame:
     """Successful payments, one row per paid order line, with the names of status and type.

@@ -90,7 +90,7 @@ code AS (
     ('1202', 'fair'), ('1203', 'poor'), ('1204', 'none')) AS t(dic_code, dic_name))"""
 
 PRICE, DISC, TAX = money("l_extendedprice"), "cast(l_discount AS DECIMAL(4,2))", "cast(l_tax AS DECIMAL(4,2))"
-LINE_ID = "concat_ws('-', l_orderkey, l_linenumber)"
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, epoch_ms(l_shipdate))"
 
 LINES = f"""
 line AS (
@@ -207,19 +207,35 @@ _LINE_AMOUNTS = f"""
 _AMOUNTS = ("original_amount", "activity_amount", "coupon_amount", "order_amount")
 
 
-def sku_result(rows: str, count: str) -> str:
-    sums = ", ".join(f"cast(sum({a}) AS DOUBLE) AS {a}" for a in _AMOUNTS)
+def sku_result(agg: str) -> str:
     return f"""
 WITH {WIDE}, {NEWEST}, {DIMS},
-amounts AS (SELECT id, order_id, sku_id, create_time, {_LINE_AMOUNTS} FROM newest),
-{rows},
-agg AS (SELECT {win("epoch_ms(strptime(create_time, " + DT + "))", YEAR)}, sku_id, {count} AS order_count, {sums}
-        FROM r GROUP BY 1, 2, 3)
+{agg}
 SELECT stt, edt, trademark_id, trademark_name, category1_id, category1_name, category2_id, category2_name, category3_id,
        category3_name, sku_id, sku_name, sku_dim.spu_id AS spu_id, spu_name, order_count, {", ".join(_AMOUNTS)}
 FROM agg LEFT JOIN sku_dim ON sku_id = sku_dim.id LEFT JOIN spu_dim ON sku_dim.spu_id = spu_dim.id {_CATEGORIES}"""
 
 
+def sku_agg(rows: str, count: str) -> str:
+    sums = ", ".join(f"cast(sum({a}) AS DOUBLE) AS {a}" for a in _AMOUNTS)
+    return f"""
+amounts AS (SELECT id, order_id, sku_id, create_time, {_LINE_AMOUNTS} FROM newest),
+{rows},
+agg AS (SELECT {win("epoch_ms(strptime(create_time, " + DT + "))", YEAR)}, sku_id, {count} AS order_count, {sums}
+        FROM r GROUP BY 1, 2, 3)"""
+
+
+# Straight from the order lines, without the derived identifiers and joins that the query goes through.
+_PLAIN_SKU = f"""
+agg AS (
+  SELECT {win("epoch_ms(l_shipdate)", YEAR)}, l_partkey::VARCHAR AS sku_id, count(DISTINCT l_orderkey) AS order_count,
+         cast(sum({money(f"{PRICE} * l_quantity::INT")}) AS DOUBLE) AS original_amount,
+         cast(sum(CASE WHEN {DISC} > 0 THEN {money(f"{PRICE} * {DISC}")} ELSE 0 END) AS DOUBLE) AS activity_amount,
+         cast(sum(CASE WHEN {TAX} > 0 THEN {money(f"{PRICE} * {TAX}")} ELSE 0 END) AS DOUBLE) AS coupon_amount,
+         cast(sum({money(f"{PRICE} * (1 - {DISC})")}) AS DOUBLE) AS order_amount
+  FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY 1, 2, 3)"""
+
+
 def users_sql(source: str, time: str, day_name: str, new_name: str) -> str:
     return f"""
 WITH {source},
@@ -391,10 +407,10 @@ WITH {WIDE} SELECT * EXCLUDE (type, moved) FROM wide WHERE type = 'update' AND o
     "newest_order_lines": f"""
 WITH {WIDE}, {NEWEST}
 SELECT id, order_id, sku_id, order_price, sku_num, create_time, activity_id, coupon_id, change_ts FROM newest""",
-    "sku_orders": sku_result("r AS (SELECT * FROM amounts)", "count(DISTINCT order_id)"),
-    "sku_orders_dedup": sku_result("""
+    "sku_orders": sku_result(_PLAIN_SKU),
+    "sku_orders_dedup": sku_result(sku_agg("""
 r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id, sku_id ORDER BY create_time, id) AS rn FROM amounts)
-      WHERE rn = 1)""", "count(*)"),
+      WHERE rn = 1)""", "count(*)")),
     "province_orders": f"""
 WITH a AS (
   SELECT {win("epoch_ms(o_orderdate)", MONTH)}, (o_custkey % 28)::VARCHAR AS province_id, count(*) AS order_count,
@@ -426,11 +442,13 @@ FROM rp JOIN info ON rp.order_id = info.id AND info.order_status = '1006' AND in
 JOIN req ON rp.order_id = req.order_id AND rp.sku_id = req.sku_id AND req.type = 'update'
 JOIN code ON payment_type = dic_code""",
     "refunds_by_brand_category_user": f"""
-WITH {WIDE}, {REFUND_WIDE}, {DIMS},
+WITH {DIMS},
 a AS (
-  SELECT {win(f"epoch_ms(strptime(refund_create_time, {DT}))", MONTH)}, category3_id, trademark_id, user_id,
-         cast(sum(cast(refund_amount AS DECIMAL(18,2))) AS DOUBLE) AS refund_amount, count(*) AS refund_count
-  FROM rw LEFT JOIN sku_dim ON sku_id = sku_dim.id GROUP BY 1, 2, 3, 4, 5)
+  SELECT {win("epoch_ms(r.l_shipdate)", MONTH)}, category3_id, trademark_id, o_custkey::VARCHAR AS user_id,
+         cast(sum({money("r.l_extendedprice")}) AS DOUBLE) AS refund_amount, count(*) AS refund_count
+  FROM lineitem r JOIN lineitem l ON r.l_orderkey = l.l_orderkey AND r.l_partkey = l.l_partkey
+  JOIN orders ON r.l_orderkey = o_orderkey LEFT JOIN sku_dim ON r.l_partkey::VARCHAR = sku_dim.id
+  WHERE r.l_returnflag = 'R' GROUP BY 1, 2, 3, 4, 5)
 SELECT stt, edt, trademark_id, trademark_name, category1_id, category1_name, category2_id, category2_name, category3_id,
        category3_name, user_id, refund_amount, refund_count
 FROM a {_CATEGORIES}""",
@@ -441,7 +459,7 @@ AND p.ts BETWEEN c.ts - INTERVAL 2 HOUR AND c.ts + INTERVAL 1 HOUR""",
     "customer_geography": """
 SELECT c_custkey, c_nationkey, n_name AS nation_name, n_regionkey AS region_key, r_name AS region_name
 FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 7) n ON c_nationkey = n_nationkey
-LEFT JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal > 0""",
+LEFT JOIN region ON n_regionkey = r_regionkey""",
     "sku_enriched": f"""
 WITH {DIMS}
 SELECT sku_dim.id AS sku_id, sku_name, sku_dim.spu_id AS spu_id, category3_id, trademark_id, spu_name, category3_name,
@@ -474,20 +492,15 @@ WITH {EV}, {BOUNCES} SELECT mid, ch, ts, seq FROM uj WHERE ts + 21600000 <= (SEL
 WITH {EV}, v AS (SELECT DISTINCT mid, page_id, ts // 86400000 AS day FROM ev WHERE page_id IN ('home', 'good_detail'))
 SELECT {win("day * 86400000", DAY)}, sum(CASE WHEN page_id = 'home' THEN 1 ELSE 0 END)::BIGINT AS home_uv_ct,
        sum(CASE WHEN page_id = 'good_detail' THEN 1 ELSE 0 END)::BIGINT AS good_detail_uv_ct
-FROM v WHERE day < (SELECT max(day) FROM v) GROUP BY 1, 2""",
-    "live_keyword_counts": f"""
-SELECT * FROM ({ORACLES["keyword_counts"]})
-WHERE edt <= strftime(make_timestamp((1704067200 - 2 + (SELECT max(doc_id) FROM documents)) * 1000000), {DT})""",
+FROM v GROUP BY 1, 2""",
+    "live_keyword_counts": ORACLES["keyword_counts"],
     "live_log_split_counts": ORACLES["log_split_counts"],
     "live_returning_users": ORACLES["returning_users"],
     "live_order_users": users_sql(
         "rows_ AS (SELECT o_custkey AS user_id, epoch_ms(o_orderdate) AS t0 FROM orders)", "t0",
         "order_unique_user_count", "order_new_user_count"),
-    "live_province_orders": f"""
-SELECT * FROM ({ORACLES["province_orders"]})
-WHERE edt <= (SELECT strftime(max(o_orderdate) - INTERVAL 2 SECOND, {DT}) FROM orders)""",
-    "live_registrations": f"""
-SELECT * FROM ({ORACLES["registrations"]}) WHERE edt <= (SELECT strftime(max({_USER_T}) - INTERVAL 2 SECOND, {DT}) FROM customer)""",
+    "live_province_orders": ORACLES["province_orders"],
+    "live_registrations": ORACLES["registrations"],
     "live_cart_adds": ORACLES["cart_adds"],
     "live_sku_order_lines": f"""
 WITH {LINES}, {DIMS}, a AS (SELECT sku_id, order_id, ts, {_LINE_AMOUNTS} FROM line)
@@ -496,10 +509,13 @@ SELECT {win("ts", YEAR)}, sku_id, trademark_name, count(DISTINCT order_id) AS or
 FROM a LEFT JOIN sku_dim ON sku_id = sku_dim.id LEFT JOIN tm_dim ON trademark_id = tm_dim.id
 WHERE (ts // {YEAR * 1000} + 1) * {YEAR * 1000} <= {_LINE_MARK} GROUP BY 1, 2, 3, 4""",
     "live_refunds_paid": ORACLES["refunds_paid"],
-    "live_orders_placed": f"""
-WITH {WIDE}
-SELECT id, order_id, sku_id, user_id, activity_id, coupon_id, split_total_amount, source_name FROM placed
-WHERE activity_id IS NOT NULL AND coupon_id IS NOT NULL""",
+    "live_order_wide": ORACLES["order_wide"],
+    "live_orders_placed": ORACLES["orders_placed"],
+    "live_orders_cancelled": ORACLES["orders_cancelled"],
+    "live_payments_succeeded": ORACLES["payments_succeeded"],
+    "live_refund_requests": ORACLES["refund_requests"],
+    "live_cart_uniques": ORACLES["cart_uniques"],
+    "live_login_activity": ORACLES["login_activity"],
     "live_interval_pairs": ORACLES["interval_pairs"],
     "live_dim_sync": """
 SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 2 = 0 THEN 'new ' || c_mktsegment ELSE c_mktsegment END AS name,

@@ -1,22 +1,38 @@
 """The same jobs on streams: the given tables are read as streams, written, and the result read back.
 
-Each query runs in a fresh folder below ``spark.checkpoint.dir``. Windowed results hold the windows
-the watermark has closed, as an append stream emits them.
+Each query runs in a fresh folder below ``spark.checkpoint.dir``. Windowed results come in update mode into an
+upsert table, so open windows are there too; only live_sku_order_lines, a chain of two windows, must wait for the watermark.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brookmart import samples
 from brookmart.operators import interval_join, latest_config
 from brookmart.plans import live, refunds, trade, traffic, users
-from brookmart.registry.batch import BOUNCE, DAY, MONTH, YEAR
+from brookmart.registry.batch import BOUNCE, DAY, HOUR, MONTH, YEAR
 from brookmart.session import shared_folder
 from brookmart.sinks import read_dim_table, read_upsert, upsert_dims, write_append, write_upsert
-from brookmart.streaming.jobs import run_to_end, sized_state
+from brookmart.streaming.jobs import run_to_end
+
 
-FAR = "3000 days"  # orders and their lines lie years apart in the given tables
+@contextmanager
+def _sized_state(s: SparkSession, per_core: int = 2) -> Iterator[None]:
+    """The given tables need few state partitions, each of which is committed in every micro-batch.
+
+    Jobs take the number from the session; this is for the small runs here alone.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = int(s.conf.get(name))
+    s.conf.set(name, min(before, per_core * s.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        s.conf.set(name, before)
 
 
 def _store(df: DataFrame, root: str, name: str) -> str:
@@ -35,6 +51,12 @@ def _restream(s: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame
     return s.readStream.schema(df.schema).parquet(_store(df, root, name))
 
 
+def _windows(s: SparkSession, df: DataFrame, root: str, keys: list[str]) -> DataFrame:
+    """Results of all windows, open ones included, by their keys."""
+    run_to_end(write_upsert(df, f"{root}/windows", keys, ["edt"], f"{root}/checkpoint-windows", "update"))
+    return read_upsert(s, f"{root}/windows", keys, ["edt"])
+
+
 def _pages(s, d) -> DataFrame:
     return traffic.with_event_time(samples.pages(samples.stream_reader(s, d)))
 
@@ -55,12 +77,12 @@ def live_bounce_visits(s, d):
 def live_page_uniques(s, d):
     root = shared_folder(s, "page-uniques")
     visitors = _restream(s, live.page_visitors(_pages(s, d)), root, "visitors")
-    return _table(s, traffic.page_uniques(visitors, DAY), root, "windows")
+    return _windows(s, traffic.page_uniques(visitors, DAY), root, ["stt"])
 
 
 def live_keyword_counts(s, d):
     pages = traffic.with_event_time(samples.search_pages(samples.stream_reader(s, d)))
-    return _table(s, traffic.keyword_counts(pages, "1 minute"), shared_folder(s, "keywords"), "windows")
+    return _windows(s, traffic.keyword_counts(pages, "1 minute"), shared_folder(s, "keywords"), ["stt", "source", "keyword"])
 
 
 def live_log_split_counts(s, d):
@@ -90,13 +112,12 @@ def live_province_orders(s, d):
     root = shared_folder(s, "provinces")
     changes = samples.changes(samples.stream_reader(s, d), "order_info")
     out = trade.province_orders(changes, samples.dims(s, d)["base_province"], MONTH)
-    run_to_end(write_upsert(out, f"{root}/windows", ["stt", "province_id"], ["order_count"], f"{root}/checkpoint"))
-    return read_upsert(s, f"{root}/windows", ["stt", "province_id"], ["order_count"])
+    return _windows(s, out, root, ["stt", "province_id"])
 
 
 def live_registrations(s, d):
     changes = samples.changes(samples.stream_reader(s, d), "user_info")
-    return _table(s, users.registrations(users.users_registered(changes), "1 hour"), shared_folder(s, "registrations"), "windows")
+    return _windows(s, users.registrations(users.users_registered(changes), "1 hour"), shared_folder(s, "registrations"), ["stt"])
 
 
 def live_cart_adds(s, d):
@@ -104,6 +125,19 @@ def live_cart_adds(s, d):
     return _table(s, carts, shared_folder(s, "carts"), "carts")
 
 
+def live_cart_uniques(s, d):
+    root = shared_folder(s, "cart-uniques")
+    carts = trade.cart_adds(samples.changes(samples.stream_reader(s, d), "cart_info"), samples.codes(s), samples.DATABASE)
+    firsts = _restream(s, live.cart_users(carts), root, "users")
+    return _windows(s, trade.cart_uniques(firsts, MONTH), root, ["stt"])
+
+
+def live_login_activity(s, d):
+    root = shared_folder(s, "login-windows")
+    run_to_end(live.login_days(_pages(s, d), root, f"{root}/checkpoint"))
+    return users.login_activity(s.read.parquet(f"{root}/rows"), HOUR)
+
+
 def live_sku_order_lines(s, d):
     """The two-level window count on a stream: orders and amounts per SKU and year, closed years only."""
     lines = samples.changes(samples.stream_reader(s, d), "order_detail").selectExpr(
@@ -119,20 +153,55 @@ def live_sku_order_lines(s, d):
 def live_refunds_paid(s, d):
     """Two chained stream-stream joins."""
     changes = samples.changes(samples.stream_reader(s, d), "refund_payment", "order_info", "order_refund_info")
-    rows = refunds.refunds_paid(changes, samples.codes(s), FAR)
+    rows = refunds.refunds_paid(changes, samples.codes(s))
     return _table(s, rows, shared_folder(s, "refunds"), "refunds")
 
 
+def _run_order_wide(s, d, root: str) -> DataFrame:
+    """The five-way order join as two stream jobs; the schema of its upsert table, read back."""
+    def changes(*tables: str) -> DataFrame:
+        return samples.changes(samples.stream_reader(s, d), *tables)
+
+    lines = changes("order_detail", "order_detail_activity", "order_detail_coupon")
+    run_to_end(live.order_lines(lines, root, f"{root}/checkpoint-lines", database=samples.DATABASE))
+    stored = s.read.parquet(f"{root}/lines").drop("batch_id")
+    versions = s.readStream.schema(stored.schema).parquet(f"{root}/lines/*")
+    run_to_end(live.order_wide(changes("order_info"), versions, samples.codes(s), root, f"{root}/checkpoint-wide", database=samples.DATABASE))
+    return s.read.parquet(f"{root}/wide").drop("batch_id")
+
+
+def _order_wide(s, d) -> DataFrame:
+    root = shared_folder(s, "orders")
+    _run_order_wide(s, d, root)
+    return read_upsert(s, f"{root}/wide", live.ORDER_KEY, ["line_version"]).drop("line_version")
+
+
+def live_order_wide(s, d):
+    return _order_wide(s, d).drop("old")
+
+
 def live_orders_placed(s, d):
-    """The five-way order join on streams; the lines whose outer joins were decided by a match."""
-    changes = samples.changes(
-        samples.stream_reader(s, d), "order_info", "order_detail", "order_detail_activity", "order_detail_coupon"
-    )
-    placed = trade.orders_placed(trade.order_wide(changes, samples.codes(s), FAR))
-    rows = _table(s, placed, shared_folder(s, "orders"), "orders")
-    return rows.where("activity_id IS NOT NULL AND coupon_id IS NOT NULL").select(
-        "id", "order_id", "sku_id", "user_id", "activity_id", "coupon_id", "split_total_amount", "source_name"
-    )
+    return trade.orders_placed(_order_wide(s, d))
+
+
+def live_orders_cancelled(s, d):
+    return trade.orders_cancelled(_order_wide(s, d))
+
+
+def live_payments_succeeded(s, d):
+    """The order join, and the payments joined to the stream of its versions."""
+    root = shared_folder(s, "payments")
+    wide = s.readStream.schema(_run_order_wide(s, d, root).schema).parquet(f"{root}/wide/*")
+    paid = trade.payments_succeeded(
+        samples.changes(samples.stream_reader(s, d), "payment_info"), trade.orders_placed(wide), samples.codes(s))
+    key = ["id", "change_ts", "payment_ts"]
+    run_to_end(write_upsert(paid, f"{root}/paid", key, ["line_version"], f"{root}/checkpoint-paid"))
+    return read_upsert(s, f"{root}/paid", key, ["line_version"]).drop("line_version")
+
+
+def live_refund_requests(s, d):
+    changes = samples.changes(samples.stream_reader(s, d), "order_refund_info", "order_info")
+    return _table(s, refunds.refund_requests(changes, samples.codes(s)), shared_folder(s, "requests"), "requests")
 
 
 def live_interval_pairs(s, d):
@@ -158,7 +227,7 @@ def live_dim_sync(s, d):
 
 def _sized(query):
     def run(s: SparkSession, d: str) -> DataFrame:
-        with sized_state(s):
+        with _sized_state(s):
             return query(s, d)
 
     return run
@@ -167,5 +236,6 @@ def _sized(query):
 STREAMS = {f.__name__: _sized(f) for f in (
     live_unique_visits, live_bounce_visits, live_page_uniques, live_keyword_counts, live_log_split_counts,
     live_returning_users, live_order_users, live_province_orders, live_registrations, live_cart_adds,
-    live_sku_order_lines, live_refunds_paid, live_orders_placed, live_interval_pairs, live_dim_sync,
+    live_cart_uniques, live_login_activity, live_sku_order_lines, live_refund_requests, live_refunds_paid, live_order_wide,
+    live_orders_placed, live_orders_cancelled, live_payments_succeeded, live_interval_pairs, live_dim_sync,
 )}

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brookmart import schemas
 from brookmart.functions.dates import DATETIME
-from brookmart.operators.joins import estimated_bytes
 from brookmart.operators.parse import to_json_value
 
 
@@ -33,7 +32,6 @@ LAYOUT = {
 }
 
 DATABASE = "shop"
-SMALL_BYTES = 1024 * 1024 * 1024
 
 
 Reader = Callable[[str], DataFrame]
@@ -42,7 +40,7 @@ Reader = Callable[[str], DataFrame]
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, with zone-less times as timestamps of the session zone (UTC)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return _zoned(spread_small(spark.read.schema(LAYOUT[name]).parquet(f"{sf_dir}/{name}.parquet")))
+    return _zoned(spark.read.schema(LAYOUT[name]).parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def reader(spark: SparkSession, sf_dir: str) -> Reader:
@@ -65,19 +63,6 @@ def _zoned(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Hash a small table of fewer splits than cores over more tasks, by its first column (an id).
-
-    A table of one small file would otherwise be read, and all work up to the next shuffle done, by
-    one task. Tables above ``SMALL_BYTES`` have splits enough and are left alone.
-    """
-    size = estimated_bytes(df)
-    if size > SMALL_BYTES:
-        return df
-    parts = min(df.sparkSession.sparkContext.defaultParallelism, size // (1024 * 1024) + 1)
-    return df.repartition(parts, df.columns[0]) if parts > len(df.inputFiles()) else df
-
-
 def text(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -214,7 +199,8 @@ def money(x: str) -> str:
     return f"cast({x} as decimal(18,2))"
 
 
-LINE_ID = "concat_ws('-', l_orderkey, l_linenumber)"
+# Order and line number alone repeat in the given tables.
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, unix_millis(l_shipdate))"
 PRICE, DISCOUNT, TAX = money("l_extendedprice"), "cast(l_discount as decimal(4,2))", "cast(l_tax as decimal(4,2))"
 
 

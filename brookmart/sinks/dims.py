@@ -17,6 +17,8 @@ from brookmart.operators.state import latest_by_key
 from brookmart.sinks.append import _trigger
 from brookmart.sinks.upsert import batch_path
 
+KEYLESS = "rows_without_key"
+
 _ROWS = T.StructType([
     T.StructField("pk", T.StringType()),
     T.StructField("data", schemas.STRING_MAP),
@@ -31,10 +33,16 @@ def ensure_dim_table(spark: SparkSession, root: str, sink_table: str) -> None:
 
 
 def upsert_batch(changes: DataFrame, config: DataFrame, batch_id: int, root: str) -> None:
-    """Route one batch of change rows and write the newest row per table and key."""
+    """Route one batch of change rows and write the newest row per table and key.
+
+    Every configured table exists afterwards, empty or not. Rows without a key are kept whole, in the table KEYLESS.
+    """
+    for route in config.select("sink_table").distinct().collect():  # a row per configured table
+        ensure_dim_table(changes.sparkSession, root, route["sink_table"])
     rows = route_dims(changes, config).select("sink_table", "pk", "data", "ts")
-    newest = latest_by_key(rows, ["sink_table", "pk"], ["ts", F.to_json("data")])
-    newest.write.mode("overwrite").partitionBy("sink_table").parquet(batch_path(root, batch_id))
+    newest = latest_by_key(rows.where("pk IS NOT NULL"), ["sink_table", "pk"], ["ts", F.to_json("data")])
+    keyless = rows.where("pk IS NULL").withColumn("sink_table", F.lit(KEYLESS))
+    newest.unionByName(keyless).write.mode("overwrite").partitionBy("sink_table").parquet(batch_path(root, batch_id))
 
 
 def upsert_dims(

@@ -13,7 +13,7 @@ from brookmart.functions import (
 from brookmart.operators import (
     Step, bounces, cdc_increase, cdc_select, cdc_transition, enrich, enrich_chain, first_by, first_ever, first_per_day,
     interval_join, latest_by_key, latest_config, log_rows, lookup, parse_or_drop, parse_or_fail, parse_or_quarantine,
-    repair_is_new, returning_users, route_dims, split_hot_join, split_log, tumble, tumble_distinct, wide_join,
+    repair_is_new, returning_users, route_dims, split_log, tumble, tumble_distinct, wide_join,
 )
 from brookmart.operators.joins import estimated_bytes, small_side
 from brookmart.sources import kafka_source, read_changes, read_delimited, read_dim, read_text
@@ -244,18 +244,6 @@ def test_interval_join_brute_force(spark):
         assert sorted(tuple(x) for x in got.select("li", "ri").collect()) == want
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_split_hot_join_gives_the_plain_join(spark, how):
-    big = spark.createDataFrame(
-        [("hot", 1) for _ in range(300)] + [("hot", i) for i in range(300)] + [(f"k{i % 40}", i) for i in range(400)]
-        + [(None, 7), ("alone", 8)], "k string, v int").repartition(5)
-    side = spark.createDataFrame([("hot", "H"), *[(f"k{i}", f"K{i}") for i in range(30)], ("unused", "U")], "k string, name string")
-    want = rows(big.join(side, "k", how).select("k", "v", "name"))
-    got = split_hot_join(big, side, "k", how, rows_per_split=50)
-    assert rows(got, "k", "v", "name") == want
-    assert got.columns == ["k", "v", "name"]
-
-
 # ---- windows -----------------------------------------------------------------------------------
 
 def test_tumble_bounds_and_keys(spark):
@@ -316,9 +304,8 @@ def test_repair_is_new(spark):
         ("b", 1, "0"), ("b", 2, "1"), ("b", 30, "1"),  # known before: never new
         ("c", 49, "1"), (None, 3, "1"),
     )
-    for split in (1, 5_000_000):
-        got = dict(rows(repair_is_new(df, "mid", "ts", "is_new", ["seq"], rows_per_split=split), "seq", "is_new"))
-        assert got == {0: "1", 1: "1", 2: "0", 3: "0", 4: "0", 5: "0", 6: "0", 7: "1", 8: "1"}
+    got = dict(rows(repair_is_new(df, "mid", "ts", "is_new", ["seq"]), "seq", "is_new"))
+    assert got == {0: "1", 1: "1", 2: "0", 3: "0", 4: "0", 5: "0", 6: "0", 7: "1", 8: "1"}
 
 
 def test_repair_is_new_brute_force_with_a_hot_device(spark):
@@ -328,7 +315,7 @@ def test_repair_is_new_brute_force_with_a_hot_device(spark):
     for i, (k, h, flag) in sorted(enumerate(at), key=lambda x: (x[1][1], x[0])):
         first.setdefault(k, h // 24 if flag == "1" else h // 24 - 1)
     want = {i: "0" if flag == "1" and h // 24 != first[k] else flag for i, (k, h, flag) in enumerate(at)}
-    got = repair_is_new(flagged(spark, *at), "mid", "ts", "is_new", ["seq"], rows_per_split=40)
+    got = repair_is_new(flagged(spark, *at), "mid", "ts", "is_new", ["seq"])
     assert dict(rows(got, "seq", "is_new")) == want
 
 
@@ -410,6 +397,10 @@ def test_log_rows_equals_split_log(spark):
     for kind, part in split_log(logs).items():
         assert rows(one_pass.where(F.col("kind") == kind), "ts", "page.page_id") == (
             rows(part, "ts", "page.page_id") if "page" in part.columns else rows(part, "ts", F.lit(None).alias("page_id")))
+    errors = split_log(logs)["error"]
+    whole = [F.to_json(F.struct(*errors.columns)).alias("log")]
+    assert rows(one_pass.where("kind = 'error'").select(*errors.columns), *whole) == rows(errors, *whole)
+    assert one_pass.where("kind <> 'error' AND (display IS NOT NULL OR action IS NOT NULL OR err IS NOT NULL)").count() == 0
 
 
 # ---- plans -------------------------------------------------------------------------------------

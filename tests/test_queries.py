@@ -3,9 +3,13 @@
 import pytest
 
 import __spark_entry__ as driver
+from brookmart.registry.batch import BATCH
+from brookmart.registry.oracles import ORACLES, STREAM_ORACLES
+from brookmart.registry.streams import STREAMS
 from tests.check import compare, connect
 
 SF = "/root/testdata/sf0.001"
+OWN = {**BATCH, **STREAMS}
 
 
 @pytest.fixture(scope="module")
@@ -16,10 +20,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(OWN) <= set(driver.queries())
+    assert set(OWN) == {*ORACLES, *STREAM_ORACLES} <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(OWN))
 def test_query(spark, con, name):
     assert compare(spark, con, SF, driver.queries()[name], driver.oracle_sql()[name]) == ""
 

@@ -13,7 +13,7 @@ from brookmart.session import shared_folder
 from brookmart.sinks import (
     compact_upsert, ensure_dim_table, kafka_sink, read_dim_table, read_upsert, upsert_batch, write_append, write_upsert,
 )
-from brookmart.sinks.dims import upsert_batch as upsert_dims_batch
+from brookmart.sinks.dims import KEYLESS, upsert_batch as upsert_dims_batch
 from brookmart.sources import read_text_stream
 from brookmart.streaming.dedup import first_per_day_stream
 from brookmart.streaming.jobs import late_rows, run_to_end, start_batches
@@ -140,7 +140,29 @@ def test_left_wide_join_stream_emits_the_null_side_after_the_horizon(spark, tmp_
     df = wide_join(l.stream(), r.stream(), {"k": "rk"}, "left", "lt", "rt", "1 hour", "5 seconds")
     assert rows(drain(spark, df, tmp_path), "k", "v") == [("a", 1), ("b", None), ("c", None)]
     with pytest.raises(ValueError):
-        wide_join(l.stream(), r.stream(), {"k": "rk"})
+        wide_join(l.stream(), r.stream(), {"k": "rk"}, "left")
+
+
+def test_inner_wide_join_stream_keeps_partners_that_come_days_late(spark, tmp_path):
+    l = Feed(spark, tmp_path / "l", "k string, lt timestamp")
+    r = Feed(spark, tmp_path / "r", "rk string, rt timestamp, v int")
+    l.add(spark.createDataFrame([("a", T0), ("b", T0)], "k string, lt timestamp"))
+    r.add(spark.createDataFrame([("z", T0 + timedelta(days=90), 0)], "rk string, rt timestamp, v int"))
+    r.add(spark.createDataFrame([("a", T0 + timedelta(days=40), 1), ("b", T0 - timedelta(days=40), 2)], "rk string, rt timestamp, v int"))
+    df = wide_join(l.stream(), r.stream(), {"k": "rk"}, "inner", "lt", "rt")
+    assert rows(drain(spark, df, tmp_path), "k", "v") == [("a", 1), ("b", 2)]
+
+
+def test_order_lines_come_at_once_and_again_with_what_arrives_later(spark, tmp_path):
+    layout = changes(spark).schema
+    feed = Feed(spark, tmp_path / "in", layout)
+    line = {"id": "1", "order_id": "o", "sku_id": "s"}
+    feed.add(changes(spark, change("order_detail", "insert", line, ts=1), change("order_detail_activity", "insert", {"order_detail_id": "2", "activity_id": "x"}, ts=1)))
+    feed.add(changes(spark, change("order_detail_coupon", "insert", {"order_detail_id": "1", "coupon_id": "c"}, ts=9 * 86_400_000)))
+    feed.add(changes(spark, change("order_detail_activity", "insert", {"order_detail_id": "1", "activity_id": "a"}, ts=99 * 86_400_000)))
+    run_to_end(live.order_lines(feed.stream(), str(tmp_path), f"{tmp_path}/cp"))
+    got = spark.read.parquet(f"{tmp_path}/lines")
+    assert rows(got, "line_version", "id", "activity_id", "coupon_id") == [(0, "1", None, None), (1, "1", None, "c"), (2, "1", "a", "c")]
 
 
 def test_upsert_restart_and_compaction(spark, feed, tmp_path):
@@ -279,6 +301,18 @@ def test_dims_of_several_batches(spark, tmp_path):
     assert rows(read_dim_table(spark, root, "dim_user", ["id", "name"])) == [("1", "z"), ("2", "y")]
 
 
+def test_dims_create_configured_tables_and_keep_rows_without_key(spark, tmp_path):
+    root = str(tmp_path / "dims")
+    config = spark.createDataFrame(
+        [("user", "dim_user", "id,name", None, None), ("sku", "dim_sku", "id", None, None)], schemas.ROUTE)
+    upsert_dims_batch(changes(spark, change("user", "insert", {"name": "x"}), change("user", "insert", {"name": "y"}),
+                              change("user", "insert", {"id": "1", "name": "z"})), config, 0, root)
+    assert rows(read_dim_table(spark, root, "dim_user", ["id", "name"])) == [("1", "z")]
+    assert read_dim_table(spark, root, "dim_sku", ["id"]).count() == 0
+    kept = spark.read.parquet(root).where(F.col("sink_table") == KEYLESS)
+    assert rows(kept, F.col("data")["name"]) == [("x",), ("y",)]
+
+
 def test_text_stream_and_json_append(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.txt").write_text("one\ntwo\n")
