@@ -3,13 +3,16 @@
 Jaccard distance is a metric, and two documents link when theirs is at most DELTA. The join works on distinct sets:
 
 1. Anchor regions. Every linked pair shares a shingle among the first n - ceil(t n) + 1 of each set in one
-   global order (rare shingles first). So each set is replicated into the regions of these anchors, and sets whose regions touch form
-   a group; no link leaves its group.
+   global order (rare shingles first). So each set is replicated into the regions of these anchors. Within a region, pairs are
+   excluded by size and by profiles: shingles counted by hash; the sum of the smaller counts is at least the number of
+   common shingles. In a region too large for one task, sets are tied to the next larger one if their sizes allow a link at all. Sets tied
+   together form a group; no link leaves its group.
 2. Voronoi recursion. A group that fits a task is joined there. A larger one is divided by pivots: every set goes to the cell of its
    nearest pivot and, as a boundary set, into each cell whose pivot is no further than 2 DELTA beyond that; by the triangle
    inequality every linked pair meets in a cell. Distances to pivots are links themselves, so cells whose sets are all connected
    already are finished, and a dense cloud of near copies needs no pairs of its own.
-3. Cells that neither shrink nor finish are joined exactly by pairs of blocks.
+3. Cells that are not finished after ROUNDS are joined exactly by pairs of blocks: the sets outside the largest component of a
+   cell meet all sets of the cell.
 
 Pure Voronoi regions over all documents would not do: unrelated documents have distance 1 to each other and to every pivot,
 so triangle windows would copy all documents into all regions. The anchor regions are what separates these.
@@ -18,11 +21,13 @@ so triangle windows would copy all documents into all regions. The anchor region
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +36,12 @@ from brookmart.llm.components import components
 
 WORDS, PERCENT = 4, 85
 #: Sets and shingles that one task joins; sets per task when distances to pivots are taken; pivots per cell and round.
-LEAF, LEAF_SHINGLES, CHUNK, PIVOTS, ROUNDS = 256, 400_000, 256, 16, 6
+LEAF, LEAF_SHINGLES, CHUNK, PIVOTS, ROUNDS = 1000, 1_000_000, 256, 16, 2
 #: The order of anchors is learned from about so many documents: shingles in COMMON or more of them come last, by count.
 #: Any order gives the same links; this one keeps frequent passages from being anchors.
-ORDER_DOCS, COMMON, COMMON_MOST = 8_000, 6, 200_000
+ORDER_DOCS, COMMON, COMMON_MOST = 8_000, 3, 400_000
+#: Rows of a region whose pairs are tried in one task; fewest and most counters of a profile; bits of the filters for what is read again.
+REGION, PROFILE, PROFILE_MOST, FILTER_BITS = 4096, 64, 8192, 1 << 22
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
@@ -236,21 +243,14 @@ def group_links(sets: DataFrame, scratch: Scratch, percent: int = PERCENT, round
         cells = scratch.keep(cells.join(large, "cell").withColumn(
             "chunk", F.pmod(F.xxhash64("key"), F.ceil(F.greatest(F.col("m") / CHUNK, F.col("shingles") / LEAF_SHINGLES)))), "cells")
         if number == rounds:
-            # What is left is joined by pairs of blocks: every block meets every other in one task.
-            blocks = F.transform(F.sequence(F.lit(0).cast("long"), F.ceil(F.greatest(F.col("m") / CHUNK, F.col("shingles") / LEAF_SHINGLES)) - 1),
-                                 lambda j: F.struct(F.least("chunk", j).alias("i"), F.greatest("chunk", j).alias("j")))
-            met = cells.withColumn("block", F.explode(blocks)).select("cell", "block", "key", "set")
-            found.append(scratch.keep(met.groupBy("cell", "block").applyInPandas(_local_links(percent), edge), "links"))
+            found.append(scratch.keep(_block_links(cells, components(_all(found), scratch), percent), "links"))
             break
 
         # The middle of each cell, from about 64 drawn sets; the sets nearest to it are the best pivots.
         drawn = cells.where((F.xxhash64("key", F.lit(number)) / 2.0**64 + 0.5) * F.col("m") < 64)
         middle = scratch.keep(drawn.groupBy("cell").applyInPandas(_consensus, "cell long, key binary, set binary"), "middle")
         reach = _distances(cells, middle, percent).select("cell", "key", F.coalesce(F.col("d")[0], F.lit(1.0)).alias("d0"))
-        links_so_far = found[0]
-        for f in found[1:]:
-            links_so_far = links_so_far.union(f)
-        labels = components(links_so_far, scratch)
+        labels = components(_all(found), scratch)
         known = scratch.keep(
             cells.select("cell", "key", "n", "chunk").join(reach, ["cell", "key"]).join(labels.withColumnRenamed("node", "key"), "key", "left")
             .withColumn("label", F.coalesce("label", "key")), "known")
@@ -263,7 +263,7 @@ def group_links(sets: DataFrame, scratch: Scratch, percent: int = PERCENT, round
         found.append(scratch.keep(seen.select(F.col("key").alias("a"), F.explode("links").alias("b")), "links"))
 
         # A pivot knows all its links now and need not go on. The others go to their cell and, by the window, to neighbouring ones.
-        labels = components(links_so_far.union(found[-1]), scratch)
+        labels = components(_all(found), scratch)
         homes = seen.join(pivots.select("cell", "key"), ["cell", "key"], "left_anti").select(
             "cell", "key", F.posexplode(F.transform("d", lambda x: x <= F.array_min("d") + 2 * delta)).alias("j", "near")).where("near")
         homes = scratch.keep(
@@ -278,10 +278,105 @@ def group_links(sets: DataFrame, scratch: Scratch, percent: int = PERCENT, round
             "cell", "key", F.when(F.col("split"), F.col("inner")).otherwise(F.col("cell")).alias("to")).distinct()
         cells = scratch.keep(placed.join(cells.select("cell", "key", "n", "set"), ["cell", "key"]).select(
             F.col("to").alias("cell"), "key", "n", "set"), "cells")
-    links = found[0]
-    for f in found[1:]:
-        links = links.union(f)
-    return links
+    return _all(found)
+
+
+def _all(links: list[DataFrame]) -> DataFrame:
+    out = links[0]
+    for more in links[1:]:
+        out = out.union(more)
+    return out
+
+
+def _block_links(cells: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links between sets outside the largest component of their cell and all sets of the cell.
+
+    Sets of one component need no comparison, so these are all that can join components. Blocks are of bounded size, and each pair of blocks is a task.
+    """
+    named = cells.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    largest = named.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("alike")).groupBy("cell").agg(F.max_by("label", "alike").alias("most"))
+    named = named.join(largest, "cell").withColumn("apart", F.col("label") != F.col("most"))
+    blocks = named.select("cell", "chunk", "apart").distinct()
+    apart = blocks.where("apart").select("cell", F.col("chunk").alias("i"))
+    tasks = blocks.select("cell", "chunk").distinct().join(apart, "cell")
+    rows = cells.select("cell", "chunk", "key", "set")
+    first = rows.join(tasks, ["cell", "chunk"]).select("cell", "chunk", "i", "key", "set")
+    second = named.where("apart").select("cell", F.col("chunk").alias("i"), "key", "set").join(tasks, ["cell", "i"]).select("cell", "chunk", "i", "key", "set")
+    return first.union(second).groupBy("cell", "chunk", "i").applyInPandas(_local_links(percent), "a binary, b binary")
+
+
+def profile(shingles: np.ndarray) -> np.ndarray:
+    """Shingles counted by hash, about eight to a counter; their number is a power of two, so a longer profile folds to a shorter one.
+
+    Empty if a counter overflows, which excludes nothing.
+    """
+    width = min(PROFILE_MOST, max(PROFILE, 1 << (len(shingles) // 8).bit_length()))
+    counts = np.bincount((shingles % np.uint64(width)).astype(np.int64), minlength=width)
+    return counts.astype(np.uint16) if counts.max(initial=0) < 1 << 16 else np.empty(0, np.uint16)
+
+
+def possible_links(nodes: np.ndarray, sizes: np.ndarray, profiles: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Pairs (positions) of sets of one region whose sizes and profiles leave a link possible; of these, enough to connect what all would.
+
+    An empty profile excludes nothing.
+    """
+    order = np.argsort(sizes, kind="stable")
+    widths = np.array([len(p) for p in profiles])
+    folded: dict[int, np.ndarray] = {}
+    group, found = np.arange(len(nodes)), []
+    for at, i in enumerate(order[:-1]):
+        later = order[at + 1:]
+        later = later[: np.searchsorted(percent * sizes[later], 100 * sizes[i], side="right")]
+        later = later[group[later] != group[i]]
+        if (w := widths[i]) and len(later):
+            if w not in folded:
+                folded[w] = np.array([p.reshape(-1, w).sum(axis=0) if len(p) >= w else np.zeros(w, np.uint64) for p in profiles], np.uint32)
+            most = np.minimum(folded[w][i], folded[w][later]).sum(axis=1, dtype=np.int64)
+            later = later[(most * (100 + percent) >= percent * (sizes[i] + sizes[later])) | (widths[later] < w)]
+        joined = np.unique(group[later], return_index=True)
+        found += [(i, later[k]) for k in joined[1]]
+        group[np.isin(group, joined[0])] = group[i]
+    return found
+
+
+def _region_pairs(percent: int):
+    """Possible links in the regions of a partition; rows come sorted by region."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            rest = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+            anchors = rest.column("anchor").to_numpy()
+            whole_regions = np.searchsorted(anchors, anchors[-1]) if len(anchors) else 0
+            yield pairs(rest.slice(0, whole_regions))
+            rest = rest.slice(whole_regions)
+        if rest is not None:
+            yield pairs(rest)
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        anchors, nodes, sizes = (rows.column(c).to_numpy() for c in ("anchor", "node", "n"))
+        profiles = [np.frombuffer(p or b"", np.uint16) for p in rows.column("profile").to_pylist()]
+        edges = np.flatnonzero(np.diff(anchors, prepend=anchors[:1] - 1 if len(anchors) else 0, append=anchors[-1:] + 1 if len(anchors) else 0))
+        found = np.array([
+            (nodes[start + i], nodes[start + j]) for start, end in zip(edges[:-1], edges[1:], strict=True)
+            for i, j in possible_links(nodes[start:end], sizes[start:end], profiles[start:end], percent)
+        ], np.int64).reshape(-1, 2)
+        return pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    return run
+
+
+def _place(key: bytes, doc_id: int | None) -> int:
+    return zlib.crc32(key + (b"" if doc_id is None else str(doc_id).encode())) % FILTER_BITS
+
+
+def _sieve(places: DataFrame) -> bytes:
+    """A byte for each of FILTER_BITS places, 1 for those in the column ``at``. Other rows may share a place, so a join must follow."""
+    filled = places.selectExpr("CAST(at DIV 32 AS INT) AS i", "SHIFTLEFT(1, CAST(at % 32 AS INT)) AS bit").groupBy("i").agg(
+        F.bit_or("bit").alias("bits")).collect()
+    wanted = np.zeros(FILTER_BITS // 32, np.uint32)
+    for r in filled:  # at most FILTER_BITS / 32 rows
+        wanted[r["i"]] = r["bits"] & 0xFFFFFFFF
+    return np.unpackbits(wanted.view(np.uint8), bitorder="little").tobytes()
 
 
 def _key(shingles: np.ndarray) -> bytes:
@@ -332,41 +427,66 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     piece.column(0), *piece.columns[2:], pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_key(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([anchors_of(s, common, counts, percent).view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ], names=["doc_id", *(["row"] if keep else []), "n", "key", "anchors"])
+                    pa.array([profile(s).tobytes() for s in sets], pa.binary()),
+                ], names=["doc_id", *(["row"] if keep else []), "n", "key", "anchors", "profile"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"))
     carried = docs.select(*(F.col(f"`{c}`") for c in keep)).schema.simpleString() if keep else ""
-    schema = f"doc_id long, {f'row {carried}, ' if keep else ''}n long, key binary, anchors array<long>"
+    schema = f"doc_id long, {f'row {carried}, ' if keep else ''}n long, key binary, anchors array<long>, profile binary"
     wide = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"),
                        *([F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")] if keep else []))
     described = wide.mapInArrow(describe, schema).withColumn("node", F.xxhash64("key")).withColumn("at", F.monotonically_increasing_id())
     described = scratch.keep(described, "described")
 
     # Regions of anchors with two sets or more; of regions with the same sets one is enough.
-    placed = described.where("n > 0").select("node", F.explode("anchors").alias("anchor"))
+    shown = described.where("n > 0")
+    placed = shown.select("node", "n", F.explode("anchors").alias("anchor"))
     regions = placed.groupBy("anchor").agg(
         F.min("node").alias("a"), F.max("node").alias("b"), F.bit_xor("node").alias("members"), F.count(F.lit(1)).alias("m")).where("a <> b")
     regions = scratch.keep(regions.groupBy("a", "b", "members", "m").agg(F.min("anchor").alias("anchor")), "regions")
-    pairs = regions.where("m = 2").select("a", "b")
-    wider = placed.join(regions.where("m > 2").select("anchor", "a"), "anchor").select("a", F.col("node").alias("b"))
-    groups = components(scratch.keep(pairs.union(wider).where("a <> b").distinct(), "touching"), scratch)
+    met = spark.sparkContext.broadcast(_sieve(regions.select(F.pmod("anchor", F.lit(FILTER_BITS)).alias("at"))))
 
-    # Sets of the documents in groups, one document per set; texts are read again for these alone.
-    members = described.where("n > 0").join(groups, "node").groupBy("key").agg(F.min("doc_id").alias("id"), F.first("label").alias("cell"), F.first("n").alias("n"))
+    def in_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The anchors that pass the filter, each in a row."""
+        passes = np.frombuffer(met.value, np.uint8)
+        for batch in batches:
+            lists = batch.column(2)
+            anchors, owner = lists.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy())
+            take = np.flatnonzero(passes[anchors % FILTER_BITS])
+            yield pa.record_batch([batch.column(0).take(pa.array(owner[take])), batch.column(1).take(pa.array(owner[take])), pa.array(anchors[take])],
+                                  names=["node", "n", "anchor"])
+
+    few = shown.select("node", "n", "anchors").mapInArrow(in_regions, "node long, n long, anchor long")
+    inside = scratch.keep(few.join(regions.select("anchor", "m"), "anchor").distinct(), "inside")
+    nodes = shown.groupBy("node").agg(F.when(F.min("key") == F.max("key"), F.first("profile")).alias("profile"))
+    small = inside.where(F.col("m") <= REGION).join(nodes, "node").select("anchor", "node", "n", "profile")
+    tried = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_region_pairs(percent), "a long, b long")
+    by_size = inside.where(F.col("m") > REGION).groupBy("anchor", "n").agg(F.min("node").alias("a"))
+    alike = inside.join(by_size, ["anchor", "n"]).select("a", F.col("node").alias("b"))
+    smaller = Window.partitionBy("anchor").orderBy("n")
+    chained = by_size.withColumn("b", F.lag("a").over(smaller)).withColumn("before", F.lag("n").over(smaller)).where(
+        100 * F.col("before") >= percent * F.col("n")).select("a", "b")
+    touching = scratch.keep(tried.union(alike).union(chained).where("a <> b").distinct(), "touching")
+    scratch.drop(inside)
+    groups = components(touching, scratch)
+
+    # Sets of the documents in groups, one document per set. Texts are read again; a filter of fixed size lets these pass, and few others.
+    members = shown.join(groups, "node").groupBy("key").agg(F.min("doc_id").alias("id"), F.first("label").alias("cell"), F.first("n").alias("n"))
     members = scratch.keep(members, "members")
+    at = F.pmod(F.crc32(F.concat("key", F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))), F.lit(FILTER_BITS))
+    sieve = spark.sparkContext.broadcast(_sieve(members.select(at.alias("at"))))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                piece = batch.slice(at, 200)
-                sets = [shingle_set(t.as_py(), words) for t in piece.column(3)]
-                mask = pa.array([_key(s) == k.as_py() for s, k in zip(sets, piece.column(1), strict=True)])
-                made = pa.record_batch([piece.column(0), piece.column(1), piece.column(2), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                       names=["cell", "key", "n", "set"])
-                yield made.filter(mask)
-
-    texts = rows.join(members, F.col("doc_id").eqNullSafe(F.col("id"))).select("cell", "key", "n", "text")
-    sets = scratch.keep(texts.mapInArrow(sets_of, "cell long, key binary, n long, set binary"), "sets")
+            for begin in range(0, batch.num_rows, 500):
+                found = []
+                for i, t in zip(*(c.to_pylist() for c in batch.slice(begin, 500).columns), strict=True):
+                    s = shingle_set(t, words)
+                    if len(s) and sieve.value[_place(k := _key(s), i)]:
+                        found.append((k, s.tobytes()))
+                yield pa.record_batch([pa.array([k for k, _ in found], pa.binary()), pa.array([s for _, s in found], pa.binary())], names=["key", "set"])
+
+    sets = scratch.keep(rows.mapInArrow(sets_of, "key binary, set binary").join(members, "key").select("cell", "key", "n", "set"), "sets")
     labels = components(group_links(sets, scratch, percent), scratch)
 
     rest = ["row", "at"] if keep else []
