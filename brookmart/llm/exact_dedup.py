@@ -101,9 +101,8 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
         ((F.col("file") == F.col("first.file")) & (F.col("row") == F.col("first.row"))).alias("stays"),
     ), "hits")
     content = hits.where("stays").select("key", F.col("norm").alias("stored"))
-    clash = scratch.keep(
-        hits.where("NOT stays").join(content, "key").where(F.col("norm") != F.col("stored")).select("key").distinct(), "clash",
-    )
+    # Distinct only after writing: a step that needs the join's partitions would keep a hot text's rows from being split.
+    clash = scratch.keep(hits.where("NOT stays").join(content, "key").where(F.col("norm") != F.col("stored")).select("key"), "clash").distinct()
 
     # Texts that share a digest: grouped by their bytes. Empty unless the digest is weak.
     parted = (
