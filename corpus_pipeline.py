@@ -19,6 +19,14 @@ from brookmart.llm.mixing import mix_sources
 from brookmart.llm.token_files import tokenise
 
 
+PLACE = "_place_of_row"
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """Documents with the file and number of each row, by which a decision finds its row again; texts need not travel with it."""
+    return docs.withColumn(PLACE, F.struct("_metadata.file_path", "_metadata.row_index"))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; those without text or letters go, and lang takes the prediction."""
     importable(spark)
@@ -28,8 +36,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the one with the smallest identifier."""
-    found = near_duplicates(docs, words=5, percent=80, keep=docs.columns).where("stays")
-    return found.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    placed = located(docs)
+    found = near_duplicates(placed, words=5, percent=80, keep=[PLACE]).where("stays").select(F.col("row")[PLACE].alias(PLACE))
+    return placed.join(found, PLACE, "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +49,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents as often as the mix takes them; sources keep their words to the nearest document."""
-    mixed = mix_sources(docs)
-    copies = mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies")))
-    return copies.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    placed = located(docs)
+    taken = mix_sources(placed, carry=[PLACE]).where("copies > 0").select(
+        F.col("row")[PLACE].alias(PLACE), F.sequence(F.lit(1), "copies").alias("_copies_of_row"))
+    return placed.join(taken, PLACE).withColumn("_copies_of_row", F.explode("_copies_of_row")).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
