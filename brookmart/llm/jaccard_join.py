@@ -36,7 +36,7 @@ from brookmart.llm.components import components
 
 WORDS, PERCENT = 4, 85
 #: Sets and shingles that one task joins; sets per task when distances to pivots are taken; pivots per cell and round.
-LEAF, LEAF_SHINGLES, CHUNK, PIVOTS, ROUNDS = 1000, 1_000_000, 256, 16, 2
+LEAF, LEAF_SHINGLES, CHUNK, PIVOTS, ROUNDS = 4000, 1_000_000, 256, 16, 2
 #: The order of anchors is learned from about so many documents: shingles in COMMON or more of them come last, by count.
 #: Any order gives the same links; this one keeps frequent passages from being anchors.
 ORDER_DOCS, COMMON, COMMON_MOST = 8_000, 3, 400_000
@@ -118,53 +118,63 @@ class _Forest:
         self.up[self.root(i)] = self.root(j)
 
 
-def join_cell(sets: list[frozenset], percent: int = PERCENT) -> list[int]:
-    """A root for each set, so that sets connected by links (among these sets) have the same root.
+def join_cell(sets: list[np.ndarray], percent: int = PERCENT) -> list[int]:
+    """A root for each set (sorted distinct numbers), so that sets connected by links (among these sets) have the same root.
 
     Recursive: cells of the pivots with 2 DELTA windows until they are small or stop shrinking; then pairs, skipping those that are
-    connected, too different in size, or too far apart by their distances to the pivots.
+    connected, too different in size, or too far apart by their distances to the pivots. Shingles of two or more sets
+    become bits, so that a set is compared with many at once.
     """
     forest, delta = _Forest(len(sets)), 1 - percent / 100 + 1e-12
-
-    def distance(a: frozenset, b: frozenset) -> float:
-        c = len(a & b)
-        return 1 - c / (len(a) + len(b) - c)
-
-    def pairs(members: list[int], to_pivots: np.ndarray | None) -> None:
-        members_by_size = sorted(range(len(members)), key=lambda k: len(sets[members[k]]))
-        for at, k in enumerate(members_by_size):
+    sizes = np.array([len(s) for s in sets])
+    values, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(often > 1) - 1
+    marks = np.zeros((len(sets), max(1, -(-int((often > 1).sum()) // 64)) * 64 // 8), np.uint8)
+    owner, shared = np.repeat(np.arange(len(sets)), sizes), often[place] > 1
+    at = column[place[shared]]
+    np.bitwise_or.at(marks, (owner[shared], at >> 3), (1 << (at & 7)).astype(np.uint8))
+    bits = marks.view(np.uint64)
+
+    def common(i: int, others: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bitwise_count(bits[i] & bits[others[k:k + 512]]).sum(axis=1, dtype=np.int64)
+                               for k in range(0, len(others), 512)] or [np.empty(0, np.int64)])
+
+    def link(i: int, others: np.ndarray, counts: np.ndarray) -> None:
+        for j in others[(100 * counts >= percent * (sizes[i] + sizes[others] - counts)) & (others != i)]:
+            forest.join(i, int(j))
+
+    def pairs(members: np.ndarray, to_pivots: np.ndarray | None) -> None:
+        """Pairs of a set outside the largest component with any other; the rest are connected already."""
+        roots = np.array([forest.root(i) for i in members])
+        names, many = np.unique(roots, return_counts=True)
+        for k in np.flatnonzero(roots != names[many.argmax()]):
             i = members[k]
-            a = sets[i]
-            for k2 in members_by_size[at + 1:]:
-                j = members[k2]
-                b = sets[j]
-                if 100 * len(a) < percent * len(b):
-                    break
-                if forest.root(i) != forest.root(j) and (
-                    to_pivots is None or np.abs(to_pivots[k] - to_pivots[k2]).max() <= delta
-                ) and linked(len(a & b), len(a), len(b), percent):
-                    forest.join(i, j)
-
-    def divide(members: list[int]) -> None:
+            close = 100 * np.minimum(sizes[members], sizes[i]) >= percent * np.maximum(sizes[members], sizes[i])
+            close &= roots != roots[k]
+            if to_pivots is not None:
+                close &= np.abs(to_pivots - to_pivots[k]).max(axis=1) <= delta
+            others = members[close]
+            link(i, others, common(i, others))
+
+    def divide(members: np.ndarray) -> None:
         if len({forest.root(i) for i in members}) < 2:
             return
         if len(members) <= 16:
             return pairs(members, None)
-        step = max(1, len(members) // 6)
-        pivots = members[::step][:6]
-        d = np.array([[distance(sets[i], sets[p]) for p in pivots] for i in members])
-        for k, i in enumerate(members):
-            for j, p in enumerate(pivots):
-                if i != p and linked(len(sets[i] & sets[p]), len(sets[i]), len(sets[p]), percent):
-                    forest.join(i, p)
+        pivots = members[:: max(1, len(members) // 6)][:6]
+        distances = []
+        for p in pivots:
+            counts = common(p, members)
+            link(p, members, counts)
+            distances.append(1 - counts / (sizes[members] + sizes[p] - counts))
+        d = np.array(distances).T
         near = d <= d.min(axis=1, keepdims=True) + 2 * delta
-        cells = [[i for k, i in enumerate(members) if near[k, j]] for j in range(len(pivots))]
-        if sum(map(len, cells)) > 2 * len(members) or max(map(len, cells)) == len(members):
+        if near.sum() > 2 * len(members) or near.sum(axis=0).max() == len(members):
             return pairs(members, d)
-        for cell in cells:
-            divide(cell)
+        for j in range(len(pivots)):
+            divide(members[near[:, j]])
 
-    divide(list(range(len(sets))))
+    divide(np.arange(len(sets)))
     return [forest.root(i) for i in range(len(sets))]
 
 
@@ -176,7 +186,7 @@ def _local_links(percent: int):
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.drop_duplicates("key").sort_values("key")
         keys = f["key"].tolist()
-        roots = join_cell([_unpack(x) for x in f["set"]], percent)
+        roots = join_cell([np.frombuffer(x, np.uint64) for x in f["set"]], percent)
         found = [(keys[i], keys[r]) for i, r in enumerate(roots) if i != r]
         return pd.DataFrame(found, columns=["a", "b"])
     return run
