@@ -145,14 +145,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_file: str, id_col: str
                  end_id: int = 1, length: int = SEQUENCE) -> DataFrame:
     """Encode every text and write the shards in ascending order of identifiers; returns the manifest table.
 
-    Null identifiers come last; rows with equal ones are ordered by a hash of the text. Null texts are empty and
+    Null identifiers come last; rows with equal ones are ordered by a hash of the text, in one task. Null texts are empty and
     give the end id alone. A table without rows gives no shards. Only the two columns named are read.
     ``tokenizer_file`` must be at the same place on every executor, as installed packages are.
     """
     from tokenizers import Tokenizer
 
     dtype = "<u2" if Tokenizer.from_file(tokenizer_file).get_vocab_size() <= 2**16 else "<u4"
-    order = [F.col("doc_id").asc_nulls_last(), "tie"]
+    by_id = F.col("doc_id").asc_nulls_last()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,8 +169,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_file: str, id_col: str
         yield _write_shard(f"{folder}/shards", TaskContext.get().partitionId(), all_batches(), tokenizer_file, dtype, end_id, length)
 
     shards = (
-        rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order)
-        .select("doc_id", "text").mapInArrow(write, MANIFEST)
+        # Ranges of identifiers alone, so that finding their borders reads no texts.
+        rows.repartitionByRange(by_id).sortWithinPartitions(by_id, F.xxhash64("text")).mapInArrow(write, MANIFEST)
     )
     shards.write.mode("overwrite").parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
