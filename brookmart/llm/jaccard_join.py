@@ -412,6 +412,18 @@ def anchor_order(docs: DataFrame, text_col: str, words: int) -> tuple[bytes, byt
     return h[order].tobytes(), c[order].tobytes()
 
 
+def regions_of(placed: DataFrame) -> DataFrame:
+    """Regions of anchors with two sets or more, and their rows ``m``; of regions with the same sets the first anchor is enough.
+
+    Exact copies have the same anchors, so a set has as many rows in each of its regions. Sums of both halves of its hash over the
+    rows therefore tell regions apart; unlike exclusive ors, they do not cancel where a set comes an even number of times.
+    """
+    regions = placed.groupBy("anchor").agg(
+        F.min("node").alias("a"), F.max("node").alias("b"), F.sum(F.shiftright("node", 32)).alias("high"),
+        F.sum(F.col("node").bitwiseAND(0xFFFFFFFF)).alias("low"), F.count(F.lit(1)).alias("m")).where("a <> b")
+    return regions.groupBy("a", "b", "high", "low", "m").agg(F.min("anchor").alias("anchor"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
                     keep: list[str] | None = None) -> DataFrame:
     """Components of documents whose sets of word shingles have a Jaccard similarity of at least ``percent`` / 100.
@@ -448,12 +460,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     described = wide.mapInArrow(describe, schema).withColumn("node", F.xxhash64("key")).withColumn("at", F.monotonically_increasing_id())
     described = scratch.keep(described, "described")
 
-    # Regions of anchors with two sets or more; of regions with the same sets one is enough.
     shown = described.where("n > 0")
     placed = shown.select("node", "n", F.explode("anchors").alias("anchor"))
-    regions = placed.groupBy("anchor").agg(
-        F.min("node").alias("a"), F.max("node").alias("b"), F.bit_xor("node").alias("members"), F.count(F.lit(1)).alias("m")).where("a <> b")
-    regions = scratch.keep(regions.groupBy("a", "b", "members", "m").agg(F.min("anchor").alias("anchor")), "regions")
+    regions = scratch.keep(regions_of(placed), "regions")
     met = spark.sparkContext.broadcast(_sieve(regions.select(F.pmod("anchor", F.lit(FILTER_BITS)).alias("at"))))
 
     def in_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

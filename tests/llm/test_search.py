@@ -108,6 +108,13 @@ def test_anchors_of_linked_sets_meet():
             assert len(np.intersect1d(jac.anchors_of(a, common, counts), jac.anchors_of(b, common, counts)))
 
 
+def test_regions_with_exact_copies_stay_apart(spark):
+    members = {1: [-9, 5, 5, 9], 2: [-9, 6, 6, 9], 3: [-9, 6, 6, 9], 4: [-9, -9, 7, 7, 2**40, 2**40], 5: [-9, -9, 2**39, 2**39, 2**40, 2**40], 6: [5, 5]}
+    rows = [(n, 4, anchor) for anchor, nodes in members.items() for n in nodes]
+    got = jac.regions_of(spark.createDataFrame(rows, "node long, n long, anchor long")).collect()
+    assert sorted((r["anchor"], r["m"]) for r in got) == [(1, 4), (2, 4), (4, 6), (5, 6)]
+
+
 def test_components_of_paths_and_stars(spark):
     r = random.Random(0)
     names = [r.randrange(10**9) for _ in range(60)]
