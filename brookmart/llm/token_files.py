@@ -31,6 +31,8 @@ SEQUENCE, BATCH = 2048, 64
 CACHED_WORDS = 500_000
 #: Below this character, lower case does not depend on what stands around.
 LATIN = "\u0250"
+#: The one letter below it whose lower case does not end in a letter.
+DOTTED = "\u0130"
 MANIFEST = "part int, path string, n_docs long, n_tokens long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -41,7 +43,7 @@ def _storage(path: str) -> tuple[pa.fs.FileSystem, str]:
 
 @functools.cache
 def _words(tokenizer_file: str, dtype: str) -> WordEncoder:
-    return WordEncoder(tokenizer_file, dtype)
+    return WordEncoder(tokenizer_file, dtype, special_tokens=True)
 
 
 class WordEncoder:
@@ -50,25 +52,32 @@ class WordEncoder:
     The tokenizer's pieces never reach over a space or a line feed, nor over the border between a letter
     and the full stop or comma behind it, and its normaliser lower-cases each character by itself. So a
     text's ids are those of its words end to end, and a word's are those of its lower-case stem and its mark.
-    Words are counted by blocks; when ``CACHED_WORDS`` are remembered, those met in one block only are
+    A capital I with a dot keeps its mark, for its lower case ends in a combining dot, which is no letter.
+    With ``special_tokens``, as in files, the tokenizer's special tokens in a text are told, as encoding the whole text does; words with one
+    are left as they are, as their case counts. Words are counted by blocks; when ``CACHED_WORDS`` are remembered, those met in one block only are
     forgotten. That changes nothing but speed.
     """
 
-    def __init__(self, tokenizer_file: str, dtype: str):
+    def __init__(self, tokenizer_file: str, dtype: str, special_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_tokens
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
         self.dtype = dtype
         self.known: dict[str, bytes] = {}
         self.blocks: Counter[str] = Counter()
 
     def _learn(self, words: set[str]) -> None:
         known, later, new = self.known, [], set()
+        joined = "\n".join(words).lower() if self.special else ""
+        special = [t for t in self.special if t in joined]
         for w in words:
-            stem, mark = (w[:-1], w[-1]) if w[-1:] in (".", ",") and w[-2:-1] < LATIN and w[-2:-1].isalpha() else (w, "")
+            stem, mark = (w[:-1], w[-1]) if w[-1:] in (".", ",") and w[-2:-1] < LATIN and w[-2:-1].isalpha() and w[-2] != DOTTED else (w, "")
             low = stem.lower() if stem.isascii() or max(stem) < LATIN else stem
+            if special and any(t in w.lower() for t in special):
+                low, mark = w, ""
             if low != w:
                 later.append((w, low, mark))
             new.update(x for x in (low, mark) if x not in known)

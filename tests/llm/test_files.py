@@ -57,6 +57,19 @@ def test_word_encoder_equals_the_tokenizer():
         assert encoder.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_files_hold_the_ids_of_whole_texts():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_file())
+    encoder = token_files._words(tokenizer_file(), "<u2")
+    r = random.Random(3)
+    pieces = ["BELED\u0130YES\u0130.", "\u0130,", "\u0130", "a\u0130.", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "x<|endoftext|>Y.", "X<|EndOfText|>.", "A.", "b,", " ", "\n"]
+    texts = [*pieces, *("".join(r.choice(pieces) for _ in range(r.randint(1, 9))) for _ in range(400))]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert encoder.encode(["<|endoftext|>"])[0].tolist() == [49407]
+
+
 def test_token_files_round_trip(spark, tmp_path, monkeypatch):
     from tokenizers import Tokenizer
 
