@@ -1,7 +1,8 @@
 """Find benchmark items in documents by latent semantic retrieval, then check word order and answers.
 
 Items are cut into passages; a randomised SVD of their TF-IDF matrix (inverse document frequencies over all documents) gives a
-latent space. Windows of every document are projected into it, and those near a passage by cosine are candidates. A candidate is a leak
+latent space. Windows of every document are projected into it, and those near a passage by cosine are candidates. So are places that hold
+the rarest words of a passage as closely as a leak must, which finds items far shorter than a window. A candidate is a leak
 if the longest common subsequence with the item holds most of its words, or half of them together with its answer.
 Items are taken in blocks of bounded size, each block against all documents.
 """
@@ -31,6 +32,8 @@ WINDOW, STEP, BLOCK, RANK, MORE, SEED = 32, 16, 250, 512, 16, 5
 #: Cosine of a candidate in the latent space; share of a window's TF-IDF mass that must be in the items' vocabulary; shares of an
 #: item's words in order for a leak, and for one with the answer; fewest words for a fuzzy match.
 NEAR, MASS, SHARE, SHARE_WITH_ANSWER, FEWEST = 0.55, 0.35, 0.7, 0.5, 8
+#: Of a passage's rarest words, so many must stand within the region of a leak; up to half of FEWEST, any number finds the same.
+RARE = 4
 LEAK = "item_id long, cosine double, share double, answer boolean, start_word int, end_word int"
 _LEAK = pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64()), ("answer", pa.bool_()),
                    ("start_word", pa.int32()), ("end_word", pa.int32())])
@@ -72,6 +75,36 @@ def contains(region: list[bytes], part: list[bytes]) -> bool:
     return bool(part) and b" %s " % b" ".join(part) in b" %s " % b" ".join(region)
 
 
+class Rare:
+    """Where texts may hold a share of one of some rows of words within one and a half times its length.
+
+    Such a place holds at least RARE of the row's rarest words, counting as many of these as may be missing and RARE more.
+    """
+
+    def __init__(self, rows: list[list[int]], share: float, idf: np.ndarray):
+        pairs = {(w, r) for r, ids in enumerate(rows)
+                 for w in sorted(ids, key=lambda w: (-idf[w], w))[: len(ids) - int(np.ceil(share * len(ids) - 1e-9)) + RARE]}
+        rare = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        self.begin = np.searchsorted(rare[:, 0], np.arange(len(idf) + 2))
+        self.rows = rare[:, 1]
+        self.spans = np.array([len(r) + len(r) // 2 for r in rows], np.int64)
+
+    def __call__(self, ids: np.ndarray) -> list[tuple[int, int]]:
+        """(row, place) where RARE of a row's rarest words stand within its span, the first of them at the place."""
+        many = np.diff(self.begin)[ids]
+        at = np.flatnonzero(many)
+        if len(at) < RARE:
+            return []
+        many = many[at]
+        first = np.repeat(self.begin[ids[at]] - (np.cumsum(many) - many), many)
+        row, place = self.rows[first + np.arange(len(first))], np.repeat(at, many)
+        order = np.argsort(row, kind="stable")
+        row, place = row[order], place[order]
+        ahead, behind = slice(RARE - 1, None), slice(None, len(row) - RARE + 1)
+        hit = np.flatnonzero((row[ahead] == row[behind]) & (place[ahead] - place[behind] < self.spans[row[behind]]))
+        return list(zip(row[hit].tolist(), place[hit].tolist(), strict=True))
+
+
 class Index:
     """The latent space of one block of items and its passages."""
 
@@ -89,15 +122,50 @@ class Index:
                     rows.append([self.vocabulary[w] for w in p])
         self.passages = rows
         self.masses = np.append(self.idf, np.float32(self.unknown)) ** 2
+        # A leak holds SHARE of the words of a passage ...
+        self.close = Rare(rows, SHARE, self.idf)
+        # ... or SHARE_WITH_ANSWER of those of the item, and the answer word for word, which is looked for at its rarest word, or by a
+        # scan if it has words of its own.
+        self.half = Rare([[self.vocabulary[w] for w in words] if len(words) >= FEWEST else [] for _, words, _ in self.items], SHARE_WITH_ANSWER, self.idf)
+        self.asked: dict[int, list[tuple[int, int]]] = {}
+        self.scanned = []
+        for k, (_, words, answer) in enumerate(self.items):
+            if len(words) >= FEWEST and answer:
+                if all(w in self.vocabulary for w in answer):
+                    i = max(range(len(answer)), key=lambda i: self.idf[self.vocabulary[answer[i]]])
+                    self.asked.setdefault(self.vocabulary[answer[i]], []).append((k, i))
+                else:
+                    self.scanned.append(k)
+        self.asks = np.zeros(len(self.vocabulary) + 1, bool)
+        self.asks[list(self.asked)] = True
         if basis is not None:
             self.latent = (basis * self.idf[:, None]).astype(np.float32)
             q = np.array([self.latent[r].sum(axis=0) for r in rows], np.float32).reshape(len(rows), basis.shape[1])
             self.queries = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-9)
 
-    def candidates(self, words: list[bytes]) -> dict[int, tuple[float, set[int]]]:
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Places of the words in the vocabulary; one place behind it for all others."""
+        return np.fromiter(map(self.vocabulary.get, words, repeat(len(self.vocabulary))), np.int32, len(words))
+
+    def answered(self, ids: np.ndarray, words: list[bytes]) -> Iterator[tuple[int, int]]:
+        """(item, place) where the answer of an item stands word for word."""
+        for at in np.flatnonzero(self.asks[ids]).tolist():
+            for k, i in self.asked[ids[at]]:
+                answer = self.items[k][2]
+                if at >= i and words[at - i:at - i + len(answer)] == answer:
+                    yield k, at - i
+        if self.scanned:
+            joined = b" %s " % b" ".join(words)
+            for k in self.scanned:
+                part = b" %s " % b" ".join(self.items[k][2])
+                at = joined.find(part)
+                while at >= 0:
+                    yield k, joined.count(b" ", 0, at + 1) - 1
+                    at = joined.find(part, at + 1)
+
+    def candidates(self, ids: np.ndarray) -> dict[int, tuple[float, set[int]]]:
         """Items near a window of the text: the best cosine, and the starts of the windows."""
         none = len(self.vocabulary)
-        ids = np.fromiter(map(self.vocabulary.get, words, repeat(none)), np.int32, len(words))
         cuts = np.arange(0, len(ids), STEP)
         pair = lambda x: x[:-1] + x[1:] if len(x) > 1 else x  # noqa: E731  steps to windows
         mass = self.masses[ids]
@@ -137,11 +205,33 @@ class Index:
                     start = joined.count(b" ", 0, at + 1) - 1
                     found.append((i, 1.0, 1.0, True, start, start + len(item)))
         if words and self.passages:
-            for k, (cosine, starts) in self.candidates(words).items():
-                if hit := self._check(words, k, starts):
+            ids = self.numbers(words)
+            near = self.candidates(ids)
+            best = {k: self._check(words, k, starts) for k, (_, starts) in near.items()}
+            tried: set[tuple[int, int]] = set()
+            for p, place in self.close(ids):
+                k = self.owner[p]
+                hit = self._check_passage(ids, words, p, place, tried)
+                if hit and (best.get(k) is None or hit[0] > best[k][0]):
+                    best[k] = hit
+            spans = self.half.spans
+            half = {(k, place // spans[k] + d) for k, place in self.half(ids) for d in (-1, 0, 1)}
+            for k, place in self.answered(ids, words) if half else ():
+                n = len(self.items[k][1])
+                if best.get(k) is None and (k, place // spans[k]) in half:
+                    best[k] = self._check(words, k, {max(0, at) for at in range(place - n, place + 1, WINDOW)})
+            for k, hit in best.items():
+                if hit:
+                    cosine = near[k][0] if k in near else self._cosine(ids[hit[2]:hit[3]], k)
                     found.append((self.items[k][0], min(1.0, cosine), *hit))
         return sorted(found, key=lambda x: (x[0] is None, x[0] or 0, x[1:]))
 
+    def _cosine(self, ids: np.ndarray, k: int) -> float:
+        """The best cosine of a region of the text with a passage of the item."""
+        x = self.latent[ids[ids < len(self.vocabulary)]].sum(axis=0)
+        own = self.queries[[p for p, owner in enumerate(self.owner) if owner == k]]
+        return float((own @ x).max() / max(float(np.linalg.norm(x)), 1e-9))
+
     def _check(self, words: list[bytes], k: int, starts: set[int]) -> tuple | None:
         """The best region around the windows: share of the item's words in order, answer found, bounds."""
         _, item, answer = self.items[k]
@@ -162,6 +252,28 @@ class Index:
                         best = share, contains(region, answer), at, at + len(region)
         return best
 
+    def _check_passage(self, ids: np.ndarray, words: list[bytes], p: int, place: int, tried: set[tuple[int, int]]) -> tuple | None:
+        """The same for the regions that hold one place: of a whole item that is one passage, or else of the passage itself."""
+        k, passage = self.owner[p], self.passages[p]
+        _, item, answer = self.items[k]
+        n, step = len(passage), max(1, len(passage) // 4)
+        best, bag = None, Counter(passage)
+        for at in range(max(0, place - n - n // 2 + 1) // step * step, place + 1, step):
+            if (p, at) in tried:
+                continue
+            tried.add((p, at))
+            region = ids[at:at + n + n // 2].tolist()
+            if sum((Counter(region) & bag).values()) < SHARE * n:
+                continue
+            share = common_subsequence(passage, region) / n
+            if n == len(item) and share >= SHARE and (best is None or share > best[0]):
+                best = share, contains(words[at:at + len(region)], answer), at, at + len(region)
+        if n < len(item) and (-1 - k, place // WINDOW) not in tried:
+            tried.add((-1 - k, place // WINDOW))
+            if hit := self._check(words, k, {place}):
+                best = max(best or hit, hit)
+        return best
+
 
 def vocabulary(items: list[tuple[int, str, str | None]]) -> dict[bytes, int]:
     return {w: i for i, w in enumerate(sorted({w for _, t, _ in items for w in words_of(t)}))}
@@ -228,8 +340,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col:
                item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
     """The columns ``keep`` of every row of ``docs``, and ``leaks``: an array of the benchmark items found in its text.
 
-    A leak has item_id, cosine, share (of the item's words, in order, in a region of the text), answer (whether the answer stands there: ``answer_col``,
-    or else the item's last sentence), start_word and end_word of the region. Items of fewer than FEWEST words must stand there word for
+    A leak has item_id, cosine, share (of the item's words, in order, in a region of the text),
+    answer (whether the answer stands there: ``answer_col``, or else the item's last sentence), start_word and end_word of the region. Items of fewer than FEWEST words must stand there word for
     word. Null and empty texts have no leaks; null and empty items are found nowhere; items with equal texts are all told. Words are
     compared in lower case without punctuation. Whole texts are searched. A column of ``docs`` may be called anything but leaks.
     """

@@ -168,6 +168,38 @@ def test_randomised_svd_finds_the_space(spark):
     assert basis.shape == (12, 4) and np.abs(np.linalg.svd(want[:4] @ basis)[1] - 1).max() < 1e-6
 
 
+def full_index(items, texts):
+    """An index in the whole space of its items."""
+    seen = [set(dec.words_of(t)) for t in texts]
+    words = dec.vocabulary(items)
+    return dec.Index(items, {w: sum(w in x for x in seen) for w in words}, len(texts), np.eye(len(words)))
+
+
+def lexicon(r, n):
+    return ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(n)]
+
+
+def test_short_items_in_long_documents():
+    r = random.Random(7)
+    frequent, rare = lexicon(r, 150), lexicon(r, 6000)
+    items = [(m, " ".join(r.sample(frequent, m)), None) for m in (8, 9, 10, 11, 12, 14, 16, 20)]
+    ordinary = [" ".join(r.choice(frequent if r.random() < 0.3 else rare) for _ in range(400)) for _ in range(40)]
+    texts = []
+    for m, item, _ in items:
+        for _ in range(10):
+            words = r.sample(rare, 300)
+            at = r.randrange(300)
+            texts.append((m, " ".join([*words[:at], item, *words[at:]])))
+    index = full_index(items, [*ordinary, *(t for _, t in texts)])
+    for m, text in texts:
+        assert m in {x[0] for x in index.leaks(text)}
+    assert sum(len(index.leaks(t)) for t in ordinary) == 0
+    changed = items[6][1].split()
+    for i in (2, 6, 10, 14):
+        changed[i] = rare[i]
+    assert [x[0] for x in index.leaks(" ".join([*rare[100:300], *changed, *rare[300:500]]))] == [16]
+
+
 def test_leaks_of_odd_rows(spark):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = dec.find_leaks(odd_docs(spark), benchmark, ["doc_id", "row", "text"])
