@@ -3,7 +3,8 @@
 Items are cut into passages; a randomised SVD of their TF-IDF matrix (inverse document frequencies over all documents) gives a
 latent space. Windows of every document are projected into it, and those near a passage by cosine are candidates. So are places that hold
 the rarest words of a passage as closely as a leak must, which finds items far shorter than a window. A candidate is a leak
-if the longest common subsequence with the item holds most of its words, or half of them together with its answer.
+if the longest common subsequence with the item holds most of its words, or half of them together with its answer; of an item of
+several passages also if it holds most of the words of one passage.
 Items are taken in blocks of bounded size, each block against all documents.
 """
 
@@ -266,7 +267,7 @@ class Index:
             if sum((Counter(region) & bag).values()) < SHARE * n:
                 continue
             share = common_subsequence(passage, region) / n
-            if n == len(item) and share >= SHARE and (best is None or share > best[0]):
+            if share >= SHARE and (best is None or share > best[0]):
                 best = share, contains(words[at:at + len(region)], answer), at, at + len(region)
         if n < len(item) and (-1 - k, place // WINDOW) not in tried:
             tried.add((-1 - k, place // WINDOW))
@@ -340,7 +341,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col:
                item_text_col: str = "text", answer_col: str | None = None) -> DataFrame:
     """The columns ``keep`` of every row of ``docs``, and ``leaks``: an array of the benchmark items found in its text.
 
-    A leak has item_id, cosine, share (of the item's words, in order, in a region of the text),
+    A leak has item_id, cosine, share (of the item's words, or of the words of one of its passages of WINDOW words, in order, in a region of the text),
     answer (whether the answer stands there: ``answer_col``, or else the item's last sentence), start_word and end_word of the region. Items of fewer than FEWEST words must stand there word for
     word. Null and empty texts have no leaks; null and empty items are found nowhere; items with equal texts are all told. Words are
     compared in lower case without punctuation. Whole texts are searched. A column of ``docs`` may be called anything but leaks.

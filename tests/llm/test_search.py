@@ -200,6 +200,16 @@ def test_short_items_in_long_documents():
     assert [x[0] for x in index.leaks(" ".join([*rare[100:300], *changed, *rare[300:500]]))] == [16]
 
 
+def test_passages_of_long_items():
+    r = random.Random(8)
+    item, other = lexicon(r, 200), lexicon(r, 2000)
+    index = full_index([(1, " ".join(item), None)], [" ".join(other)])
+    for at in range(0, 140, 7):
+        found = index.leaks(" ".join([*other[:150], *item[at:at + 60], *other[150:300]]))
+        assert [x[0] for x in found] == [1] and found[0][2] >= dec.SHARE and found[0][4] < 210 and found[0][5] > 150
+    assert index.leaks(" ".join([*other[:150], *item[50:62], *other[150:300]])) == []
+
+
 def test_leaks_of_odd_rows(spark):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = dec.find_leaks(odd_docs(spark), benchmark, ["doc_id", "row", "text"])
