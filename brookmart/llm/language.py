@@ -9,7 +9,6 @@ texts step through an automaton side by side.
 from __future__ import annotations
 
 import functools
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,14 +18,19 @@ from pyspark.sql import functions as F
 
 from brookmart.llm.common import importable
 
-#: Bounds of the learned sample: documents and characters per language, and languages.
-SAMPLE_DOCS, SAMPLE_CHARS, LANGUAGES = 200, 24_000, 64
-BLOCK, LETTERS = 512, 62
+#: Bounds of the learned sample of each language: documents and characters.
+SAMPLE_DOCS, SAMPLE_CHARS = 200, 24_000
+#: Columns of a language's table: its most frequent characters have one each, its others are looked up by search, and one is for unknown ones.
+#: With more than TABLES languages tables are narrower, so that they fit in memory.
+BLOCK, COLUMNS, FEWEST_COLUMNS, TABLES = 512, 64, 8, 64
 SCORE_POWER = 8.0
 
 
 class SuffixAutomaton:
-    """All substrings of a sequence of small numbers, as a table of transitions (0 is the start, -1 is none)."""
+    """All substrings of a sequence of numbers, as a table of transitions by numbers below ``width`` (0 is the start, -1 is none).
+
+    Transitions by others are in ``more``: sorted (state << 32 | number), and the next states.
+    """
 
     def __init__(self, symbols: list[int], width: int):
         size = 2 * len(symbols) + 2
@@ -56,9 +60,14 @@ class SuffixAutomaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
+        more = []
         for state, moves in enumerate(go):
             for c, to in moves.items():
-                table[state, c] = to
+                if c < width:
+                    table[state, c] = to
+                else:
+                    more.append((state << 32 | c, to))
+        self.more = np.array(sorted(more), np.int64).reshape(-1, 2).T.copy()
         self.table = table[: len(go)]
 
     def parser(self) -> np.ndarray:
@@ -72,17 +81,43 @@ class SuffixAutomaton:
         return np.vstack([steps, start * 2 + 1]).astype(np.int32)
 
 
+class Language:
+    """The automaton of one sample over all its characters, given as numbers of ``symbols`` different ones; others are unknown."""
+
+    def __init__(self, sample: np.ndarray, symbols: int, columns: int):
+        counts = np.bincount(sample, minlength=symbols)
+        order = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
+        self.width, frequent = columns, columns - 2
+        own = np.full(symbols + 1, columns - 1, np.int64)
+        own[order[:frequent]] = np.arange(len(order[:frequent]))
+        own[order[frequent:]] = columns + np.arange(len(order[frequent:]))  # beyond the table
+        self.rare, self.own = columns - 2, own
+        self.column = np.where(own >= columns, self.rare, own).astype(np.uint8)
+        automaton = SuffixAutomaton(own[sample].tolist(), columns)
+        self.steps = automaton.parser().ravel()
+        self.keys, self.next = automaton.more
+
+    def moves(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """What the table of steps says of the others, for characters without a column."""
+        own = self.own[symbols]
+        key = states.astype(np.int64) << 32 | own
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        start = self.next[np.searchsorted(self.keys, own)]  # by the start's own keys, as its number is 0
+        return np.where(self.keys[at] == key, self.next[at] * 2, start * 2 + 1)
+
+
 class Model:
-    """Automata of the sampled languages over one alphabet of their most frequent characters."""
+    """Automata of the sampled languages, each over its own characters."""
 
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
-        counts = Counter("".join(samples[n] for n in self.names))
-        alphabet = sorted(sorted(counts), key=lambda c: -counts[c])[:LETTERS]
-        self.width = 64
-        self.codes = np.full(0x110000, LETTERS, np.uint8)
+        alphabet = sorted(set().union(*samples.values()))
+        self.codes = np.full(0x110000, len(alphabet), np.uint16 if len(alphabet) < 1 << 16 else np.int32)
         self.codes[[ord(c) for c in alphabet]] = np.arange(len(alphabet))
-        self.parsers = [SuffixAutomaton(self.encode(samples[n]).tolist(), self.width).parser().ravel() for n in self.names]
+        columns = COLUMNS
+        while columns > FEWEST_COLUMNS and columns * len(samples) > COLUMNS * TABLES:
+            columns //= 2
+        self.languages = [Language(self.encode(samples[n]), len(alphabet), columns) for n in self.names]
 
     def encode(self, text: str) -> np.ndarray:
         return self.codes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
@@ -99,22 +134,28 @@ class Model:
             owner += [i] * n
         lengths = np.array([len(p) for p in parts])
         order = np.argsort(-lengths, kind="stable")
-        grid = np.zeros((BLOCK, len(parts)), np.uint8)
+        grid = np.zeros((BLOCK, len(parts)), self.codes.dtype)
         for at, k in enumerate(order):
             grid[: lengths[k], at] = parts[k]
         active = np.searchsorted(-lengths[order], -np.arange(1, BLOCK + 1), side="right")
         owners, out = np.array(owner)[order], np.empty((len(texts), len(self.names)))
-        for lang, steps in enumerate(self.parsers):
-            state = np.full(len(parts), len(steps) // self.width - 1, np.int32)
+        for k, lang in enumerate(self.languages):
+            steps, width = lang.steps, lang.width
+            columns = lang.column[grid]
+            seldom = (columns == lang.rare).any(axis=1)
+            state = np.full(len(parts), len(steps) // width - 1, np.int32)
             count = np.zeros(len(parts), np.int32)
             for t in range(BLOCK):
                 n = active[t]
                 if n == 0:
                     break
-                nxt = steps[(state[:n] << 6) + grid[t, :n]]
+                nxt = steps[state[:n] * width + columns[t, :n]]
+                if seldom[t]:
+                    at = np.flatnonzero(columns[t, :n] == lang.rare)
+                    nxt[at] = lang.moves(state[at], grid[t, at])
                 count[:n] += nxt & 1
                 state[:n] = nxt >> 1
-            out[:, lang] = np.bincount(owners, count, len(texts))
+            out[:, k] = np.bincount(owners, count, len(texts))
         return out / np.maximum(sizes, 1)[:, None]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -150,11 +191,11 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     """Sample text of each language from labelled documents: (language, text) pairs.
 
     Takes, per language, whole documents in the order of a hash until SAMPLE_CHARS characters, at most
-    SAMPLE_DOCS documents; the last one is cut at the bound. The LANGUAGES most frequent languages are learned.
+    SAMPLE_DOCS documents; the last one is cut at the bound. Every language is learned.
     """
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     lang = F.col(lang_col).cast("string").alias("lang")
-    counts = labelled.groupBy(lang).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    counts = labelled.groupBy(lang).count()
     # A threshold on the hash lets about twice the wanted number of documents pass, however many there are.
     drawn = labelled.select(
         lang, F.xxhash64(id_col, text_col).alias("h"), F.col(id_col).alias("id"), F.substring(F.col(text_col), 1, SAMPLE_CHARS).alias("text"),
@@ -180,7 +221,7 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_col: str
     """
     importable(docs.sparkSession)
     keep = keep or [id_col]
-    shared = docs.sparkSession.sparkContext.broadcast(samples)  # at most LANGUAGES * SAMPLE_CHARS characters
+    shared = docs.sparkSession.sparkContext.broadcast(samples)  # at most SAMPLE_CHARS characters a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(shared.value)

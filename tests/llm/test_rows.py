@@ -198,6 +198,45 @@ def test_phrases_are_those_of_a_plain_parse():
                 assert round(got[i, j] * len(t)) == plain(t, samples[name])
 
 
+SCRIPTS = [(0x61, 26), (0x3B1, 25), (0x430, 32), (0x5D0, 27), (0x627, 36), (0x905, 50), (0xE01, 46), (0x4E00, 900)]
+
+
+def invented(seed: int, script: int, n: int) -> str:
+    """Words of a language of its own, in the letters of a script."""
+    first, letters = SCRIPTS[script]
+    r = random.Random(seed)
+    words = ["".join(chr(first + r.randrange(letters)) for _ in range(r.randint(2, 5))) for _ in range(60)]
+    r = random.Random(f"{seed} {n}")
+    return " ".join(r.choice(words) for _ in range(n))
+
+
+def test_every_character_of_several_scripts_counts():
+    from brookmart.llm.language import Model
+
+    samples = {f"{k}-{script}": invented(10 * script + k, script, 500) for script in range(len(SCRIPTS)) for k in range(2)}
+    model = Model(samples)
+    texts = [invented(10 * script + k, script, 40) for script in range(len(SCRIPTS)) for k in range(2)]
+    names, _ = model.predict(texts)
+    assert names == [f"{k}-{script}" for script in range(len(SCRIPTS)) for k in range(2)]
+    got = model.phrases([*texts, "\u4e00\u4e01 unknown"])
+    for i, t in enumerate([*texts, "\u4e00\u4e01 unknown"]):
+        for j, name in enumerate(model.names):
+            n = at = 0
+            while at < len(t):
+                k = 1
+                while at + k < len(t) and t[at:at + k + 1] in samples[name]:
+                    k += 1
+                at, n = at + k, n + 1
+            assert round(got[i, j] * len(t)) == n
+
+
+def test_more_than_64_languages(spark):
+    names = [f"l{k:02d}" for k in range(70)]
+    docs = spark.createDataFrame([(k, invented(k, k % len(SCRIPTS), 200), n) for k, n in enumerate(names)], "doc_id long, text string, lang string")
+    new = spark.createDataFrame([(k, invented(k, k % len(SCRIPTS), 30), n) for k, n in enumerate(names)], "doc_id long, text string, lang string")
+    assert all(r["lang"] == r["lang_pred"] for r in identify(new, learn(docs), keep=["doc_id", "lang"]).collect())
+
+
 def test_held_out_languages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = held_out(F.col("doc_id"), 3, 1)
