@@ -135,7 +135,9 @@ def live_cart_uniques(s, d):
 def live_login_activity(s, d):
     root = shared_folder(s, "login-windows")
     run_to_end(live.login_days(_pages(s, d), root, f"{root}/checkpoint"))
-    return users.login_activity(s.read.parquet(f"{root}/rows"), HOUR)
+    stored = s.read.parquet(f"{root}/rows").drop("batch_id")
+    days = s.readStream.schema(stored.schema).parquet(f"{root}/rows/*")
+    return _windows(s, users.login_activity(days, HOUR), root, ["stt"])
 
 
 def live_sku_order_lines(s, d):

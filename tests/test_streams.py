@@ -346,3 +346,11 @@ def test_jdbc_sink_options_and_columns(spark, monkeypatch):
 def test_shared_folder_is_below_the_configured_one(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark, "x").startswith(base + "/x-")
+
+
+def test_login_windows_run_on_a_stream(spark, monkeypatch):
+    from brookmart.registry import streams
+
+    seen, windows = [], streams._windows
+    monkeypatch.setattr(streams, "_windows", lambda s, df, *rest: seen.append(df.isStreaming) or windows(s, df, *rest))
+    assert streams.live_login_activity(spark, "/root/testdata/sf0.001").count() > 0 and seen == [True]
