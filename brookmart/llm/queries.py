@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brookmart.llm.bpe import decode_ids, encode_texts
 from brookmart.llm.common import importable, table
 from brookmart.llm.decontamination import find_leaks, leak_rows
 from brookmart.llm.exact_dedup import exact_dedup
@@ -77,8 +78,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of each document, and of the text that they decode to."""
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    ids = encode_texts(table(spark, sf_dir, "documents"), tokenizer)
+    digested = ids.select("doc_id", "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
+    texts = decode_ids(digested, tokenizer, keep=["doc_id", "n_tokens", "ids_sha256"])
+    return texts.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_extract_text, op3_score_quality, op4_scan_secrets, op5_find_leaks, op6_jaccard_join, op7_identify_language, op8_exact_dedup, op9_token_files, op10_warc,
+    op13_bpe_trie,
 )}
 
 SQL = {
