@@ -13,6 +13,7 @@ from brookmart.llm.extraction import extract_text
 from brookmart.llm.jaccard_join import near_duplicates
 from brookmart.llm.language import held_out, identify, learn
 from brookmart.llm.mixing import mix_sources
+from brookmart.llm.phrases import mine_phrases
 from brookmart.llm.quality import score_quality
 from brookmart.llm.secret_scan import scan_secrets
 from brookmart.llm.token_files import tokenise
@@ -78,6 +79,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_mine_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of each document, and of the text that they decode to."""
     import public_tokenizers
@@ -91,7 +97,7 @@ def op13_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_extract_text, op3_score_quality, op4_scan_secrets, op5_find_leaks, op6_jaccard_join, op7_identify_language, op8_exact_dedup, op9_token_files, op10_warc,
-    op13_bpe_trie,
+    op11_mine_phrases, op13_bpe_trie,
 )}
 
 SQL = {
@@ -139,4 +145,28 @@ SQL = {
                 ((('0x' || substr(hex, (i // 4 * 5 + 1)::INTEGER, 5))::BIGINT >> (15 - i % 4 * 5)::INTEGER) & 31)::INTEGER + 1, 1) FOR i IN range(32)], '') AS payload_digest,
             CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN n > 1 THEN first_id END AS refers_to
         FROM d""",
+    "op11_mine_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+        grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*)::BIGINT AS f
+            FROM places, range(1, 6) sizes(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+        found AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f FROM grams WHERE f >= 100),
+        parts AS (SELECT lang, k, phrase, w, f AS a, unnest(range(1, k)) AS cut FROM found WHERE k >= 2),
+        cuts AS (
+            SELECT p.lang, p.k, p.phrase, p.a, x.f AS l, y.f AS r, n, cut,
+                ((1000::HUGEINT * p.a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM parts p JOIN totals USING (lang)
+            JOIN found x ON x.lang = p.lang AND x.phrase = array_to_string(p.w[1:cut], ' ')
+            JOIN found y ON y.lang = p.lang AND y.phrase = array_to_string(p.w[cut + 1:], ' ')),
+        best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        inside AS (SELECT DISTINCT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, f
+            FROM found, range(2, 5) shorter(m), range(1, 5) starts(i) WHERE m < k AND i + m - 1 <= k)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+        FROM best b WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND i.f >= b.a)
+        QUALIFY rank <= 2000""",
 }
