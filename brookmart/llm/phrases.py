@@ -5,9 +5,9 @@ occurs. It grows by one level, that is one word, at a time:
 
 * every shard (some megabytes of text in one language) sorts its phrases of the next length and builds their count
   transducer; a phrase is tried only where it is frequent without its last word and without its first, as no other can be;
-* the transducers are cut into prefix ranges of about equal weight; a task unites those of one range from all shards,
-  sums the weights, and lets arcs below the wanted count go;
-* each shard learns which of its own arcs stayed, and goes on from there.
+* the transducers are cut into prefix ranges of about equal weight (of the first words' hashes, so that they are even); a
+  task unites those of one range from all shards, sums the weights, and lets arcs below the wanted count go;
+* it tells each shard which of its own arcs stayed, and the shard goes on from there.
 
 An arc is named by the states of its phrase without the last and without the first word. So the counts of all first parts
 lie on the way to a state, and those of all rests on the way along the second states: composing these gives every part.
@@ -15,9 +15,10 @@ lie on the way to a state, and those of all rests on the way along the second st
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import count
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -25,21 +26,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brookmart.llm.common import Scratch, importable, whole
-from brookmart.operators.joins import small_side
 
 #: Bytes of text in a shard, and occurrences in a prefix range. Both bound a task's memory and change no result.
 SHARD_BYTES, RANGE_WEIGHT = 4 << 20, 1 << 20
-#: Shards named in one row of a united arc; an arc of more shards has more rows.
-NAMED_SHARDS = 4096
+#: Ranges of prefixes too frequent for one range have numbers from here on; state numbers are range << 24 | place.
+OF_HOT = 1 << 38
 #: Full stop, comma, semicolon, colon, exclamation and question mark, and the line ends, all become a line feed; a tab becomes a space.
 BORDERS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n" * 10 + b" ")
 BREAK = 0
 
-SHARD = "shard long, lang string, words binary, counts binary, stream binary"
+SHARD = "shard long, lang string, tokens long, words binary, counts binary, stream binary"
+WORDS = "slot long, shard long, lang string, words binary, local binary, n binary"
 SLICE = "slot long, shard long, p binary, s binary, n binary"
 STATE = "shard long, at binary, arc binary, p binary, s binary, n binary, slot binary"
-UNITED = "q long, p long, s long, n long, lead boolean, shards binary"
-PLACED = "q long, slot long, split long"
+#: Rows of a united range: its states (without shard), and for each shard the arcs (a, b) that stayed, with their state, range and split as prefixes.
+UNITED = "q long, p long, s long, n long, lang string, word string, shard long, level long, a binary, b binary, qs binary, slots binary, splits binary"
 
 
 def _array(value: pa.Scalar, kind=np.int64) -> np.ndarray:
@@ -70,7 +71,7 @@ def shard_row(shard: int, lang: str, texts: list[bytes]) -> pa.RecordBatch:
     stream -= stream > 1
     del numbers[b"\n"], numbers[b""]
     counts = np.bincount(stream, minlength=len(numbers) + 1)[1:].astype(np.int32)
-    return _batch(SHARD, [shard], [lang], [b"\n".join(numbers)], [counts.tobytes()], [stream.tobytes()])
+    return _batch(SHARD, [shard], [lang], [int(counts.sum())], [b"\n".join(numbers)], [counts.tobytes()], [stream.tobytes()])
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,14 +100,22 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close(lang)
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each distinct word of a shard."""
-    for batch in batches:
-        for shard, lang, words, counts in zip(*batch.columns, strict=True):
-            n = _array(counts, np.int32)
-            if len(n):
-                yield _batch("shard long, lang string, local long, word string, n long", np.full(len(n), shard.as_py()), [lang.as_py()] * len(n),
-                             np.arange(1, len(n) + 1), [w.decode() for w in words.as_py().split(b"\n")], n.astype(np.int64))
+def _words(ranges: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The words of a shard, a row for each range of their hashes."""
+        for batch in batches:
+            for shard, lang, words, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not counts:
+                    continue
+                n, seed, words = np.frombuffer(counts, np.int32), crc32(lang.encode()), words.split(b"\n")
+                slot = np.array([crc32(w, seed) for w in words], np.int64) * ranges >> 32
+                order = np.argsort(slot, kind="stable")
+                cuts = np.flatnonzero(np.diff(slot[order], prepend=-1))
+                pieces = np.split(order, cuts[1:])
+                yield _batch(WORDS, slot[order][cuts], [shard] * len(cuts), [lang] * len(cuts), [b"\n".join([words[i] for i in x.tolist()]) for x in pieces],
+                             [(x + 1).tobytes() for x in pieces], [n[x].astype(np.int64).tobytes() for x in pieces])
+
+    return run
 
 
 # ---- count transducers of one level ------------------------------------------------------------
@@ -170,43 +179,73 @@ def slices(shard: int, p: np.ndarray, s: np.ndarray, n: np.ndarray, slot: np.nda
     return _batch(SLICE, slot[cuts], np.full(len(cuts), shard), *zip(*pieces)) if pieces else _batch(SLICE, *[[]] * 5)
 
 
-def unite(slot: int, shards: list[int], p: list[np.ndarray], s: list[np.ndarray], n: list[np.ndarray], least: int) -> pa.RecordBatch:
-    """The union of transducers of one prefix range: weights summed, arcs below ``least`` dropped, the others numbered."""
-    owner = np.repeat(np.array(shards, np.int64), [len(x) for x in p])
-    p, s, n = np.concatenate(p), np.concatenate(s), np.concatenate(n)
-    order = np.lexsort((s, p))
-    p, s, n, owner = p[order], s[order], n[order], owner[order]
-    first = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (s[1:] != s[:-1])]))
-    sums = np.add.reduceat(n, first)
-    ends = np.append(first[1:], len(p))
-    rows = []
-    for k, i in enumerate(np.flatnonzero(sums >= least)):
-        for a in range(first[i], ends[i], NAMED_SHARDS):
-            rows.append((slot << 24 | k, p[first[i]], s[first[i]], sums[i], a == first[i], owner[a:min(a + NAMED_SHARDS, ends[i])].tobytes()))
-    return _batch(UNITED, *(zip(*rows) if rows else [[]] * 6))
+def _prefixes(q: np.ndarray, n: np.ndarray, slot: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of the longer phrases that begin with the states q. They weigh no more than these, so they stay in their range, unless one is too frequent."""
+    split = 1 + n // RANGE_WEIGHT
+    own = OF_HOT + salted(q, np.full(len(q), OF_HOT // 2))
+    return np.where(split > 1, own, slot), split
+
+
+def _united(states: list, feeds: list) -> pa.Table:
+    return pa.Table.from_batches([_batch(UNITED, *zip(*(x + (None,) * 7 for x in states), *((None,) * 6 + x for x in feeds)))
+                                  if states else _batch(UNITED, *[[]] * 13)])
 
 
-def _unite(least: int):
+def _unite_words(least: int):
     def run(group: pa.Table) -> pa.Table:
-        c = {name: group.column(name) for name in ("p", "s", "n")}
-        arrays = {name: [_array(x) for x in column] for name, column in c.items()}
-        return pa.Table.from_batches([unite(group.column("slot")[0].as_py(), group.column("shard").to_pylist(), *arrays.values(), least)])
+        """The frequent words of one range, and which of them each shard has."""
+        sums: dict[str, Counter] = defaultdict(Counter)
+        slot = group.column("slot")[0].as_py()
+        shards = [(r["shard"], r["lang"], r["words"].split(b"\n"), np.frombuffer(r["local"], np.int64), np.frombuffer(r["n"], np.int64)) for r in group.to_pylist()]
+        for _, lang, words, _, n in shards:
+            sum_of = sums[lang]
+            for w, k in zip(words, n.tolist(), strict=True):
+                sum_of[w] += k
+        kept = sorted((lang, w) for lang, sum_of in sums.items() for w, k in sum_of.items() if k >= least)
+        place = {x: i for i, x in enumerate(kept)}
+        q = np.arange(len(kept)) + (slot << 24)
+        n = np.array([sums[lang][w] for lang, w in kept], np.int64)
+        slots, splits = _prefixes(q, n, slot)
+        states = [(a, None, None, b, lang, w.decode()) for a, b, (lang, w) in zip(q.tolist(), n.tolist(), kept, strict=True)]
+        feeds = []
+        for shard, lang, words, local, _ in shards:
+            at = np.array([place.get((lang, w), -1) for w in words], np.int64)
+            has, at = at >= 0, at[at >= 0]
+            if len(at):
+                feeds.append((shard, 1, *(x.tobytes() for x in (local[has], at * 0, q[at], slots[at], splits[at]))))
+        return _united(states, feeds)
 
     return run
 
 
-def _place(keep: bool):
-    """Prefix ranges for states in sorted order: each range begins when RANGE_WEIGHT occurrences have passed. Also numbers words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, passed, number = _part(), 0, 0
-        for batch in batches:
-            n = batch.column("n").to_numpy()
-            before = passed + np.cumsum(n) - n
-            q = batch.column("q") if keep else pa.array((part << 40) + number + np.arange(len(n)))
-            placed = [q, pa.array((part << 24) + before // RANGE_WEIGHT), pa.array(1 + n // RANGE_WEIGHT)]
-            yield pa.record_batch([*placed, *(batch.column(c) for c in ("lang", "word", "n") if not keep)],
-                                  names=["q", "slot", "split", "lang", "word", "n"][: 3 if keep else 6])
-            passed, number = passed + int(n.sum()), number + len(n)
+def unite(slot: int, level: int, shards: list[int], p: list[np.ndarray], s: list[np.ndarray], n: list[np.ndarray], least: int) -> pa.Table:
+    """The union of transducers of one prefix range: weights summed, arcs below ``least`` dropped, the others numbered; and which of them each shard has."""
+    owner = np.repeat(np.arange(len(shards)), [len(x) for x in p])
+    p, s, n = np.concatenate(p), np.concatenate(s), np.concatenate(n)
+    order = np.lexsort((s, p))
+    p, s, n, owner = p[order], s[order], n[order], owner[order]
+    new = np.concatenate([[True], (p[1:] != p[:-1]) | (s[1:] != s[:-1])])
+    first, run = np.flatnonzero(new), np.cumsum(new) - 1
+    sums = np.add.reduceat(n, first)
+    kept = np.flatnonzero(sums >= least)
+    p, s, n, q = p[first][kept], s[first][kept], sums[kept], np.arange(len(kept)) + (slot << 24)
+    slots, splits = _prefixes(q, n, slot)
+    states = [(*x, None, None) for x in zip(*(x.tolist() for x in (q, p, s, n)), strict=True)]
+    place = np.full(len(first), -1)
+    place[kept] = np.arange(len(kept))
+    at = place[run]
+    owner, at = owner[at >= 0], at[at >= 0]
+    order = np.argsort(owner, kind="stable")
+    owner, at = owner[order], at[order]
+    cuts = np.flatnonzero(np.diff(owner, prepend=-1))
+    feeds = [(shards[owner[c]], level, *(x[own].tobytes() for x in (p, s, q, slots, splits))) for c, own in zip(cuts, np.split(at, cuts[1:]))]
+    return _united(states, feeds)
+
+
+def _unite(level: int, least: int):
+    def run(group: pa.Table) -> pa.Table:
+        arrays = [[_array(x) for x in group.column(name)] for name in ("p", "s", "n")]
+        return unite(group.column("slot")[0].as_py(), level, group.column("shard").to_pylist(), *arrays, least)
 
     return run
 
@@ -216,7 +255,7 @@ def _place(keep: bool):
 def _fed(feed: pa.Table, level: int) -> list[np.ndarray]:
     """The kept arcs (a, b) of a shard, and their numbers, ranges and splits."""
     mine = feed.filter(pa.compute.equal(feed.column("level"), level))
-    return [mine.column(c).to_numpy() for c in ("a", "b", "q", "slot", "split")]
+    return [np.concatenate([np.empty(0, np.int64), *map(_array, mine.column(c))]) for c in ("a", "b", "qs", "slots", "splits")]
 
 
 def _pairs(shard: pa.Table, feed: pa.Table) -> Level:
@@ -259,14 +298,6 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield slices(shard.as_py(), *map(_array, arrays))
 
 
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each kept arc and shard that has it."""
-    for batch in batches:
-        for q, p, s, shards in zip(*batch.columns, strict=True):
-            shard = _array(shards)
-            yield _batch("shard long, a long, b long, q long", shard, *(np.full(len(shard), x.as_py()) for x in (p, s, q)))
-
-
 # ---- the operator ------------------------------------------------------------------------------
 
 class _Automaton:
@@ -278,17 +309,14 @@ class _Automaton:
         lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
         texts = docs.select(lang.alias("lang"), whole(F.col(text_col).cast("string")).cast("binary").alias("text"))
         shards = keep(texts.mapInArrow(_shards, SHARD), "shards")
-        words = shards.select("shard", "lang", "words", "counts").mapInArrow(_words, "shard long, lang string, local long, word string, n long")
-        counts = keep(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), "counts")
-        self.totals = keep(counts.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-        frequent = counts.where(F.col("n") >= least).repartitionByRange("lang", "word").sortWithinPartitions("lang", "word")
-        placed = keep(frequent.mapInArrow(_place(False), PLACED + ", lang string, word string, n long"), "words")
-        feed = keep(words.join(small_side(placed.drop("n")), ["lang", "word"]).select(
-            "shard", F.lit(1).cast("long").alias("level"), F.col("local").alias("a"), F.lit(0).cast("long").alias("b"), "q", "slot", "split"), "feed")
+        self.totals = keep(shards.groupBy("lang").agg(F.sum("tokens").alias("total")), "totals")
+        ranges = 1 + (self.totals.agg(F.sum("total")).first()[0] or 0) // RANGE_WEIGHT
+        cut = shards.select("shard", "lang", "words", "counts").mapInArrow(_words(ranges), WORDS)
+        united = keep(cut.groupBy("slot").applyInArrow(_unite_words(least), UNITED), "united")
         none = F.array().cast("array<bigint>")
         #: By length: q, lang, phrase, its last word, count, and the counts of first parts and rests, by cut.
-        self.levels = [placed.select("q", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "n", none.alias("ls"), none.alias("rs"))]
-        state = shards.select("shard", "stream")
+        self.levels = [united.where("shard IS NULL").select("q", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "n", none.alias("ls"), none.alias("rs"))]
+        feed, state = self._feed(united), shards.select("shard", "stream")
         for length in range(2, longest + 1):
             step = {2: _second, 3: _third}.get(length, _later(length - 1))
             both = state.groupBy("shard").cogroup(feed.groupBy("shard"))
@@ -297,16 +325,16 @@ class _Automaton:
             else:
                 state = keep(both.applyInArrow(step, STATE), "state")
                 cut = state.select("shard", "p", "s", "n", "slot").mapInArrow(_slices, SLICE)
-            united = keep(cut.groupBy("slot").applyInArrow(_unite(least), UNITED), "united")
-            arcs = united.where("lead").select("q", "p", "s", "n")
+            united = keep(cut.groupBy("slot").applyInArrow(_unite(length, least), UNITED), "united")
+            arcs = united.where("shard IS NULL").select("q", "p", "s", "n")
             if arcs.isEmpty():
                 break
             self.levels.append(keep(self._compose(arcs), f"length-{length}"))
-            if length < longest:
-                ranges = keep(arcs.repartitionByRange("q").sortWithinPartitions("q").mapInArrow(_place(True), PLACED), "ranges")
-                named = united.select("q", "p", "s", "shards").mapInArrow(_named, "shard long, a long, b long, q long")
-                new = named.join(small_side(ranges), "q").select("shard", F.lit(length).cast("long").alias("level"), "a", "b", "q", "slot", "split")
-                feed = keep(new.unionByName(feed) if length == 2 else new, "feed")
+            feed = self._feed(united).unionByName(feed) if length == 2 else self._feed(united)
+
+    @staticmethod
+    def _feed(united: DataFrame) -> DataFrame:
+        return united.where("shard IS NOT NULL").select("shard", "level", "a", "b", "qs", "slots", "splits")
 
     def _compose(self, arcs: DataFrame) -> DataFrame:
         """What the states of a new level are, from the two states one word shorter that each is made of."""

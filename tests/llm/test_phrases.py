@@ -50,7 +50,7 @@ def texts(seed, n):
 @pytest.mark.parametrize("seed, shard, weight", [(1, 4 << 20, 1 << 20), (2, 200, 50), (3, 1500, 7)])
 def test_against_brute_force(spark, monkeypatch, seed, shard, weight):
     # Tasks import the module anew, so small bounds must reach them by value.
-    monkeypatch.setattr(phrases, "_place", bounded(phrases._place, weight))
+    monkeypatch.setattr(phrases, "_prefixes", bounded(phrases._prefixes, weight))
     monkeypatch.setattr(phrases, "_shards", bounded_shards(shard))
     rows = texts(seed, 120)
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
@@ -60,17 +60,14 @@ def test_against_brute_force(spark, monkeypatch, seed, shard, weight):
         assert set(map(tuple, got)) == brute(rows, longest, least, top)
 
 
-def bounded(make, weight):
-    def place(keep):
-        def run(batches):
-            import brookmart.llm.phrases as there
-
-            there.RANGE_WEIGHT, there.NAMED_SHARDS = weight, 3
-            yield from make(keep)(batches)
+def bounded(real, weight):
+    def prefixes(*args):
+        import brookmart.llm.phrases as there
 
-        return run
+        there.RANGE_WEIGHT = weight
+        return real(*args)
 
-    return place
+    return prefixes
 
 
 def bounded_shards(size):
@@ -85,11 +82,17 @@ def bounded_shards(size):
     return run
 
 
-def test_union_sums_and_names_all_shards():
+def test_union_sums_and_tells_all_shards():
     a = np.array
-    got = unite(3, [7, 9], [a([1, 1, 2]), a([1, 2])], [a([4, 5, 4]), a([5, 4])], [a([2, 3, 1]), a([4, 1])], 3)
-    rows = [(r["q"], r["p"], r["s"], r["n"], r["lead"], np.frombuffer(r["shards"], np.int64).tolist()) for r in got.to_pylist()]
-    assert rows == [(3 << 24, 1, 5, 7, True, [7, 9])]
+    got = unite(3, 2, [7, 9], [a([1, 1, 2]), a([1, 2])], [a([4, 5, 4]), a([5, 4])], [a([2, 3, 1]), a([4, 1])], 3).to_pylist()
+    assert [tuple(r.values())[:4] for r in got if r["shard"] is None] == [(3 << 24, 1, 5, 7)]
+    told = [(r["shard"], r["level"], *(np.frombuffer(r[c], np.int64).tolist() for c in ("a", "b", "qs", "slots", "splits"))) for r in got if r["shard"]]
+    assert told == [(7, 2, [1], [5], [3 << 24], [3], [1]), (9, 2, [1], [5], [3 << 24], [3], [1])]
+
+
+def test_longer_phrases_stay_in_the_range_of_their_prefix_unless_it_is_hot():
+    slot, split = phrases._prefixes(np.array([5, 6]), np.array([10, 5 * phrases.RANGE_WEIGHT]), 3)
+    assert slot[0] == 3 and slot[1] >= phrases.OF_HOT and split.tolist() == [1, 6]
 
 
 def test_arcs_are_found_among_the_kept():
