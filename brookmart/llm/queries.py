@@ -10,6 +10,7 @@ from brookmart.llm.common import importable, table
 from brookmart.llm.decontamination import find_leaks, leak_rows
 from brookmart.llm.exact_dedup import exact_dedup
 from brookmart.llm.extraction import extract_text
+from brookmart.llm.hard_negatives import hard_negatives
 from brookmart.llm.jaccard_join import near_duplicates
 from brookmart.llm.language import held_out, identify, learn
 from brookmart.llm.mixing import mix_sources
@@ -84,6 +85,13 @@ def op11_mine_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_phrases(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh label is made wrong first."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op13_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of each document, and of the text that they decode to."""
     import public_tokenizers
@@ -97,7 +105,7 @@ def op13_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_extract_text, op3_score_quality, op4_scan_secrets, op5_find_leaks, op6_jaccard_join, op7_identify_language, op8_exact_dedup, op9_token_files, op10_warc,
-    op11_mine_phrases, op13_bpe_trie,
+    op11_mine_phrases, op12_hard_negatives, op13_bpe_trie,
 )}
 
 SQL = {
@@ -169,4 +177,21 @@ SQL = {
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
         FROM best b WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND i.f >= b.a)
         QUALIFY rank <= 2000""",
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                [floor(256 * x::DOUBLE) FOR x IN embedding] AS vec
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same, list_dot_product(a.vec, x.vec)::BIGINT AS score
+            FROM v a JOIN v x ON a.vec_id <> x.vec_id WHERE a.vec_id % 100 = 0),
+        positive AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+            vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positive JOIN scored USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score QUALIFY rank <= 5""",
 }
