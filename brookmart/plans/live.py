@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from brookmart.operators import cdc_select, first_per_day, first_state, lookup, wide_join
+from brookmart.operators.columns import as_col
 from brookmart.plans import trade, traffic, users
 from brookmart.schemas import TABLE_COLUMNS
 from brookmart.sinks.append import _trigger
-from brookmart.sinks.upsert import batch_path, upsert_batch, write_upsert
+from brookmart.sinks.files import children, delete, write_json
+from brookmart.sinks.upsert import upsert_batch, write_upsert
+from brookmart.sinks.versions import batch_path, published
 from brookmart.sources.events import read_log
 from brookmart.streaming.jobs import start_batches
 from brookmart.streaming.ledger import Ledger
@@ -26,10 +29,34 @@ def _write(rows: DataFrame, out: str, batch_id: int, *parts: str) -> None:
     rows.write.mode("overwrite").partitionBy(*parts).parquet(batch_path(out, batch_id))
 
 
+COMMITTED = "_committed"
+#: Batches listed by number; the ones before are listed by the greatest of them.
+LISTED = 100
+
+
+def commit(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Tell readers of ``root`` that all outputs of a batch are there. To be called when they are."""
+    write_json(spark, f"{root}/{COMMITTED}/{batch_id}.json", {"batch": batch_id})
+    old = [int(n.removesuffix(".json")) for n in children(spark, f"{root}/{COMMITTED}") if n.endswith(".json") and not n.startswith("_")]
+    for n in sorted(old)[:-LISTED]:  # batches come in order, so the newest one tells of all before
+        delete(spark, f"{root}/{COMMITTED}/{n}.json")
+
+
+def committed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The output ``root/name`` of a job with several outputs, of those batches only whose outputs are all there."""
+    newest = published(spark, f"{root}/{COMMITTED}")
+    rows = spark.read.parquet(f"{root}/{name}")
+    return rows.where(F.col("batch_id") <= (-1 if newest is None else newest))
+
+
 def log_split(
     texts: DataFrame, root: str, checkpoint: str, tiebreak=(), trigger: Mapping | None = None
 ) -> StreamingQuery:
-    """Behaviour log texts -> ``root/logs`` (partitioned by kind) and ``root/dirty``."""
+    """Behaviour log texts -> ``root/logs`` (partitioned by kind) and ``root/dirty``; read them with ``committed``.
+
+    Known devices, logs and malformed texts are three outputs. A batch that stops between them is in none of its readers' sight until it has
+    run again: devices are looked up as they were before the batch, and logs and texts are read up to the last batch with all three.
+    """
     devices = Ledger(f"{root}/devices", T.StructType([
         T.StructField("_key", T.StringType()), T.StructField("first_day", T.DateType()),
     ]), ["_key"])
@@ -42,6 +69,7 @@ def log_split(
         state = devices.matching(first, batch_id)
         _write(traffic.log_split_rows(good, tiebreak, state), f"{root}/logs", batch_id, "kind")
         _write(bad, f"{root}/dirty", batch_id)
+        commit(batch.sparkSession, root, batch_id)
 
     return start_batches(texts, work, checkpoint, trigger)
 
@@ -59,46 +87,59 @@ def cart_users(carts: DataFrame, watermark: str = "2 seconds") -> DataFrame:
     return first_per_day(timed, "user_id", "et").select("user_id", "et")
 
 
-def _days_ledger(path: str, key: str) -> Ledger:
-    return Ledger(path, T.StructType([T.StructField(key, T.StringType()), T.StructField("day", T.DateType())]), [key, "day"])
+def _recent(key: str, memory: int):
+    """Of each key's days in some merged rows, those not over ``memory`` days before its last one."""
+    last = F.max("day").over(Window.partitionBy(key))
+
+    def prune(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_last", last).where(F.col("day") >= F.date_sub("_last", memory)).drop("_last")
+
+    return prune
 
 
 def _per_day(
-    df: DataFrame, key: str, root: str, checkpoint: str, plan: Callable[[DataFrame, DataFrame], DataFrame],
-    trigger: Mapping | None,
+    df: DataFrame, key: str, source: str, root: str, checkpoint: str, plan: Callable[[DataFrame, DataFrame], DataFrame],
+    trigger: Mapping | None, memory: int,
 ) -> StreamingQuery:
-    """Run ``plan(batch, days known before)`` per batch, and remember the days it returns."""
-    seen = _days_ledger(f"{root}/seen", key)
+    """Run ``plan(batch, days known before)`` per batch, and remember the days it returns.
+
+    Of a user the days of the last ``memory`` days before the newest one are remembered. A day before those is late: it is not emitted.
+    """
+    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("day", T.DateType())])
+    seen = Ledger(f"{root}/seen", schema, [key, "day"], by=[key], prune=_recent(key, memory))
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        days = plan(batch, seen.known(batch.sparkSession, batch_id)).persist()
+        known = seen.known_of(batch.select(as_col(source).alias(key)), batch_id).persist()
+        last = known.groupBy(key).agg(F.date_sub(F.max("day"), memory).alias("_from"))
+        days = plan(batch, known).join(last, key, "left").where("_from IS NULL OR day >= _from").drop("_from").persist()
         try:
             seen.record(days, batch_id, ["day"])
             _write(days, f"{root}/rows", batch_id)
         finally:
             days.unpersist()
+            known.unpersist()
 
     return start_batches(df, work, checkpoint, trigger)
 
 
 def login_days(
-    pages: DataFrame, root: str, checkpoint: str, gap_days: int = 7, trigger: Mapping | None = None
+    pages: DataFrame, root: str, checkpoint: str, gap_days: int = 7, trigger: Mapping | None = None, memory: int = 400
 ) -> StreamingQuery:
     """Login days with the returning flag -> ``root/rows``; then ``users.login_activity``."""
     def plan(batch: DataFrame, known: DataFrame) -> DataFrame:
         return users.login_days(batch, gap_days, known)
 
-    return _per_day(pages, "uid", root, checkpoint, plan, trigger)
+    return _per_day(pages, "uid", "common.uid", root, checkpoint, plan, trigger, memory)
 
 
 def user_firsts(
-    df: DataFrame, key: str, ts: str, root: str, checkpoint: str, tiebreak=(), trigger: Mapping | None = None
+    df: DataFrame, key: str, ts: str, root: str, checkpoint: str, tiebreak=(), trigger: Mapping | None = None, memory: int = 400
 ) -> StreamingQuery:
     """First of the day and first ever -> ``root/rows``; then ``order_users`` or ``payment_users``."""
     def plan(batch: DataFrame, known: DataFrame) -> DataFrame:
         return trade.user_firsts(batch, key, ts, tiebreak, known)
 
-    return _per_day(df, key, root, checkpoint, plan, trigger)
+    return _per_day(df, key, key, root, checkpoint, plan, trigger, memory)
 
 
 def order_lines(changes: DataFrame, root: str, checkpoint: str, trigger: Mapping | None = None, database: str | None = None) -> StreamingQuery:
@@ -136,7 +177,8 @@ def order_wide(
 ) -> StreamingQuery:
     """Order lines with each change of their order -> upsert table ``root/wide`` (key ORDER_KEY, newest ``line_version``).
 
-    ``lines`` is a stream of what ``order_lines`` writes. The join has no time bound; both sides stay in state.
+    ``lines`` is a stream of what ``order_lines`` writes. The join has no time bound; both sides stay in state. The rows of each batch
+    stay in ``root/wide/batch_id=*``, for jobs that go on from the versions as a stream.
     """
     info = cdc_select(
         changes, "order_info", [c for c in TABLE_COLUMNS["order_info"] if c != "create_time"], ("insert", "update"), database,
@@ -144,7 +186,7 @@ def order_wide(
     ).withColumnRenamed("ts", "change_ts")
     wide = wide_join(lines, info, {"order_id": "id"})
     wide = lookup(wide, codes, "source_type", "dic_code", {"source_name": "dic_name"})
-    return write_upsert(wide, f"{root}/wide", ORDER_KEY, ["line_version"], checkpoint, trigger=trigger)
+    return write_upsert(wide, f"{root}/wide", ORDER_KEY, ["line_version"], checkpoint, trigger=trigger, retain=None)
 
 
 def newest_lines(placed: DataFrame, out: str, checkpoint: str, trigger: Mapping | None = None) -> StreamingQuery:

@@ -88,7 +88,7 @@ def live_keyword_counts(s, d):
 def live_log_split_counts(s, d):
     root = shared_folder(s, "log-split")
     run_to_end(live.log_split(samples.log_texts(samples.stream_reader(s, d)), root, f"{root}/checkpoint", ["seq"]))
-    rows = s.read.parquet(f"{root}/logs").select("kind", F.col("common.is_new").alias("is_new"))
+    rows = live.committed(s, root, "logs").select("kind", F.col("common.is_new").alias("is_new"))
     return rows.groupBy("kind", "is_new").agg(F.count("*").alias("n"))
 
 
@@ -169,7 +169,7 @@ def _run_order_wide(s, d, root: str) -> DataFrame:
     stored = s.read.parquet(f"{root}/lines").drop("batch_id")
     versions = s.readStream.schema(stored.schema).parquet(f"{root}/lines/*")
     run_to_end(live.order_wide(changes("order_info"), versions, samples.codes(s), root, f"{root}/checkpoint-wide", database=samples.DATABASE))
-    return s.read.parquet(f"{root}/wide").drop("batch_id")
+    return read_upsert(s, f"{root}/wide", live.ORDER_KEY, ["line_version"])
 
 
 def _order_wide(s, d) -> DataFrame:

@@ -1,27 +1,23 @@
-"""Upsert sink: an append-only change table, read back as the newest version per key.
-
-Each micro-batch owns the partition ``batch_id=N`` and overwrites it, so a batch that runs again
-after a failure replaces its own rows and no others.
-"""
+"""Upsert sink: the newest version per key, in a table that compacts while the stream runs (see sinks.versions)."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from brookmart.operators.state import latest_by_key
 from brookmart.sinks.append import _trigger
+from brookmart.sinks.versions import VersionedTable, batch_path
 
-
-def batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"
+__all__ = ["batch_path", "compact_upsert", "read_upsert", "upsert_batch", "write_upsert"]
 
 
-def upsert_batch(batch: DataFrame, batch_id: int, path: str, pk: Iterable[str], seq: Iterable[str]) -> None:
-    """Write one batch, reduced to the newest version per key."""
-    latest_by_key(batch, list(pk), list(seq)).write.mode("overwrite").parquet(batch_path(path, batch_id))
+def upsert_batch(
+    batch: DataFrame, batch_id: int, path: str, pk: Iterable[str], seq: Iterable[str], retain: int | None = 8
+) -> None:
+    """Write one batch, reduced to the newest version per key, and merge parts that have come together."""
+    VersionedTable(path, pk, seq, retain=retain).commit(batch, batch_id)
 
 
 def write_upsert(
@@ -32,33 +28,28 @@ def write_upsert(
     checkpoint: str,
     output_mode: str = "append",
     trigger: Mapping | None = None,
+    retain: int | None = 8,
 ) -> StreamingQuery:
     """Start an upsert query keyed by ``pk``; among versions of a key the greatest ``seq`` wins.
 
-    With ``output_mode='update'`` results of open windows are written early and replaced later.
+    With ``output_mode='update'`` results of open windows are written early and replaced later. With ``retain=None`` the
+    rows of every batch stay in ``path/batch_id=*``, for a stream that reads them; else they go some batches after they are merged.
     """
     pk, seq = list(pk), list(seq)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, batch_id, path, pk, seq)
+        upsert_batch(batch, batch_id, path, pk, seq, retain)
 
     writer = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return _trigger(writer, trigger).start()
 
 
 def read_upsert(spark: SparkSession, path: str, pk: Iterable[str], seq: Iterable[str]) -> DataFrame:
-    """The newest version per key; for equal ``seq`` the later batch wins."""
-    rows = spark.read.parquet(path)
-    return latest_by_key(rows, list(pk), [*seq, "batch_id"]).drop("batch_id")
+    """The newest version per key; for equal ``seq`` the later batch wins. What later batches change is not seen."""
+    return VersionedTable(path, pk, seq).read(spark)
 
 
 def compact_upsert(spark: SparkSession, path: str, target: str, pk: Iterable[str], seq: Iterable[str]) -> None:
-    """Rewrite the table into a new folder with one version per key.
-
-    The rows keep the greatest batch number, so the stream goes on in ``target`` with later batches.
-    """
-    rows = spark.read.parquet(path)
-    last = rows.agg(F.max("batch_id")).first()[0]
-    latest_by_key(rows, list(pk), [*seq, "batch_id"]).drop("batch_id").write.mode("overwrite").parquet(
-        batch_path(target, last)
-    )
+    """Copy the newest version into a new table with one row per key; the stream may go on there with later batches."""
+    table = VersionedTable(path, pk, seq)
+    VersionedTable(target, pk, seq).commit(table.read(spark), table.manifest(spark)["batch"])
