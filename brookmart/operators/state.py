@@ -105,7 +105,7 @@ def bounces(
     if df.isStreaming:
         from brookmart.streaming.bounces import bounces_stream
 
-        return bounces_stream(df, key, ts, last_page, within)
+        return bounces_stream(df, key, ts, last_page, within, bucket, tiebreak)
     limit = round(seconds_of(within) * 1_000_000)
     width = round(seconds_of(bucket) * 1_000_000) if bucket else 64 * limit
     if width < limit:

@@ -9,17 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from brookmart.operators import cdc_select, first_per_day, first_state, lookup, wide_join
+from brookmart.operators import cdc_select, first_per_day, first_state, lookup, small_side, wide_join
 from brookmart.operators.columns import as_col
+from brookmart.operators.windows import emitted
 from brookmart.plans import trade, traffic, users
 from brookmart.schemas import TABLE_COLUMNS
 from brookmart.sinks.append import _trigger
 from brookmart.sinks.files import children, delete, write_json
 from brookmart.sinks.upsert import upsert_batch, write_upsert
-from brookmart.sinks.versions import batch_path, published
+from brookmart.sinks.versions import VersionedTable, batch_path, published
 from brookmart.sources.events import read_log
 from brookmart.streaming.jobs import start_batches
 from brookmart.streaming.ledger import Ledger
@@ -198,3 +199,36 @@ def newest_lines(placed: DataFrame, out: str, checkpoint: str, trigger: Mapping
         upsert_batch(batch, batch_id, out, ["id"], trade.LINE_VERSION)
 
     return start_batches(placed, work, checkpoint, trigger)
+
+
+def versioned_windows(
+    rows: DataFrame, pk: list[str], seq: list[str], touches: list[Column], plan: Callable[[DataFrame], DataFrame], keys: list[str],
+    root: str, checkpoint: str, trigger: Mapping | None = None,
+) -> StreamingQuery:
+    """Windows over rows of which newer versions may come at any time -> upsert table ``root/windows`` (keys ``keys``, with emission time ``ts``).
+
+    Rows are kept by ``pk``, newest ``seq``, in ``root/rows``. A batch computes anew, by the batch plan ``plan``, just the results that its rows
+    touch: ``touches`` are expressions over rows that every row of a result shares, such as its window and group. What a row touched before
+    its newest version is computed anew as well.
+    """
+    names = [f"_t{i}" for i in range(len(touches))]
+
+    def touched(of: DataFrame) -> DataFrame:
+        return of.select(*[c.alias(n) for c, n in zip(touches, names)])
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        table = VersionedTable(f"{root}/rows", pk, seq)
+        hit = touched(batch)
+        if table.manifest(spark, batch_id - 1) is not None:
+            before = table.read(spark, batch_id - 1)
+            hit = hit.union(touched(before.join(batch.select(*pk).distinct(), pk, "left_semi")))
+        table.commit(batch, batch_id)
+        now = table.read(spark, batch_id)
+        for c, n in zip(touches, names):
+            now = now.withColumn(n, c)
+        hit = small_side(hit.distinct().withColumnsRenamed({n: f"_h{n}" for n in names}))
+        affected = now.join(hit, [F.col(n).eqNullSafe(F.col(f"_h{n}")) for n in names], "left_semi").drop(*names)
+        upsert_batch(emitted(plan(affected)), batch_id, f"{root}/windows", keys, ["ts"])
+
+    return start_batches(rows, work, checkpoint, trigger)

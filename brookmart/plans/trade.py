@@ -209,20 +209,31 @@ def sku_orders(
     return _sku_result(tumble_distinct(rows, "et", size, ["sku_id"], "order_id", "order_count", sums, watermark), dims)
 
 
+def earliest_lines(lines: DataFrame, horizon: str, watermark: str = "2 seconds") -> DataFrame:
+    """On a stream, the earliest line per order and SKU, let out once: when the watermark shows that no earlier one can come.
+
+    Lines of an order and SKU that follow within ``horizon`` of each other are one session, whose state is the earliest line
+    and is dropped when the session has ended. A line more than ``horizon`` after the others begins a new one. Write the result out
+    and give the next job a watermark of its own, which covers ``horizon``.
+    """
+    timed_lines = lines.withColumn("_et", parse_time("create_time")).withWatermark("_et", watermark)
+    first = F.min(F.struct("_et", "id", *[c for c in lines.columns if c != "id"])).alias("_first")
+    sessions = timed_lines.groupBy(F.session_window("_et", horizon), F.col("order_id").alias("_order"), F.col("sku_id").alias("_sku")).agg(first)
+    return sessions.select(*[F.col(f"_first.{c}").alias(c) for c in lines.columns])
+
+
 def sku_orders_dedup(
     lines: DataFrame, dims: dict[str, DataFrame], size: str = "10 seconds", watermark: str = "2 seconds"
 ) -> DataFrame:
     """Variant that keeps one line per order and SKU, the earliest, and counts lines.
 
-    Amounts of the other lines of the same order and SKU are left out by design.
+    Amounts of the other lines of the same order and SKU are left out by design. A stream takes the rows that
+    ``earliest_lines`` has let out.
     """
     rows = lines.select(parse_time("create_time").alias("et"), "id", "sku_id", "order_id", *[
         c.alias(n) for n, c in _line_amounts().items()
     ])
-    if rows.isStreaming:
-        one = rows.dropDuplicates(["order_id", "sku_id"])
-    else:
-        one = first_by(rows, ["order_id", "sku_id"], ["et", "id"])
+    one = rows if rows.isStreaming else first_by(rows, ["order_id", "sku_id"], ["et", "id"])
     aggs = {"order_count": F.count("*"), **{a: F.sum(a) for a in _SKU_AMOUNTS}}
     return _sku_result(tumble(one, "et", size, ["sku_id"], aggs, watermark), dims)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from brookmart.functions.dates import event_time
@@ -56,12 +58,15 @@ TRAFFIC = ["uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct"]
 
 
 def traffic_by_segment(
-    pages: DataFrame, visits: DataFrame, bounced: DataFrame, size: str = "10 seconds", watermark: str = "14 seconds"
+    pages: DataFrame, visits: DataFrame, bounced: DataFrame, size: str = "10 seconds", watermark: str = "14 seconds",
+    heartbeats: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Visitors, sessions, pages, time on page and bounces per version, channel, area and is_new.
 
-    The three inputs carry ``et``. On streams they are separate tables, and the watermark must cover
-    the time a bounce takes to be recognised plus the disorder upstream.
+    The three inputs carry ``et``. On streams they are separate tables, each with a watermark of its own, and the job's watermark is
+    the least of these (Spark's policy ``min``): no row is late because another input is further on. So an input that stands still holds all
+    windows open. ``heartbeats`` may hold a stream of times ``et`` for each of "pages", "visits" and "bounced", by which the job that
+    writes it tells that nothing older will come; its rows move that input's watermark and are not counted.
     """
     dims = {**SEGMENT, "et": "et"}
     session = F.when(F.col("page.last_page_id").isNull(), 1).otherwise(0).cast("long")
@@ -69,8 +74,20 @@ def traffic_by_segment(
     pv = measures(pages, dims, uv_ct=0, sv_ct=session, pv_ct=1, dur_sum=stay, uj_ct=0)
     uv = measures(visits, dims, uv_ct=1, sv_ct=0, pv_ct=0, dur_sum=0, uj_ct=0)
     uj = measures(bounced, dims, uv_ct=0, sv_ct=0, pv_ct=0, dur_sum=0, uj_ct=1)
-    rows = pv.unionByName(uv).unionByName(uj)
-    return tumble(rows, "et", size, list(SEGMENT), {m: F.sum(m) for m in TRAFFIC}, watermark)
+    parts = {"pages": pv, "visits": uv, "bounced": uj}
+    if pages.isStreaming:
+        parts = {name: _marked(df, watermark, (heartbeats or {}).get(name)) for name, df in parts.items()}
+    rows = parts["pages"].unionByName(parts["visits"]).unionByName(parts["bounced"])
+    return tumble(rows, "et", size, list(SEGMENT), {m: F.sum(m) for m in TRAFFIC})
+
+
+def _marked(rows: DataFrame, watermark: str, beats: DataFrame | None) -> DataFrame:
+    """A watermark over rows and heartbeats, and then the rows alone."""
+    if beats is None:
+        return rows.withWatermark("et", watermark)
+    both = rows.withColumn("_beat", F.lit(False)).unionByName(beats.select("et", F.lit(True).alias("_beat")), allowMissingColumns=True)
+    # The condition names the time, so that it is not moved in front of the watermark.
+    return both.withWatermark("et", watermark).where(F.when(F.col("et").isNotNull(), ~F.col("_beat"))).drop("_beat")
 
 
 def page_visitors(pages: DataFrame, tiebreak=()) -> DataFrame:

@@ -486,8 +486,9 @@ _LINE_MARK = f"(SELECT max(epoch_ms(l_shipdate)) - 2000 FROM lineitem)"
 STREAM_ORACLES = {
     "live_unique_visits": f"""
 WITH {EV} SELECT DISTINCT mid, strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS day FROM ev WHERE last_page_id IS NULL""",
-    "live_bounce_visits": f"""
-WITH {EV}, {BOUNCES} SELECT mid, ch, ts, seq FROM uj WHERE ts + 21600000 <= (SELECT max(ts) - 5000 FROM ev)""",
+    "live_bounce_visits": ORACLES["bounce_visits"],
+    "live_daily_visits": ORACLES["unique_visits"],
+    "live_traffic_by_segment": ORACLES["traffic_by_segment"],
     "live_page_uniques": f"""
 WITH {EV}, v AS (SELECT DISTINCT mid, page_id, ts // 86400000 AS day FROM ev WHERE page_id IN ('home', 'good_detail'))
 SELECT {win("day * 86400000", DAY)}, sum(CASE WHEN page_id = 'home' THEN 1 ELSE 0 END)::BIGINT AS home_uv_ct,
@@ -496,9 +497,14 @@ FROM v GROUP BY 1, 2""",
     "live_keyword_counts": ORACLES["keyword_counts"],
     "live_log_split_counts": ORACLES["log_split_counts"],
     "live_returning_users": ORACLES["returning_users"],
-    "live_order_users": users_sql(
-        "rows_ AS (SELECT o_custkey AS user_id, epoch_ms(o_orderdate) AS t0 FROM orders)", "t0",
-        "order_unique_user_count", "order_new_user_count"),
+    "live_log_pages": ORACLES["log_pages"],
+    "live_order_users": ORACLES["order_users"],
+    "live_payment_users": ORACLES["payment_users"],
+    "live_sku_orders": ORACLES["sku_orders"],
+    "live_sku_orders_dedup": ORACLES["sku_orders_dedup"],
+    "live_refund_requests_wide": ORACLES["refund_requests_wide"],
+    "live_refunds_paid_wide": ORACLES["refunds_paid_wide"],
+    "live_refunds_by_brand_category_user": ORACLES["refunds_by_brand_category_user"],
     "live_province_orders": ORACLES["province_orders"],
     "live_registrations": ORACLES["registrations"],
     "live_cart_adds": ORACLES["cart_adds"],

@@ -1,7 +1,8 @@
-"""The same jobs on streams: the given tables are read as streams, written, and the result read back.
+"""The same jobs on streams, with their results read back.
 
-Each query runs in a fresh folder below ``spark.checkpoint.dir``. Windowed results come in update mode into an
-upsert table, so open windows are there too; only live_sku_order_lines, a chain of two windows, must wait for the watermark.
+The records derived from the given tables are written as topics of ``FILES`` files in about the order of their time, and
+read one file per micro-batch. Each query runs in a fresh folder below ``spark.checkpoint.dir``; the jobs behind the order lines share
+one run of the join that they all follow. Windowed results come in update mode into an upsert table, so open windows are there too.
 """
 
 from __future__ import annotations
@@ -12,11 +13,14 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brookmart import samples
-from brookmart.operators import interval_join, latest_config
+from brookmart.operators import bounces, interval_join, latest_config
+from brookmart.operators.windows import emitted
 from brookmart.plans import live, refunds, trade, traffic, users
 from brookmart.registry.batch import BOUNCE, DAY, HOUR, MONTH, YEAR
 from brookmart.session import shared_folder
+from brookmart.sinks.files import date_files, exists, write_json
 from brookmart.sinks import read_dim_table, read_upsert, upsert_dims, write_append, write_upsert
+from brookmart.streaming.dedup import earliest_per_day_stream
 from brookmart.streaming.jobs import run_to_end
 
 
@@ -35,6 +39,33 @@ def _sized_state(s: SparkSession, per_core: int = 2) -> Iterator[None]:
         s.conf.set(name, before)
 
 
+FILES = 3
+#: Rows stand up to this many milliseconds behind rows of later time: across files too, within what the watermarks wait for.
+DISORDER = 1500
+#: After all rows of the given tables, in epoch milliseconds: 2100-01-01.
+CLOSING = 4_102_444_800_000
+
+
+def _topic(s: SparkSession, rows: DataFrame, root: str, name: str, ts: str = "ts", files: int = FILES) -> DataFrame:
+    """Rows as a stream of ``files`` micro-batches, by their time ``ts`` in milliseconds with some disorder."""
+    path = f"{root}/topic-{name}"
+    plain = [c for c, t in rows.dtypes if not t.startswith("map")]
+    shift = F.pmod(F.xxhash64(*plain), F.lit(DISORDER))
+    rows.withColumn("_at", F.col(ts) + shift).repartitionByRange(files, "_at").drop("_at").write.parquet(path)
+    date_files(s, path, ".parquet", 1_700_000_000_000)
+    return _read_topic(s, path, rows.schema)
+
+
+def _read_topic(s: SparkSession, path: str, schema) -> DataFrame:
+    return s.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _close(s: SparkSession, topic: DataFrame, root: str, name: str, row: dict) -> None:
+    """Append a last file with one row of some given columns, the others null."""
+    values = [F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in topic.schema.fields]
+    s.range(1).select(*values).coalesce(1).write.mode("append").parquet(f"{root}/topic-{name}")  # now, so after the others
+
+
 def _store(df: DataFrame, root: str, name: str) -> str:
     """Run an append query to its end; its output folder."""
     path = f"{root}/{name}"
@@ -47,94 +78,136 @@ def _table(s: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame:
 
 
 def _restream(s: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame:
-    """A stream of the output of the stream ``df``: a topic between two jobs."""
-    return s.readStream.schema(df.schema).parquet(_store(df, root, name))
+    """A stream of the output of the stream ``df``: a topic between two jobs, one file for each of its batches."""
+    return _read_topic(s, _store(df.repartition(1), root, name), df.schema)
 
 
 def _windows(s: SparkSession, df: DataFrame, root: str, keys: list[str]) -> DataFrame:
-    """Results of all windows, open ones included, by their keys."""
-    run_to_end(write_upsert(df, f"{root}/windows", keys, ["edt"], f"{root}/checkpoint-windows", "update"))
-    return read_upsert(s, f"{root}/windows", keys, ["edt"])
+    """Results of all windows, open ones included, by their keys; written with their emission time."""
+    run_to_end(write_upsert(emitted(df), f"{root}/windows", keys, ["ts"], f"{root}/checkpoint-windows", "update"))
+    return _emitted(s, root, keys)
+
 
+def _emitted(s: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """Windows without the emission time, which differs from run to run; one without it counts as no result."""
+    return read_upsert(s, f"{root}/windows", keys, ["ts"]).where("ts IS NOT NULL").drop("ts")
 
-def _pages(s, d) -> DataFrame:
-    return traffic.with_event_time(samples.pages(samples.stream_reader(s, d)))
+
+def _pages(s, d, root: str) -> DataFrame:
+    return traffic.with_event_time(_topic(s, samples.pages(samples.reader(s, d)), root, "pages"))
+
+
+def _changes(s, d, root: str, *tables: str) -> DataFrame:
+    return _topic(s, samples.changes(samples.reader(s, d), *tables), root, "changes-" + "-".join(tables))
 
 
 def live_unique_visits(s, d):
-    pages = _pages(s, d).withWatermark("et", "2 seconds")
-    visits = traffic.unique_visits(pages)
-    rows = _table(s, visits, shared_folder(s, "unique-visits"), "visits")
-    return rows.select("common.mid", F.date_format("et", "yyyy-MM-dd").alias("day"))
+    root = shared_folder(s, "unique-visits")
+    visits = traffic.unique_visits(_pages(s, d, root).withWatermark("et", "2 seconds"))
+    return _table(s, visits, root, "visits").select("common.mid", F.date_format("et", "yyyy-MM-dd").alias("day"))
+
+
+def _closed_pages(s, d, root: str, watermark: str) -> DataFrame:
+    """Pages with a watermark, and a last row of null columns that moves it behind all others, so that the last results come out."""
+    pages = _pages(s, d, root)
+    _close(s, pages.drop("et"), root, "pages", {"ts": CLOSING})
+    return pages.withWatermark("et", watermark)
+
+
+def _visits(s, d, root: str) -> DataFrame:
+    """The earliest visit of each device and day as a stream."""
+    first = earliest_per_day_stream(traffic.visit_starts(_closed_pages(s, d, root, "2 seconds")), "common.mid", "et", ["seq"])
+    return first.where("common IS NOT NULL")
+
+
+def live_daily_visits(s, d):
+    root = shared_folder(s, "daily-visits")
+    return _table(s, _visits(s, d, root), root, "visits").select("common.mid", "common.ch", "ts", "seq")
+
+
+def _bounced(s, d, root: str) -> DataFrame:
+    last = F.when(F.col("common").isNull(), F.lit("closed")).otherwise(F.col("page.last_page_id"))
+    return bounces(_closed_pages(s, d, root, "5 seconds"), "common.mid", "et", last, BOUNCE, ["seq"])
 
 
 def live_bounce_visits(s, d):
-    pages = _pages(s, d).withWatermark("et", "5 seconds")
-    rows = _table(s, traffic.bounce_visits(pages, BOUNCE), shared_folder(s, "bounces"), "bounces")
+    root = shared_folder(s, "bounces")
+    rows = _table(s, _bounced(s, d, root), root, "bounces")
     return rows.select("common.mid", "common.ch", "ts", "seq")
 
 
+def live_traffic_by_segment(s, d):
+    """Pages, visits and bounces as three streams under one watermark, which waits for the slowest of them."""
+    root = shared_folder(s, "traffic")
+    visits = _restream(s, _visits(s, d, f"{root}/v"), root, "visits")
+    bounced = _restream(s, _bounced(s, d, f"{root}/b"), root, "bounced")
+    out = traffic.traffic_by_segment(_pages(s, d, f"{root}/p"), visits, bounced, HOUR, "7 hours")
+    return _windows(s, out, root, ["stt", *traffic.SEGMENT])
+
+
 def live_page_uniques(s, d):
     root = shared_folder(s, "page-uniques")
-    visitors = _restream(s, live.page_visitors(_pages(s, d)), root, "visitors")
+    visitors = _restream(s, live.page_visitors(_pages(s, d, root)), root, "visitors")
     return _windows(s, traffic.page_uniques(visitors, DAY), root, ["stt"])
 
 
 def live_keyword_counts(s, d):
-    pages = traffic.with_event_time(samples.search_pages(samples.stream_reader(s, d)))
-    return _windows(s, traffic.keyword_counts(pages, "1 minute"), shared_folder(s, "keywords"), ["stt", "source", "keyword"])
+    root = shared_folder(s, "keywords")
+    pages = traffic.with_event_time(_topic(s, samples.search_pages(samples.reader(s, d)), root, "searches"))
+    return _windows(s, traffic.keyword_counts(pages, "1 minute"), root, ["stt", "source", "keyword"])
 
 
-def live_log_split_counts(s, d):
+def _split_log(s, d) -> str:
     root = shared_folder(s, "log-split")
-    run_to_end(live.log_split(samples.log_texts(samples.stream_reader(s, d)), root, f"{root}/checkpoint", ["seq"]))
-    rows = live.committed(s, root, "logs").select("kind", F.col("common.is_new").alias("is_new"))
+    texts = samples.log_texts(samples.reader(s, d))
+    run_to_end(live.log_split(_topic(s, texts, root, "texts", "seq"), root, f"{root}/checkpoint", ["seq"]))
+    return root
+
+
+def live_log_split_counts(s, d):
+    rows = live.committed(s, _split_log(s, d), "logs").select("kind", F.col("common.is_new").alias("is_new"))
     return rows.groupBy("kind", "is_new").agg(F.count("*").alias("n"))
 
 
+def live_log_pages(s, d):
+    """The page rows of the log split, by their content."""
+    rows = live.committed(s, _split_log(s, d), "logs").where("kind = 'page'")
+    return rows.select("seq", "common.mid", "common.is_new", "page.page_id", "page.last_page_id", "ts")
+
+
 def live_returning_users(s, d):
     root = shared_folder(s, "logins")
-    run_to_end(live.login_days(_pages(s, d), root, f"{root}/checkpoint"))
+    run_to_end(live.login_days(_pages(s, d, root), root, f"{root}/checkpoint"))
     rows = s.read.parquet(f"{root}/rows")
     return rows.select("uid", F.date_format("day", "yyyy-MM-dd").alias("day"), F.unix_millis("et").alias("ts"), "uu_ct", "back_ct")
 
 
-def live_order_users(s, d):
-    """First orders of the day and first ever, from the order inserts themselves."""
-    root = shared_folder(s, "order-users")
-    changes = samples.changes(samples.stream_reader(s, d), "order_info").where("type = 'insert'")
-    rows = changes.selectExpr("data['user_id'] AS user_id", "timestamp_millis(ts) AS et", "data['id'] AS id")
-    run_to_end(live.user_firsts(rows, "user_id", "et", root, f"{root}/checkpoint", ["id"]))
-    return trade.order_users(s.read.parquet(f"{root}/rows"), size=DAY)
-
-
 def live_province_orders(s, d):
     root = shared_folder(s, "provinces")
-    changes = samples.changes(samples.stream_reader(s, d), "order_info")
-    out = trade.province_orders(changes, samples.dims(s, d)["base_province"], MONTH)
+    out = trade.province_orders(_changes(s, d, root, "order_info"), samples.dims(s, d)["base_province"], MONTH)
     return _windows(s, out, root, ["stt", "province_id"])
 
 
 def live_registrations(s, d):
-    changes = samples.changes(samples.stream_reader(s, d), "user_info")
-    return _windows(s, users.registrations(users.users_registered(changes), "1 hour"), shared_folder(s, "registrations"), ["stt"])
+    root = shared_folder(s, "registrations")
+    return _windows(s, users.registrations(users.users_registered(_changes(s, d, root, "user_info")), "1 hour"), root, ["stt"])
 
 
 def live_cart_adds(s, d):
-    carts = trade.cart_adds(samples.changes(samples.stream_reader(s, d), "cart_info"), samples.codes(s))
-    return _table(s, carts, shared_folder(s, "carts"), "carts")
+    root = shared_folder(s, "carts")
+    return _table(s, trade.cart_adds(_changes(s, d, root, "cart_info"), samples.codes(s)), root, "carts")
 
 
 def live_cart_uniques(s, d):
     root = shared_folder(s, "cart-uniques")
-    carts = trade.cart_adds(samples.changes(samples.stream_reader(s, d), "cart_info"), samples.codes(s), samples.DATABASE)
+    carts = trade.cart_adds(_changes(s, d, root, "cart_info"), samples.codes(s), samples.DATABASE)
     firsts = _restream(s, live.cart_users(carts), root, "users")
     return _windows(s, trade.cart_uniques(firsts, MONTH), root, ["stt"])
 
 
 def live_login_activity(s, d):
     root = shared_folder(s, "login-windows")
-    run_to_end(live.login_days(_pages(s, d), root, f"{root}/checkpoint"))
+    run_to_end(live.login_days(_pages(s, d, root), root, f"{root}/checkpoint"))
     stored = s.read.parquet(f"{root}/rows").drop("batch_id")
     days = s.readStream.schema(stored.schema).parquet(f"{root}/rows/*")
     return _windows(s, users.login_activity(days, HOUR), root, ["stt"])
@@ -142,81 +215,177 @@ def live_login_activity(s, d):
 
 def live_sku_order_lines(s, d):
     """The two-level window count on a stream: orders and amounts per SKU and year, closed years only."""
-    lines = samples.changes(samples.stream_reader(s, d), "order_detail").selectExpr(
+    root = shared_folder(s, "sku-orders")
+    lines = _changes(s, d, root, "order_detail").selectExpr(
         *[f"data['{c}'] AS {c}" for c in (
             "id", "order_id", "sku_id", "create_time", "order_price", "sku_num", "split_total_amount",
             "split_activity_amount", "split_coupon_amount")]
     )
     out = trade.sku_orders(lines, samples.dims(s, d), YEAR)
-    rows = _table(s, out, shared_folder(s, "sku-orders"), "windows")
+    rows = _table(s, out, root, "windows")
     return rows.select("stt", "edt", "sku_id", "trademark_name", "order_count", "original_amount", "order_amount")
 
 
 def live_refunds_paid(s, d):
     """Two chained stream-stream joins."""
-    changes = samples.changes(samples.stream_reader(s, d), "refund_payment", "order_info", "order_refund_info")
-    rows = refunds.refunds_paid(changes, samples.codes(s))
-    return _table(s, rows, shared_folder(s, "refunds"), "refunds")
+    root = shared_folder(s, "refunds")
+    rows = refunds.refunds_paid(_changes(s, d, root, "refund_payment", "order_info", "order_refund_info"), samples.codes(s))
+    return _table(s, rows, root, "refunds")
+
 
+_chains: dict[tuple[str, str], str] = {}
 
-def _run_order_wide(s, d, root: str) -> DataFrame:
-    """The five-way order join as two stream jobs; the schema of its upsert table, read back."""
-    def changes(*tables: str) -> DataFrame:
-        return samples.changes(samples.stream_reader(s, d), *tables)
 
-    lines = changes("order_detail", "order_detail_activity", "order_detail_coupon")
+def _order_chain(s, d) -> str:
+    """The folder of the five-way order join, two stream jobs. Jobs that follow it read the same output, as they would the same topic."""
+    run = (s.sparkContext.applicationId, d)
+    if run in _chains and exists(s, f"{_chains[run]}/done"):
+        return _chains[run]
+    root = shared_folder(s, "orders")
+    lines = _changes(s, d, root, "order_detail", "order_detail_activity", "order_detail_coupon")
     run_to_end(live.order_lines(lines, root, f"{root}/checkpoint-lines", database=samples.DATABASE))
     stored = s.read.parquet(f"{root}/lines").drop("batch_id")
     versions = s.readStream.schema(stored.schema).parquet(f"{root}/lines/*")
-    run_to_end(live.order_wide(changes("order_info"), versions, samples.codes(s), root, f"{root}/checkpoint-wide", database=samples.DATABASE))
-    return read_upsert(s, f"{root}/wide", live.ORDER_KEY, ["line_version"])
+    run_to_end(live.order_wide(_changes(s, d, root, "order_info"), versions, samples.codes(s), root, f"{root}/checkpoint-wide", database=samples.DATABASE))
+    write_json(s, f"{root}/done", True)
+    _chains[run] = root
+    return root
 
 
 def _order_wide(s, d) -> DataFrame:
-    root = shared_folder(s, "orders")
-    _run_order_wide(s, d, root)
-    return read_upsert(s, f"{root}/wide", live.ORDER_KEY, ["line_version"]).drop("line_version")
+    return read_upsert(s, f"{_order_chain(s, d)}/wide", live.ORDER_KEY, ["line_version"])
+
+
+def _placed(s, d) -> DataFrame:
+    """All versions of placed order lines, as a stream in the batches they were written in."""
+    root = _order_chain(s, d)
+    stored = s.read.parquet(f"{root}/wide/batch_id=*")
+    return trade.orders_placed(s.readStream.schema(stored.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/wide/batch_id=*"))
 
 
 def live_order_wide(s, d):
-    return _order_wide(s, d).drop("old")
+    return _order_wide(s, d).drop("old", "line_version")
 
 
 def live_orders_placed(s, d):
-    return trade.orders_placed(_order_wide(s, d))
+    return trade.orders_placed(_order_wide(s, d)).drop("line_version")
 
 
 def live_orders_cancelled(s, d):
-    return trade.orders_cancelled(_order_wide(s, d))
+    return trade.orders_cancelled(_order_wide(s, d)).drop("line_version")
 
 
-def live_payments_succeeded(s, d):
-    """The order join, and the payments joined to the stream of its versions."""
-    root = shared_folder(s, "payments")
-    wide = s.readStream.schema(_run_order_wide(s, d, root).schema).parquet(f"{root}/wide/*")
-    paid = trade.payments_succeeded(
-        samples.changes(samples.stream_reader(s, d), "payment_info"), trade.orders_placed(wide), samples.codes(s))
+def _paid(s, d, root: str) -> DataFrame:
+    """Payments joined to the stream of order-line versions, in their newest version."""
+    paid = trade.payments_succeeded(_changes(s, d, root, "payment_info"), _placed(s, d), samples.codes(s))
     key = ["id", "change_ts", "payment_ts"]
     run_to_end(write_upsert(paid, f"{root}/paid", key, ["line_version"], f"{root}/checkpoint-paid"))
     return read_upsert(s, f"{root}/paid", key, ["line_version"]).drop("line_version")
 
 
+def live_payments_succeeded(s, d):
+    return _paid(s, d, shared_folder(s, "payments"))
+
+
+def _user_windows(s, rows: DataFrame, root: str, windows) -> DataFrame:
+    """Users' days by a stream; which day is a user's first is told when the windows are read, as an earlier one may come late."""
+    run_to_end(live.user_firsts(rows, "user_id", "et", root, f"{root}/checkpoint", ["id"], memory=36_500))
+    return windows(trade.user_firsts(s.read.parquet(f"{root}/rows"), "user_id", "et"), size=DAY)
+
+
+def live_order_users(s, d):
+    placed = _placed(s, d).select("user_id", trade.parse_time("create_time").alias("et"), "id")
+    return _user_windows(s, placed, shared_folder(s, "order-users"), trade.order_users)
+
+
+def live_payment_users(s, d):
+    root = shared_folder(s, "payment-users")
+    paid = trade.payments_succeeded(_changes(s, d, root, "payment_info"), _placed(s, d), samples.codes(s))
+    rows = paid.select("user_id", trade.parse_time("callback_time").alias("et"), "id")
+    return _user_windows(s, rows, root, trade.payment_users)
+
+
+def _line_windows(s, d, name: str, touches, plan) -> DataFrame:
+    root = shared_folder(s, name)
+    dims = samples.dims(s, d)
+    run_to_end(live.versioned_windows(
+        _placed(s, d), ["id"], trade.LINE_VERSION, touches, lambda lines: plan(lines, dims, YEAR), ["stt", "sku_id"], root, f"{root}/checkpoint"))
+    return _emitted(s, root, ["stt", "sku_id"])
+
+
+def live_sku_orders(s, d):
+    """Orders and amounts per SKU and window over the newest versions of order lines, with all dimensions; open windows too."""
+    window = F.window(trade.parse_time("create_time"), YEAR)["start"]
+    return _line_windows(s, d, "sku-windows", [window, F.col("sku_id")], trade.sku_orders)
+
+
+def live_sku_orders_dedup(s, d):
+    """As live_sku_orders, of one line per order and SKU. A new earliest line may lie in another window, so a SKU's windows are told together."""
+    return _line_windows(s, d, "sku-dedup", [F.col("sku_id")], trade.sku_orders_dedup)
+
+
 def live_refund_requests(s, d):
-    changes = samples.changes(samples.stream_reader(s, d), "order_refund_info", "order_info")
-    return _table(s, refunds.refund_requests(changes, samples.codes(s)), shared_folder(s, "requests"), "requests")
+    root = shared_folder(s, "requests")
+    changes = _changes(s, d, root, "order_refund_info", "order_info")
+    return _table(s, refunds.refund_requests(changes, samples.codes(s)), root, "requests")
+
+
+#: What a later version of an order line may change.
+_LATER = ["activity_id", "activity_rule_id", "coupon_id", "coupon_use_id", "line_version"]
+
+
+def _newest_wide(s, rows: DataFrame, root: str) -> DataFrame:
+    """Wide rows in their newest line version; rows are told apart by all other columns."""
+    key = [c for c in rows.columns if c not in _LATER]
+    run_to_end(write_upsert(rows, f"{root}/wide", key, ["line_version"], f"{root}/checkpoint-wide"))
+    return read_upsert(s, f"{root}/wide", key, ["line_version"]).drop("line_version")
+
+
+def _refunds_wide(s, d, root: str) -> DataFrame:
+    return refunds.refund_requests_wide(_changes(s, d, root, "order_refund_info"), _placed(s, d), samples.codes(s)).drop("old")
+
+
+def live_refund_requests_wide(s, d):
+    root = shared_folder(s, "refunds-wide")
+    return _newest_wide(s, _refunds_wide(s, d, root), root)
+
+
+def live_refunds_paid_wide(s, d):
+    """The request join and the payment join in one query."""
+    root = shared_folder(s, "refunds-paid-wide")
+    rows = refunds.refunds_paid_wide(_changes(s, d, root, "refund_payment"), _refunds_wide(s, d, root).withColumn("old", F.lit(None)), samples.codes(s))
+    return _newest_wide(s, rows, root)
+
+
+def live_refunds_by_brand_category_user(s, d):
+    root = shared_folder(s, "refunds-brand")
+    rows = _refunds_wide(s, d, root).where("type = 'insert'").select(
+        "id", "refund_ts", "line_version", "user_id", "sku_id", "refund_amount", "refund_num", F.col("refund_create_time").alias("create_time"))
+    dims = samples.dims(s, d)
+    touches = [F.window(trade.parse_time("create_time"), MONTH)["start"], F.col("user_id")]
+    keys = ["stt", "trademark_id", "category3_id", "user_id"]
+    run_to_end(live.versioned_windows(
+        rows, ["id", "refund_ts", "refund_amount", "refund_num"], ["line_version"], touches,
+        lambda r: refunds.refunds_by_brand_category_user(r, dims, MONTH), keys, root, f"{root}/checkpoint"))
+    return _emitted(s, root, keys)
 
 
 def live_interval_pairs(s, d):
-    read = samples.stream_reader(s, d)
-    clicks = read("events").where("event_type = 'click'").selectExpr("user_id", "event_id AS click_id", "ts AS click_ts")
-    buys = read("events").where("event_type = 'purchase'").selectExpr("user_id", "event_id AS buy_id", "ts AS buy_ts")
-    pairs = interval_join(clicks, buys, "user_id", "click_ts", "buy_ts", "-2 hours", "1 hour", watermark="0 seconds")
-    return _table(s, pairs.select("user_id", "click_id", "buy_id"), shared_folder(s, "pairs"), "pairs")
+    root = shared_folder(s, "pairs")
+    events = samples.table(s, d, "events").withColumn("ms", F.unix_millis("ts"))
+
+    def of(kind: str) -> DataFrame:
+        return _topic(s, events.where(F.col("event_type") == kind), root, kind, "ms")
+
+    clicks = of("click").selectExpr("user_id", "event_id AS click_id", "ts AS click_ts")
+    buys = of("purchase").selectExpr("user_id", "event_id AS buy_id", "ts AS buy_ts")
+    pairs = interval_join(clicks, buys, "user_id", "click_ts", "buy_ts", "-2 hours", "1 hour", watermark="2 seconds")
+    return _table(s, pairs.select("user_id", "click_id", "buy_id"), root, "pairs")
 
 
 def live_dim_sync(s, d):
     root = shared_folder(s, "dims")
-    changes = samples.changes(samples.stream_reader(s, d), "user_info", "sku_info", "order_info")
+    changes = _changes(s, d, root, "user_info", "sku_info", "order_info")
 
     def config(spark: SparkSession) -> DataFrame:
         return latest_config(samples.config_events(spark, d))
@@ -236,8 +405,9 @@ def _sized(query):
 
 
 STREAMS = {f.__name__: _sized(f) for f in (
-    live_unique_visits, live_bounce_visits, live_page_uniques, live_keyword_counts, live_log_split_counts,
-    live_returning_users, live_order_users, live_province_orders, live_registrations, live_cart_adds,
-    live_cart_uniques, live_login_activity, live_sku_order_lines, live_refund_requests, live_refunds_paid, live_order_wide,
+    live_unique_visits, live_daily_visits, live_bounce_visits, live_traffic_by_segment, live_page_uniques, live_keyword_counts, live_log_split_counts, live_log_pages,
+    live_returning_users, live_order_users, live_payment_users, live_province_orders, live_registrations, live_cart_adds,
+    live_cart_uniques, live_login_activity, live_sku_order_lines, live_sku_orders, live_sku_orders_dedup, live_refund_requests, live_refunds_paid,
+    live_refund_requests_wide, live_refunds_paid_wide, live_refunds_by_brand_category_user, live_order_wide,
     live_orders_placed, live_orders_cancelled, live_payments_succeeded, live_interval_pairs, live_dim_sync,
 )}
