@@ -55,6 +55,34 @@ def enrich(df: DataFrame, dim: DataFrame, key: str | Column, outputs: Mapping[st
     return lookup(df, dim, key, dim_key, outputs, how="left")
 
 
+def lookup_as_of(
+    df: DataFrame,
+    history: DataFrame,
+    key: str | Column,
+    ts: str | Column,
+    dim_key: str,
+    valid_from: str,
+    outputs: Mapping[str, str],
+    how: str = "inner",
+) -> DataFrame:
+    """``lookup`` in the version of a dimension row that held at the time ``ts`` of each row, so that a replay gives the same names.
+
+    ``history`` has a row per key and version, which holds from ``valid_from`` (of the type of ``ts``) until the next one of its key. Of versions
+    with equal ``valid_from`` the one with the greatest output values counts. Before a key's first version, and for null keys and
+    times, nothing matches. A key's versions travel as one row with a sorted array, so a row of ``df`` meets one row, however many
+    versions there are.
+    """
+    version = F.struct(F.col(valid_from).alias("_from"), *[F.col(src).alias(out) for out, src in outputs.items()])
+    side = history.where(F.col(valid_from).isNotNull()).groupBy(F.col(dim_key).alias("_dk")).agg(F.sort_array(F.collect_set(version)).alias("_versions"))
+    joined = df.join(small_side(side), as_col(key) == F.col("_dk"), how).withColumn("_at", as_col(ts))
+    held = F.filter("_versions", lambda v: v["_from"] <= F.col("_at"))
+    joined = joined.withColumn("_v", F.try_element_at(held, F.lit(-1)))
+    if how == "inner":
+        joined = joined.where(F.col("_v").isNotNull())
+    replaced = [c for c in df.columns if c not in outputs]
+    return joined.select(*replaced, *[F.col(f"_v.{out}").alias(out) for out in outputs])
+
+
 @dataclass
 class Step:
     """One link of an enrichment chain."""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from brookmart.functions.dates import event_time, parse_time
 from brookmart.operators import (
     Step, amount, cdc_increase, cdc_select, cdc_transition, enrich, enrich_chain, first_by, first_per_day,
-    latest_by_key, lookup, of_keys, tumble, tumble_distinct, wide_join,
+    latest_by_key, lookup, lookup_as_of, of_keys, tumble, tumble_distinct, wide_join,
 )
 from brookmart.schemas import ORDER_CANCELLED, PAYMENT_DONE, TABLE_COLUMNS
 
@@ -23,6 +23,12 @@ def cart_adds(changes: DataFrame, codes: DataFrame, database: str | None = None)
     return lookup(rows, codes, "source_type", "dic_code", {"source_name": "dic_name"})
 
 
+def cart_adds_as_of(changes: DataFrame, history: DataFrame, database: str | None = None) -> DataFrame:
+    """Cart additions with the source name that held when they were made; ``history`` has dic_code, dic_name and valid_from (milliseconds)."""
+    rows = cdc_increase(changes, "cart_info", "sku_num", TABLE_COLUMNS["cart_info"], database)
+    return lookup_as_of(rows, history, "source_type", "ts", "dic_code", "valid_from", {"source_name": "dic_name"})
+
+
 def cart_users(carts: DataFrame, tiebreak=()) -> DataFrame:
     """Each user's first addition of the day: (user_id, et). Stream: live.cart_users."""
     return first_per_day(with_cart_time(carts), "user_id", "et", tiebreak).select("user_id", "et")

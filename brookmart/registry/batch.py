@@ -151,6 +151,11 @@ def cart_adds(s, d):
     return trade.cart_adds(samples.changes(samples.reader(s, d), "cart_info"), samples.codes(s), samples.DATABASE)
 
 
+def cart_adds_as_of(s, d):
+    """Through the JSON text of the changes."""
+    return trade.cart_adds_as_of(read_changes(samples.change_texts(samples.reader(s, d), "cart_info")), samples.code_history(s), samples.DATABASE)
+
+
 def cart_uniques(s, d):
     return trade.cart_uniques(trade.cart_users(cart_adds(s, d), ["id"]), MONTH)
 
@@ -300,7 +305,7 @@ BATCH = {f.__name__: f for f in (
     json_props, quarantined_logs, log_split_counts, log_pages, log_errors, log_starts,
     log_displays, log_actions, changes_by_table, unique_visits,
     bounce_visits, is_new_repair, traffic_by_segment, page_uniques, keyword_counts, keyword_counts_parts,
-    users_registered, favourites_added, comments_added, registrations, returning_users, login_activity, cart_adds,
+    users_registered, favourites_added, comments_added, registrations, returning_users, login_activity, cart_adds, cart_adds_as_of,
     cart_uniques, order_wide, orders_placed, orders_cancelled, payments_succeeded, order_users, payment_users,
     newest_order_lines, sku_orders, sku_orders_dedup, province_orders, coupons_received, coupons_ordered,
     coupons_paid, refund_requests_wide, refund_requests, refunds_paid_wide, refunds_paid,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from brookmart.samples import RENAMED
 from brookmart.schemas import TABLE_COLUMNS
 
 DT = "'%Y-%m-%d %H:%M:%S'"
@@ -390,6 +391,9 @@ SELECT uid, strftime(make_timestamp(day * 86400000000), '%Y-%m-%d') AS day, ts,
 WITH {EV}, {LOGINS}
 SELECT {win("ts", HOUR)}, sum(back_ct)::BIGINT AS back_ct, count(*) AS uu_ct FROM lg GROUP BY 1, 2""",
     "cart_adds": f"WITH {CARTS} SELECT * FROM carts",
+    "cart_adds_as_of": f"""
+WITH {CARTS} SELECT * REPLACE (CASE WHEN ts >= {RENAMED} AND source_type IN ('2401', '2403') THEN source_name || ' (new)' ELSE source_name END
+                               AS source_name) FROM carts""",
     "cart_uniques": f"""
 WITH {CARTS}, d AS (SELECT user_id, ts // 86400000 AS day, min(ts) AS t FROM carts GROUP BY 1, 2)
 SELECT {win("t", MONTH)}, count(*) AS cart_add_uu_ct FROM d GROUP BY 1, 2""",
@@ -508,6 +512,7 @@ FROM v GROUP BY 1, 2""",
     "live_province_orders": ORACLES["province_orders"],
     "live_registrations": ORACLES["registrations"],
     "live_cart_adds": ORACLES["cart_adds"],
+    "live_cart_adds_as_of": ORACLES["cart_adds_as_of"],
     "live_sku_order_lines": f"""
 WITH {LINES}, {DIMS}, a AS (SELECT sku_id, order_id, ts, {_LINE_AMOUNTS} FROM line)
 SELECT {win("ts", YEAR)}, sku_id, trademark_name, count(DISTINCT order_id) AS order_count,

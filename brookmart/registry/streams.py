@@ -198,6 +198,11 @@ def live_cart_adds(s, d):
     return _table(s, trade.cart_adds(_changes(s, d, root, "cart_info"), samples.codes(s)), root, "carts")
 
 
+def live_cart_adds_as_of(s, d):
+    root = shared_folder(s, "carts-as-of")
+    return _table(s, trade.cart_adds_as_of(_changes(s, d, root, "cart_info"), samples.code_history(s)), root, "carts")
+
+
 def live_cart_uniques(s, d):
     root = shared_folder(s, "cart-uniques")
     carts = trade.cart_adds(_changes(s, d, root, "cart_info"), samples.codes(s), samples.DATABASE)
@@ -406,7 +411,7 @@ def _sized(query):
 
 STREAMS = {f.__name__: _sized(f) for f in (
     live_unique_visits, live_daily_visits, live_bounce_visits, live_traffic_by_segment, live_page_uniques, live_keyword_counts, live_log_split_counts, live_log_pages,
-    live_returning_users, live_order_users, live_payment_users, live_province_orders, live_registrations, live_cart_adds,
+    live_returning_users, live_order_users, live_payment_users, live_province_orders, live_registrations, live_cart_adds, live_cart_adds_as_of,
     live_cart_uniques, live_login_activity, live_sku_order_lines, live_sku_orders, live_sku_orders_dedup, live_refund_requests, live_refunds_paid,
     live_refund_requests_wide, live_refunds_paid_wide, live_refunds_by_brand_category_user, live_order_wide,
     live_orders_placed, live_orders_cancelled, live_payments_succeeded, live_interval_pairs, live_dim_sync,

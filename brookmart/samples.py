@@ -450,6 +450,17 @@ def codes(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(dic_code, dic_name, parent_code, create_time, operate_time)")
 
 
+#: The time at which two codes change their names, in epoch milliseconds.
+RENAMED = 896_486_400_000
+
+
+def code_history(spark: SparkSession) -> DataFrame:
+    """Versions of the code table, each with the time from which it holds: search and recommendation are renamed half way."""
+    now = codes(spark).select("dic_code", "dic_name", F.lit(0).cast("long").alias("valid_from"))
+    later = now.where("dic_code IN ('2401', '2403')").select("dic_code", F.concat("dic_name", F.lit(" (new)")).alias("dic_name"), F.lit(RENAMED).alias("valid_from"))
+    return now.unionByName(later)
+
+
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Dimension tables by name, every column as text. Category 13 has no row."""
     p = table(spark, sf_dir, "part")

@@ -1,9 +1,9 @@
 from brookmart.streaming.bounces import bounces_stream
-from brookmart.streaming.dedup import first_per_day_stream
-from brookmart.streaming.jobs import late_rows, run_to_end, start_batches
+from brookmart.streaming.dedup import earliest_per_day_stream, first_per_day_stream
+from brookmart.streaming.jobs import LateRows, late_rows, run_to_end, start_batches
 from brookmart.streaming.ledger import Ledger
 
 __all__ = [
-    "Ledger", "bounces_stream", "first_per_day_stream", "late_rows", "run_to_end",
+    "LateRows", "Ledger", "bounces_stream", "earliest_per_day_stream", "first_per_day_stream", "late_rows", "run_to_end",
     "start_batches",
 ]

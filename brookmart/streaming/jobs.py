@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from brookmart.sinks.append import _trigger
+from brookmart.sinks.files import children, read_json, write_json
 
 
 def start_batches(
@@ -31,6 +32,37 @@ def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+class LateRows(StreamingQueryListener):
+    """A written count of rows dropped for being older than the watermark, from every progress report of every query.
+
+    A query keeps only its last reports; here each batch with late rows leaves a file named by its number, which a batch that runs again
+    replaces. Add it with ``spark.streams.addListener``. Counts are by the query's checkpoint, so they go on over restarts.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        if late:
+            write_json(self.spark, f"{self.folder}/{p.id}/{p.batchId}.json", late)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def total(self, query_id) -> int:
+        folder = f"{self.folder}/{query_id}"
+        return sum(read_json(self.spark, f"{folder}/{n}") for n in children(self.spark, folder) if not n.startswith("_"))
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped so far for being older than the watermark, over the kept progress reports."""
+    """Rows dropped so far for being older than the watermark, over the kept progress reports. ``LateRows`` counts over all of them.
+    """
     return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
