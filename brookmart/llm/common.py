@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,17 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(whole(text), F.lit(WORD)).cast("long")
 
 
+_in_worker: dict[tuple, object] = {}
+
+
+def in_worker(make: Callable, *key):
+    """``make(*key)``, kept by this Python worker until something else is asked for: workers live on from stage to stage."""
+    if (make, *key) not in _in_worker:
+        _in_worker.clear()
+        _in_worker[(make, *key)] = make(*key)
+    return _in_worker[(make, *key)]
+
+
 class Scratch:
     """Written tables of one run, below the shared folder, so that no step depends on a lost executor.
 

@@ -10,7 +10,6 @@ Items are taken in blocks of bounded size, each block against all documents.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brookmart.llm.common import Scratch, importable, whole
+from brookmart.llm.common import Scratch, importable, in_worker, whole
 
 #: ASCII characters other than letters and digits end a word, and so do spaces and general punctuation beyond ASCII.
 _MARKS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
@@ -280,7 +279,6 @@ def vocabulary(items: list[tuple[int, str, str | None]]) -> dict[bytes, int]:
     return {w: i for i, w in enumerate(sorted({w for _, t, _ in items for w in words_of(t)}))}
 
 
-@functools.lru_cache(maxsize=4)
 def _index(items: tuple, df: tuple, n_docs: int, basis: bytes, rank: int) -> Index:
     return Index(list(items), dict(df), n_docs, np.frombuffer(basis, np.float64).reshape(-1, rank))
 
@@ -374,7 +372,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col:
 
 def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(*shared.value)
+        index = in_worker(_index, *shared.value)
         names = _LEAK.names if hasattr(_LEAK, "names") else [f.name for f in _LEAK]
         for batch in batches:
             found = []

@@ -8,15 +8,15 @@ texts step through an automaton side by side.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brookmart.llm.common import importable
+from brookmart.llm.common import importable, in_worker
 
 #: Bounds of the learned sample of each language: documents and characters.
 SAMPLE_DOCS, SAMPLE_CHARS = 200, 24_000
@@ -24,6 +24,8 @@ SAMPLE_DOCS, SAMPLE_CHARS = 200, 24_000
 #: With more than TABLES languages tables are narrower, so that they fit in memory.
 BLOCK, COLUMNS, FEWEST_COLUMNS, TABLES = 512, 64, 8, 64
 SCORE_POWER = 8.0
+#: Bytes of texts that step through the automata side by side. It bounds memory and changes no result.
+TEXT_BYTES = 2 << 20
 
 
 class SuffixAutomaton:
@@ -177,11 +179,21 @@ def simple(text: str) -> str:
     return text.lower()
 
 
-@functools.lru_cache(maxsize=2)
 def model_of(samples: tuple[tuple[str, str], ...]) -> Model:
     return Model(dict(samples))
 
 
+def blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch of at most 1000 rows and TEXT_BYTES in its first column, or one row."""
+    sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(0)), 0).to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        to = min(at + 1000, max(at + 1, int(np.searchsorted(sizes, before + TEXT_BYTES, side="right"))))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def held_out(id_col: Column, parts: int, part: int) -> Column:
     """Whether the checksum of the identifier falls into one part; null identifiers do not."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % parts == part, F.lit(False))
@@ -221,18 +233,19 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_col: str
     """
     importable(docs.sparkSession)
     keep = keep or [id_col]
+    others = [c for c in keep if c != text_col]  # the text comes and goes once
     shared = docs.sparkSession.sparkContext.broadcast(samples)  # at most SAMPLE_CHARS characters a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = model_of(shared.value)
+        model = in_worker(model_of, shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                piece = batch.slice(at, 1000)
+            for piece in blocks(batch):
                 names, scores = model.predict(piece.column(0).to_pylist())
-                yield pa.record_batch([*piece.columns[1:], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                kept = [piece.column(0 if c == text_col else 1 + others.index(c)) for c in keep]
+                yield pa.record_batch([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                       names=[*(f"c{i}" for i in range(len(keep))), "lang_pred", "score"])
 
-    rows = docs.select(F.col(text_col), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)))
+    rows = docs.select(F.col(text_col), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)))
     kinds = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
     out = rows.mapInArrow(run, ", ".join([*kinds, "lang_pred string, score double"]))
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), "lang_pred", "score")

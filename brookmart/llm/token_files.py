@@ -11,7 +11,6 @@ that Spark has committed, so a lost or repeated task leaves at most an unlisted
 
 from __future__ import annotations
 
-import functools
 import os
 import uuid
 import zlib
@@ -25,7 +24,7 @@ import pyarrow.ipc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brookmart.llm.common import Scratch, whole
+from brookmart.llm.common import Scratch, in_worker, whole
 
 SEQUENCE, BATCH = 2048, 64
 CACHED_WORDS = 500_000
@@ -41,7 +40,6 @@ def _storage(path: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(path)
 
 
-@functools.cache
 def _words(tokenizer_file: str, dtype: str) -> WordEncoder:
     return WordEncoder(tokenizer_file, dtype, special_tokens=True)
 
@@ -108,7 +106,7 @@ def _write_shard(folder: str, part: int, batches, tokenizer_file: str, dtype: st
     kind = pa.from_numpy_dtype(np.dtype(dtype))
     schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
     end = np.array([end_id], dtype=dtype)
-    encoder = _words(tokenizer_file, dtype)
+    encoder = in_worker(_words, tokenizer_file, dtype)
     n_docs = n_tokens = waiting = 0
     queue: list[np.ndarray] = []
     with fs.open_output_stream(f"{root}/{name}.arrow") as f, pa.ipc.new_file(f, schema) as out, \
