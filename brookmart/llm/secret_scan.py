@@ -13,6 +13,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +27,8 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: Runs of the class are maximal, so asking for 32 finds the runs of 32 and more and skips the rest.
 HEX = re.compile(r"[0-9a-f]{32,}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
+PEM_MARK = re.compile(r"(?=-----(BEGIN|END) ([A-Z0-9 ]*)-----)")
+NOT_IN_PEM = re.compile(r"[^A-Za-z0-9+/=\s:,-]")
 ENCODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 LONG_HEX = re.compile(r"(?:[0-9a-f]{2}){24,}|(?:[0-9A-F]{2}){24,}")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
@@ -118,20 +120,47 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
 
+def pem_blocks(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and body of each block from a BEGIN mark to the next END mark of its label, leftmost first and without overlaps.
+
+    Between the marks stand only characters that keys and their header lines have. Marks are found first and then paired, so the
+    time does not grow with the number of marks left open.
+    """
+    begins: list[tuple[int, str]] = []
+    ends: dict[str, list[int]] = {}
+    for m in PEM_MARK.finditer(text):
+        if m[1] == "BEGIN":
+            begins.append((m.start(), m[2]))
+        else:
+            ends.setdefault(m[2], []).append(m.start())
+    done, barrier = 0, -1
+    for start, label in begins:
+        body = start + len("-----BEGIN -----") + len(label)
+        marks = ends.get(label, [])
+        if start < done or (k := bisect_left(marks, body)) == len(marks):
+            continue
+        if barrier < body:
+            other = NOT_IN_PEM.search(text, body)
+            barrier = other.start() if other else len(text)
+        if marks[k] <= barrier:
+            done = marks[k] + len("-----END -----") + len(label)
+            yield start, done, text[body:marks[k]]
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans of keys and signed tokens whose structure holds. A run inside a confirmed PEM block is not told again."""
     found = []
     if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            body = "".join(line for line in m[2].split() if ":" not in line)
-            data = from_base64(body)
+        for start, end, lines in pem_blocks(text):
+            data = from_base64("".join(line for line in lines.split() if ":" not in line))
             # Old encrypted keys say so in header lines; their bytes cannot be parsed.
-            if data and (is_key(data) or ("ENCRYPTED" in m[2] and len(data) % 8 == 0)):
-                found.append((m.start(), 3, m.end()))
-    blocks = [(s, e) for s, _, e in found]
+            if data and (is_key(data) or ("ENCRYPTED" in lines and len(data) % 8 == 0)):
+                found.append((start, 3, end))
+    starts, ends = [s for s, _, _ in found], [e for _, _, e in found]
 
     def outside(m: re.Match) -> bool:
-        return not any(s <= m.start() and m.end() <= e for s, e in blocks)
+        k = bisect_right(starts, m.start())
+        return not k or ends[k - 1] < m.end()
 
     for m in ENCODED.finditer(text):
         # A key starts with its SEQUENCE tag (0x30), a length prefix (0x00) or the SSH magic.

@@ -14,7 +14,7 @@ from brookmart.llm.extraction import extract_text, main_text, minimum_cut
 from brookmart.llm.language import SuffixAutomaton, held_out, identify, learn
 from brookmart.llm.mixing import mix_sources, targets
 from brookmart.llm.quality import isotonic, score_quality, statistics
-from brookmart.llm.secret_scan import base_spans, confirmed_spans, der_elements, is_der_key, scan_secrets
+from brookmart.llm.secret_scan import base_spans, confirmed_spans, der_elements, is_der_key, pem_blocks, scan_secrets
 from tests.llm.data import no_docs, odd_docs, odd_rows
 
 SF = "/root/testdata/sf0.01"
@@ -153,6 +153,19 @@ def test_structure_is_confirmed():
     assert kinds("x" * 100_000 + "." + "ey" * 50_000) == set()
 
 
+def test_key_blocks_are_those_of_one_pattern_in_linear_time():
+    pattern = re.compile(r"-----BEGIN ([A-Z0-9 ]*)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
+    pieces = ["-----BEGIN A-----", "-----END A-----", "-----BEGIN B-----", "-----END B-----", "BEGIN A-----", "END A-----", "-----END -----", "-----BEGIN -----",
+              "-----", "-", "x", "\n", ".", " "]
+    r = random.Random(4)
+    for _ in range(20_000):
+        text = "".join(r.choice(pieces) for _ in range(r.randint(1, 12)))
+        assert list(pem_blocks(text)) == [(m.start(), m.end(), m[2]) for m in pattern.finditer(text)]
+    assert confirmed_spans("-----BEGIN X-----" * 100_000) == []  # takes hours if each mark looks to the end of the text
+    key = f"-----BEGIN PRIVATE KEY-----\n{base64.b64encode(PRIVATE).decode()}\n-----END PRIVATE KEY-----\n"
+    assert len(confirmed_spans(key * 2_000)) == 2_000
+
+
 def test_secrets_of_odd_rows(spark):
     rows = scan_secrets(odd_docs(spark)).collect()
     assert len(rows) == len(odd_rows()) and all(r["spans"] == "" and r["n_hex"] == 0 for r in rows)
