@@ -32,6 +32,9 @@ CACHED_WORDS = 500_000
 LATIN = "\u0250"
 #: The one letter below it whose lower case does not end in a letter.
 DOTTED = "\u0130"
+#: A byte's name in byte-level vocabularies is its own character if that prints, else one of those from U+0100 on, in order.
+PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_NAMES = {b: 0x100 + n for n, b in enumerate(b for b in range(0x100) if b not in PRINTS)}
 MANIFEST = "part int, path string, n_docs long, n_tokens long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -52,7 +55,8 @@ class WordEncoder:
     text's ids are those of its words end to end, and a word's are those of its lower-case stem and its mark.
     A capital I with a dot keeps its mark, for its lower case ends in a combining dot, which is no letter.
     With ``special_tokens``, as in files, the tokenizer's special tokens in a text are told, as encoding the whole text does; words with one
-    are left as they are, as their case counts. Words are counted by blocks; when ``CACHED_WORDS`` are remembered, those met in one block only are
+    are left as they are, as their case counts. A lower-case stem of Latin letters is one piece that the normaliser leaves alone, so the
+    file's model gets it at once, by the names of its bytes. Words are counted by blocks; when ``CACHED_WORDS`` are remembered, those met in one block only are
     forgotten. That changes nothing but speed.
     """
 
@@ -61,6 +65,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.model = self.tokenizer.model
         self.tokenizer.encode_special_tokens = not special_tokens
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
         self.dtype = dtype
@@ -68,22 +73,41 @@ class WordEncoder:
         self.blocks: Counter[str] = Counter()
 
     def _learn(self, words: set[str]) -> None:
-        known, later, new = self.known, [], set()
+        known, later, single, new = self.known, [], set(), set()
         joined = "\n".join(words).lower() if self.special else ""
         special = [t for t in self.special if t in joined]
         for w in words:
-            stem, mark = (w[:-1], w[-1]) if w[-1:] in (".", ",") and w[-2:-1] < LATIN and w[-2:-1].isalpha() and w[-2] != DOTTED else (w, "")
-            low = stem.lower() if stem.isascii() or max(stem) < LATIN else stem
+            latin = w.isascii() or max(w) < LATIN
+            stem, mark = w, ""
+            if not w.isalpha():
+                if w[-1:] in (".", ",") and w[-2:-1] < LATIN and w[-2:-1].isalpha() and w[-2] != DOTTED:
+                    stem, mark = w[:-1], w[-1]
+                    latin = latin or max(stem) < LATIN
             if special and any(t in w.lower() for t in special):
-                low, mark = w, ""
-            if low != w:
+                stem, mark, latin = w, "", False
+            low = stem.lower() if latin else stem
+            if low not in known:
+                # Lower case of a Latin letter may be a letter of another block, or a letter with a combining mark.
+                (single if latin and low.isalpha() and (low.isascii() or max(low) < LATIN) else new).add(low)
+            if low is not w and low != w:
                 later.append((w, low, mark))
-            new.update(x for x in (low, mark) if x not in known)
+                if mark and mark not in known:
+                    new.add(mark)
         todo = list(new)
-        for w, got in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False), strict=True):
-            known[w] = np.array(got.ids, dtype=self.dtype).tobytes()
+        ids, ends = [], []
+        tokenize = self.model.tokenize
+        for x in single:
+            ids += [t.id for t in tokenize(x if x.isascii() else x.encode().decode("latin-1").translate(BYTE_NAMES))]
+            ends.append(len(ids))
+        for got in self.tokenizer.encode_batch_fast(todo, add_special_tokens=False):
+            ids += got.ids
+            ends.append(len(ids))
+        flat, size, at = np.array(ids, dtype=self.dtype).tobytes(), np.dtype(self.dtype).itemsize, 0
+        for x, end in zip([*single, *todo], ends, strict=True):
+            known[x] = flat[at * size:end * size]
+            at = end
         for w, low, mark in later:
-            known[w] = known[low] + known[mark]
+            known[w] = known[low] + known[mark] if mark else known[low]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
