@@ -11,10 +11,11 @@ that Spark has committed, so a lost or repeated task leaves at most an unlisted
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,12 @@ LATIN = "\u0250"
 DOTTED = "\u0130"
 #: A byte's name in byte-level vocabularies is its own character if that prints, else one of those from U+0100 on, in order.
 PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_NAMES = {b: 0x100 + n for n, b in enumerate(b for b in range(0x100) if b not in PRINTS)}
+HIDDEN = [b for b in range(0x100) if b not in PRINTS]
+BYTE_NAMES = "".join(chr(b if b in PRINTS else 0x100 + HIDDEN.index(b)) for b in range(0x100))
+#: Letters and numbers below LATIN; words of visible characters below it; the splitter's pieces of these.
+LETTERS, NUMBERS = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+PLAIN = re.compile("[!-&(-~\u00a1-\u024f]+")
+PIECE = re.compile(f"[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
 MANIFEST = "part int, path string, n_docs long, n_tokens long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -55,8 +61,8 @@ class WordEncoder:
     text's ids are those of its words end to end, and a word's are those of its lower-case stem and its mark.
     A capital I with a dot keeps its mark, for its lower case ends in a combining dot, which is no letter.
     With ``special_tokens``, as in files, the tokenizer's special tokens in a text are told, as encoding the whole text does; words with one
-    are left as they are, as their case counts. A lower-case stem of Latin letters is one piece that the normaliser leaves alone, so the
-    file's model gets it at once, by the names of its bytes. Words are counted by blocks; when ``CACHED_WORDS`` are remembered, those met in one block only are
+    are left as they are, as their case counts. The normaliser leaves lower-case Latin stems alone, so the file's model gets the
+    pieces of those without an apostrophe at once, by the names of their bytes. When ``CACHED_WORDS`` are remembered, those met in one block only are
     forgotten. That changes nothing but speed.
     """
 
@@ -70,7 +76,7 @@ class WordEncoder:
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
         self.dtype = dtype
         self.known: dict[str, bytes] = {}
-        self.blocks: Counter[str] = Counter()
+        self.again: set[str] = set()
 
     def _learn(self, words: set[str]) -> None:
         known, later, single, new = self.known, [], set(), set()
@@ -88,7 +94,7 @@ class WordEncoder:
             low = stem.lower() if latin else stem
             if low not in known:
                 # Lower case of a Latin letter may be a letter of another block, or a letter with a combining mark.
-                (single if latin and low.isalpha() and (low.isascii() or max(low) < LATIN) else new).add(low)
+                (single if latin and PLAIN.fullmatch(low) else new).add(low)
             if low is not w and low != w:
                 later.append((w, low, mark))
                 if mark and mark not in known:
@@ -97,7 +103,8 @@ class WordEncoder:
         ids, ends = [], []
         tokenize = self.model.tokenize
         for x in single:
-            ids += [t.id for t in tokenize(x if x.isascii() else x.encode().decode("latin-1").translate(BYTE_NAMES))]
+            for piece in (x,) if x.isalpha() else PIECE.findall(x):
+                ids += [t.id for t in tokenize(piece if piece.isascii() else codecs.charmap_decode(piece.encode(), "strict", BYTE_NAMES)[0])]
             ends.append(len(ids))
         for got in self.tokenizer.encode_batch_fast(todo, add_special_tokens=False):
             ids += got.ids
@@ -113,12 +120,11 @@ class WordEncoder:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         words = set().union(*split)
         if len(self.known) > CACHED_WORDS:
-            self.known = {w: ids for w, ids in self.known.items() if self.blocks[w] > 1}
-            self.blocks = Counter({w: 1 for w in self.known})
-            if len(self.known) > CACHED_WORDS // 2:
-                self.known.clear()
-        self._learn(words - self.known.keys())
-        self.blocks.update(words)
+            self.known = {w: self.known[w] for w in self.again} if len(self.again) <= CACHED_WORDS // 2 else {}
+            self.again = set()
+        met = words & self.known.keys()
+        self.again |= met
+        self._learn(words - met)
         known = self.known.__getitem__
         return [np.frombuffer(b"".join(map(known, w)), dtype=self.dtype) for w in split]
 

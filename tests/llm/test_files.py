@@ -51,7 +51,7 @@ def test_word_encoder_equals_the_tokenizer():
     plain.encode_special_tokens = True
     encoder = token_files.WordEncoder(tokenizer_file(), "<u2")
     r = random.Random(2)
-    pieces = ["don't", "It's", "ÉTÉ", "İstanbul", "ΟΔΟΣ", "é", "a,b.", "...", "x.,", "'s", " ", "\n", "\t", " ", " ", "漢字", "\U0001f600", "<|endoftext|>", "A1.", "ǅ.", "1,", "STRA\u00dfE.", "\u00aa\u00ba", "\u023aB,", "\u00c6\u00d8x", "caf\u00e9", "\u0141\u00f3d\u017a"]
+    pieces = ["don't", "It's", "ÉTÉ", "İstanbul", "ΟΔΟΣ", "é", "a,b.", "...", "x.,", "'s", " ", "\n", "\t", " ", " ", "漢字", "\U0001f600", "<|endoftext|>", "A1.", "ǅ.", "1,", "12a\u00b2,", "\u00d7a\u00f7", "B\u00e9##.", "a\u00a0b", "a\x1cb", "x\x85y", "a_b-C\u00ad", "\u0130x!", "STRA\u00dfE.", "\u00aa\u00ba", "\u023aB,", "\u00c6\u00d8x", "caf\u00e9", "\u0141\u00f3d\u017a"]
     for _ in range(600):
         text = "".join(r.choice(pieces) + r.choice(["", " ", "\n", "  "]) for _ in range(r.randint(0, 12)))
         assert encoder.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
