@@ -1,16 +1,16 @@
 """Main text of web pages by minimum-cut labelling of their blocks.
 
-A page is cut into blocks at block-level tags. A small linear classifier gives each block a cost of being called content
-and a cost of being called boilerplate; these are its capacities to the two terminals. Neighbouring blocks, and neighbours within
-one parent element, are tied by smoothness edges. The minimum cut is the cheapest labelling of the page, and its
-source side is the content.
+A page is cut into blocks at block-level tags. The nodes of its graph are the blocks and the elements around several of them. A small
+linear classifier tells from a block's words, links and last character what calling it content or boilerplate costs; an element has costs
+if its tag or class says what it is. These costs are the capacities to the two terminals. Smoothness edges tie blocks
+that follow each other, and every node to the element around it: that is how a short paragraph learns that it stands in an article, and
+how a container without a name learns from its paragraphs. The maximum flow saturates the cheapest labelling of the page, and the source side is the content.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,65 +44,98 @@ BOILERPLATE_WORDS = {
     "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget",
     "complementary", "contentinfo", "alert",
 }
+#: Of these, the words that make an <article> or <main> boilerplate; its other names tell topics and layout.
+FOREIGN_WORDS = {"ad", "ads", "advert", "advertisement", "advertising", "comment", "comments", "replies", "reply", "promo", "sponsor", "sponsored"}
 CONTENT_TAGS = {"article", "main"}
 CONTENT_WORDS = {"article", "content", "entry", "main", "post", "story", "text"}
+#: Names that tell what stands beside an element, not what it is.
+BESIDE = re.compile(r"(?<![a-z])(?:has|with|without|no)[-_][a-z]+", re.IGNORECASE)
 #: Weights of the classifier, in log odds of being content.
-BOILERPLATE_PATH, CONTENT_PATH, LINKED, LONG, PROSE, BASE = -9.0, 5.0, -4.0, 2.5, 1.0, -1.0
-ADJACENT, SAME_PARENT = 0.6, 0.6
+NAMED_BOILERPLATE, NAMED_CONTENT, LINKED, LONG, PROSE, BASE = -9.0, 6.0, -5.0, 4.0, 1.0, -1.0
+LONG_WORDS, PROSE_WORDS = 40, 12
+#: Smoothness: of neighbours; of a block to its element; of an element to the one around it for each block in it, halved per level of height.
+#: In named content a node is tied by IN_CONTENT, and by MORE_CONTENT for each further block in it.
+ADJACENT, BLOCK_TIE, ELEMENT_TIE, IN_CONTENT, MORE_CONTENT = 0.5, 1.8, 0.4, 8.0, 3.0
 UNIT = 1000
+#: Evidence of a tag that leaves no doubt.
+CERTAIN = 10**12
+
+NEUTRAL, CONTENT, BOILERPLATE, PAGE_FORM = "neutral", "content", "boilerplate", "page form"
+
+
+@dataclass
+class Element:
+    """A block-level element: its parent's number, the zone it stands in, and its own evidence in log odds."""
+
+    parent: int
+    zone: str
+    odds: float = 0.0
+    ties: bool = True
 
 
 @dataclass
 class Block:
     text: str
-    parent: int
-    path: float
+    element: int
+    zone: str
     linked: int = 0
 
 
+@dataclass
+class Page:
+    blocks: list[Block] = field(default_factory=list)
+    elements: list[Element] = field(default_factory=lambda: [Element(-1, NEUTRAL, ties=False)])
+
+
 @dataclass
 class _Open:
     tag: str
     number: int
-    path: float
-    body: bool = field(default=False)
+    zone: str
 
 
-def _path_score(tag: str, attributes: str, above: float) -> float:
-    """Evidence from an element and those around it: boilerplate stays so, content is told once."""
-    if above < 0:
-        return above
+def _evidence(tag: str, attributes: str, above: str, outermost: bool) -> tuple[str, float]:
+    """(zone, own log odds) of an element that opens in zone ``above``.
+
+    What stands in named boilerplate stays so. A form directly in the body may be the whole page; named content inside it is content.
+    """
+    if above == BOILERPLATE:
+        return above, 0.0
     words: set[str] = set()
     if attributes and tag not in ("html", "body"):
         for name, *values in ATTRIBUTE.findall(attributes):
             value = next(filter(None, values), "")
             if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value.lower() == "true"):
-                return BOILERPLATE_PATH
-            words.update(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()))
-    bad = words & BOILERPLATE_WORDS
+                return BOILERPLATE, 0.0
+            words.update(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", BESIDE.sub("", value)).lower()))
+    bad = words & (FOREIGN_WORDS if tag in CONTENT_TAGS else BOILERPLATE_WORDS)
+    if tag == "form" and outermost and not bad - {"form"}:
+        return PAGE_FORM, 0.0
     if tag in BOILERPLATE_TAGS or bad:
         # The head of the article itself belongs to it.
         own_head = (tag == "header" or bad) and not (bad - {"header"}) and (tag == "header" or tag not in BOILERPLATE_TAGS)
-        if not (own_head and (above > 0 or words & CONTENT_WORDS)):
-            return BOILERPLATE_PATH
-    if tag in CONTENT_TAGS or words & CONTENT_WORDS:
-        return CONTENT_PATH
-    return above
-
-
-def blocks_of(page: str) -> list[Block]:
-    """The page's blocks in order, with white space runs as one space and references decoded. Unfinished tags at the end are dropped."""
-    found: list[Block] = []
-    stack = [_Open("", 0, 0.0)]
+        if not (own_head and (above == CONTENT or words & CONTENT_WORDS)):
+            return BOILERPLATE, 0.0
+    if tag in CONTENT_TAGS:
+        return CONTENT, CERTAIN / UNIT
+    if words & CONTENT_WORDS:
+        return CONTENT, NAMED_CONTENT
+    return above, 0.0
+
+
+def blocks_of(page: str) -> Page:
+    """The page's blocks in order, with white space runs as one space and references decoded, and its elements. Unfinished tags at the end are dropped."""
+    found = Page()
+    stack = [_Open("", 0, NEUTRAL)]
     texts: list[str] = []
-    linked = numbers = links = 0
+    linked = links = 0
 
     def end_block() -> None:
         nonlocal linked
         if texts:
             text = SPACES.sub(" ", html.unescape("".join(texts))).strip(" ")
             if text.strip():
-                found.append(Block(text, stack[-1].number, stack[-1].path, linked))
+                found.blocks.append(Block(text, stack[-1].number, stack[-1].zone, linked))
             texts.clear()
         linked = 0
 
@@ -156,84 +189,143 @@ def blocks_of(page: str) -> list[Block]:
                     if stack[k].tag in ends:
                         pop_to(k)
                         break
-        numbers += 1
         top = stack[-1]
-        inline = tag in INLINE
-        stack.append(_Open(tag, top.number if inline else numbers, _path_score(tag, attributes, top.path)))
+        zone, odds = _evidence(tag, attributes, top.zone, top.tag == "body")
+        number = top.number
+        if tag not in INLINE:
+            number = len(found.elements)
+            # The body holds all kinds of parts, and named boilerplate ends where its element ends.
+            apart = zone in (BOILERPLATE, PAGE_FORM) and zone != top.zone
+            found.elements.append(Element(top.number, zone, odds, ties=not apart and tag not in ("html", "body") and top.tag not in ("", "html", "body")))
+        stack.append(_Open(tag, number, zone))
         links += tag == "a"
     end_block()
     return found
 
 
 def costs(block: Block) -> tuple[int, int]:
-    """(capacity to the content terminal, capacity to the boilerplate terminal): evidence for either label."""
+    """(capacity to the content terminal, capacity to the boilerplate terminal): evidence for either label, from the block alone."""
     words = block.text.count(" ") + 1
-    odds = BASE + block.path + LONG * min(words, 40) / 40
-    odds += PROSE * (words > 3 and block.text[-1] in ".!?…:;\"'»”)")
-    if block.path <= 0:
-        odds += LINKED * min(1.0, block.linked / max(1, len(block.text)))
+    odds = BASE + LONG * min(words, LONG_WORDS) / LONG_WORDS + LINKED * min(1.0, block.linked / max(1, len(block.text)))
+    odds += PROSE * (words >= PROSE_WORDS and block.text[-1] in ".!?…:;\"'»”)")
+    odds += NAMED_BOILERPLATE * (block.zone in (BOILERPLATE, PAGE_FORM))
     return (round(odds * UNIT), 0) if odds > 0 else (0, round(-odds * UNIT))
 
 
-def smoothness(blocks: list[Block]) -> list[tuple[int, int, int]]:
-    """Edges (i, j, capacity) between neighbours on the page and between neighbours within an element's parent."""
-    edges, last = [], {}
+def graph(page: Page) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]]]:
+    """Terminal capacities of blocks, then of elements, and the smoothness edges (i, j, capacity).
+
+    Elements around one block only, without evidence of their own, are passed over: the block is tied to what is around them.
+    """
+    blocks, elements = page.blocks, page.elements
+    mass, height = [0] * len(elements), [0] * len(elements)
+    for b in blocks:
+        mass[b.element] += 1
+        height[b.element] = max(height[b.element], 1)
+    kept = [False] * len(elements)
+    for e in range(len(elements) - 1, 0, -1):  # children have higher numbers
+        above = elements[e].parent
+        kept[e] = mass[e] > 1 or (mass[e] == 1 and elements[e].odds != 0)
+        mass[above] += mass[e]
+        if mass[e]:
+            height[above] = max(height[above], height[e] + kept[e])
+    # The kept element around each one, or the root where a border lies between.
+    holder = [0] * len(elements)
+    for e in range(1, len(elements)):
+        above = elements[e].parent
+        holder[e] = 0 if not elements[e].ties else above if kept[above] else holder[above]
+    number = {e: len(blocks) + k for k, e in enumerate(e for e in range(len(elements)) if kept[e])}
+    terminals = [costs(b) for b in blocks] + [(round(elements[e].odds * UNIT), 0) for e in number]
+    edges = [(i, i + 1, round(ADJACENT * UNIT)) for i in range(len(blocks) - 1)]
     for i, b in enumerate(blocks):
-        if i:
-            edges.append((i - 1, i, round(ADJACENT * UNIT)))
-        if (j := last.get((b.parent, b.path))) is not None:
-            edges.append((j, i, round(SAME_PARENT * UNIT)))
-        last[b.parent, b.path] = i
-    return edges
+        around = b.element if kept[b.element] else holder[b.element]
+        if around:
+            edges.append((i, number[around], round((IN_CONTENT if b.zone == CONTENT else BLOCK_TIE) * UNIT)))
+    for e in number:
+        if holder[e]:
+            tie = (IN_CONTENT + MORE_CONTENT * (mass[e] - 1)) if elements[e].zone == CONTENT else ELEMENT_TIE * mass[e] * 0.5 ** height[e]
+            edges.append((number[e], number[holder[e]], round(tie * UNIT)))
+    return terminals, edges
 
 
 def minimum_cut(terminals: list[tuple[int, int]], edges: list[tuple[int, int, int]]) -> list[bool]:
     """Labels of a minimum cut: True on the source side. Nodes have capacities from the source and to the sink.
 
-    Augments along shortest paths. What a node can send straight through is sent first, so each node keeps capacity to one terminal at most;
-    of several minimum cuts it is the one with the fewest nodes on the source side.
+    Maximum flow by blocking flows: every round orders the nodes by their distance from those with flow left, and sends along ever larger
+    distances what goes, leaving nodes that lead nowhere. What a node can send straight through is sent first, so each node keeps capacity
+    to one terminal at most; of several minimum cuts it is the one with the fewest nodes on the source side.
     """
+    n = len(terminals)
     excess = [a - b for a, b in terminals]
-    room: list[dict[int, int]] = [{} for _ in terminals]
+    out: list[list[int]] = [[] for _ in range(n)]
+    head, room = [], []  # an edge and its reverse have numbers that differ in the last bit
     for i, j, c in edges:
-        room[i][j] = room[i].get(j, 0) + c
-        room[j][i] = room[j].get(i, 0) + c
+        if c > 0 and i != j:
+            out[i].append(len(head))
+            out[j].append(len(head) + 1)
+            head += (j, i)
+            room += (c, c)
     while True:
-        came: dict[int, int] = {i: -1 for i, e in enumerate(excess) if e > 0}
-        queue, sink = deque(came), -1
-        while queue and sink < 0:
-            i = queue.popleft()
-            for j, c in room[i].items():
-                if c > 0 and j not in came:
-                    came[j] = i
-                    if excess[j] < 0:
-                        sink = j
-                        break
+        sources = [i for i in range(n) if excess[i] > 0]
+        level = [-1] * n
+        for i in sources:
+            level[i] = 0
+        queue, met = list(sources), False
+        for i in queue:
+            for e in out[i]:
+                j = head[e]
+                if room[e] > 0 and level[j] < 0:
+                    level[j] = level[i] + 1
+                    met = met or excess[j] < 0
                     queue.append(j)
-        if sink < 0:
-            return [i in came for i in range(len(terminals))]
-        path, i = [], sink
-        while came[i] >= 0:
-            path.append((came[i], i))
-            i = came[i]
-        push = min(excess[i], -excess[sink], *(room[a][b] for a, b in path))
-        excess[i] -= push
-        excess[sink] += push
-        for a, b in path:
-            room[a][b] -= push
-            room[b][a] += push
+        if not met:
+            return [x >= 0 for x in level]
+        following = [0] * n
+        for source in sources:
+            path: list[int] = []
+            i = source
+            while excess[source] > 0:
+                if excess[i] < 0:
+                    push = min(excess[source], -excess[i], min(room[e] for e in path))
+                    excess[source] -= push
+                    excess[i] += push
+                    full = 0
+                    for k in range(len(path) - 1, -1, -1):
+                        e = path[k]
+                        room[e] -= push
+                        room[e ^ 1] += push
+                        if room[e] == 0:
+                            full = k + 1
+                    if full:
+                        i = head[path[full - 1] ^ 1]
+                        del path[full - 1:]
+                    continue
+                while following[i] < len(out[i]):
+                    e = out[i][following[i]]
+                    if room[e] > 0 and level[head[e]] == level[i] + 1:
+                        break
+                    following[i] += 1
+                else:
+                    if not path:
+                        break
+                    i = head[path.pop() ^ 1]
+                    following[i] += 1
+                    continue
+                path.append(e)
+                i = head[e]
 
 
 def main_text(page: str) -> str:
-    blocks = blocks_of(page)
-    labels = minimum_cut([costs(b) for b in blocks], smoothness(blocks))
-    return "\n".join(b.text for b, keep in zip(blocks, labels, strict=True) if keep)
+    parts = blocks_of(page)
+    labels = minimum_cut(*graph(parts))
+    return "\n".join(b.text for b, keep in zip(parts.blocks, labels) if keep)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text (empty if there is none) and n_chars (its code points), for every row.
 
-    Null and empty html have no text. Repeated pages are treated one by one; other columns are not read.
+    Null and empty html have no text. Repeated pages are treated one by one; other columns are not read. A long page is cut whole, in time about in
+    proportion to its length; of labellings that cost the same the one with the least content is taken.
     """
     importable(pages.sparkSession)
 

@@ -1,16 +1,18 @@
 """Mixing, quality, secrets, language and extraction: odd rows, brute force and held-out accuracy."""
 
 import base64
+import html
 import itertools
 import json
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brookmart.llm.extraction import extract_text, main_text, minimum_cut
+from brookmart.llm.extraction import blocks_of, costs, extract_text, graph, main_text, minimum_cut
 from brookmart.llm.language import SuffixAutomaton, held_out, identify, learn
 from brookmart.llm.mixing import mix_sources, targets
 from brookmart.llm.quality import isotonic, score_quality, statistics
@@ -296,6 +298,53 @@ def test_main_text():
     assert main_text("<article><p>" + "word " * 50_000 + "</p>") == ("word " * 50_000).strip()
 
 
+LONG = "This is a long paragraph of neutral prose, which has many words and ends as sentences end, with a stop."
+
+
+def test_main_text_without_names():
+    """Containers that no word list knows: paragraphs tell what theirs is, and short blocks learn it from there."""
+    links = "".join(f"<p><a href=/{n}>Another link</a></p>" for n in range(4))
+    page = f"<body><div class=c1>{links}</div><div class=c2><h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div><div class=rail>{links}</div><div>(c) me</div></body>"
+    text = f"Title\n{LONG}\nShort.\n{LONG}"
+    assert main_text(page) == text
+    assert main_text(page.replace("<body>", "<body><div id=wrap>").replace("</body>", "</div></body>")) == text
+    parts = blocks_of(page)
+    alone = [b.text for b in parts.blocks if costs(b)[0] > costs(b)[1]]
+    assert alone == [LONG, LONG]  # the cut brings the title and the short paragraph
+    assert main_text(f"<body><article class='search-result'><p>{LONG}</p><p>Ok.</p></article>") == f"{LONG}\nOk."
+    assert main_text("<body><article id='news-related-post'><p>A</p></article>") == "A"
+    assert main_text(f"<body><form id=aspnetForm><div class=content><p>{LONG}</p><p>Ok</p></div><p>{LONG}</p></form>") == f"{LONG}\nOk"
+    assert main_text(f"<div class='layout has-sidebar'><div class=post><p>{LONG}</p></div><div class=sidebar><p>{LONG}</p></div></div>") == LONG
+    menu = "<ul>" + "".join(f"<li><a href=/{n}>Menu {n}</a>" for n in range(5)) + "</ul>"
+    animals = "<ul><li>ape<li>bear<li>cat</ul>"
+    assert main_text(f"<article><p>{LONG}</p>{menu}<p><a href=/>Read it here</a></p>{animals}</article>") == f"{LONG}\nRead it here\nape\nbear\ncat"
+    advert = f"<div class=ad><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(f"<article>{advert}<p><a href=/>A</a></p>{advert}<aside>{LONG}</aside><p>B</p></article>") == "A\nB"
+
+
+def test_cut_of_long_pages_is_fast():
+    started = time.monotonic()
+    for page in ("<ul>" + "<li>item one</li>" * 30_000 + "</ul>", f"<div><p>a <a>b c d</a></p><p>{LONG}</p></div>" * 10_000,
+                 f"<article>{'<div>' * 300}" + f"<p>a b</p><p>{LONG}</p>" * 10_000):
+        main_text(page)
+    assert time.monotonic() - started < 60  # one search per path takes minutes
+
+
+def test_articles_of_all_pages_are_extracted(spark):
+    """Every page of the given table: its <article>, which has block tags inside, and nothing else."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    changed = 0
+    for page_id, page in ((r["page_id"], r["html"]) for r in pages.collect()):
+        article = re.search(r"<article>(.*)</article>", page, re.DOTALL)[1]
+        pieces = (re.sub(r"[\x20\x09-\x0D]+", " ", html.unescape(re.sub(r"<[^>]*>", "", re.sub("<br>", " ", x)))).strip(" ")
+                  for x in re.split(r"</?(?:p|h[1-6]|div|ul|ol|li|table|tr|td|th|blockquote|pre|section)(?: [^>]*)?>", article))
+        assert main_text(page) == "\n".join(filter(None, pieces)), page_id
+        parts = blocks_of(page)
+        labels = minimum_cut(*graph(parts))
+        changed += sum((costs(b)[0] > costs(b)[1]) != label for b, label in zip(parts.blocks, labels))
+    assert changed > 0
+
+
 def test_pages_of_odd_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>A</p><p>B</p></article>", 1), (1, None, None, 2), (None, "u", "", 3)],
                                   "page_id long, url string, html string, text int")
