@@ -1,13 +1,13 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton holds sample text. A text is parsed from left to right into the longest
-phrases that occur in the sample; the language that needs the fewest phrases per character wins. A parse
-starts anew at fixed borders of ``BLOCK`` characters, for all languages alike, so that the blocks of a batch of
-texts step through an automaton side by side.
+phrases that occur in the sample; the language that needs the fewest phrases per character wins. The texts of
+a batch step through an automaton side by side; when few long ones are left, each goes on alone, from the state it is in.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +22,12 @@ from brookmart.llm.common import importable, in_worker
 SAMPLE_DOCS, SAMPLE_CHARS = 200, 24_000
 #: Columns of a language's table: its most frequent characters have one each, its others are looked up by search, and one is for unknown ones.
 #: With more than TABLES languages tables are narrower, so that they fit in memory.
-BLOCK, COLUMNS, FEWEST_COLUMNS, TABLES = 512, 64, 8, 64
+COLUMNS, FEWEST_COLUMNS, TABLES = 64, 8, 64
 SCORE_POWER = 8.0
-#: Bytes of texts that step through the automata side by side. It bounds memory and changes no result.
-TEXT_BYTES = 2 << 20
+#: Texts step side by side for BLOCK characters at a time, while at least NARROW of them go on. Neither changes a result.
+BLOCK, NARROW = 512, 48
+#: Rows and bytes of texts that step through the automata side by side. They bound memory and change no result.
+TEXT_ROWS, TEXT_BYTES = 4000, 8 << 20
 
 
 class SuffixAutomaton:
@@ -107,6 +109,26 @@ class Language:
         start = self.next[np.searchsorted(self.keys, own)]  # by the start's own keys, as its number is 0
         return np.where(self.keys[at] == key, self.next[at] * 2, start * 2 + 1)
 
+    def follow(self, symbols: np.ndarray, state: int) -> int:
+        """Phrases that start in one text from ``state`` on."""
+        columns, width, count, at = self.column[symbols], self.width, 0, 0
+        steps, keys, following = memoryview(self.steps), memoryview(self.keys), memoryview(self.next)
+        row = columns.tolist()
+        for stop in [*np.flatnonzero(columns == self.rare).tolist(), len(row)]:
+            for c in row[at:stop]:
+                step = steps[state * width + c]
+                count += step & 1
+                state = step >> 1
+            if stop < len(row):
+                own = int(self.own[symbols[stop]])
+                k = bisect_left(keys, state << 32 | own)
+                if k < len(keys) and keys[k] == state << 32 | own:
+                    state = following[k]
+                else:
+                    state, count = following[bisect_left(keys, own)], count + 1
+            at = stop + 1
+        return count
+
 
 class Model:
     """Automata of the sampled languages, each over its own characters."""
@@ -126,39 +148,38 @@ class Model:
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases per character, by text and language."""
-        parts, owner = [], []
-        sizes = np.zeros(len(texts))
-        for i, t in enumerate(texts):
-            symbols = self.encode(t)
-            sizes[i] = len(symbols)
-            n = -(-len(symbols) // BLOCK)
-            parts += [symbols[k * BLOCK:(k + 1) * BLOCK] for k in range(n)]
-            owner += [i] * n
-        lengths = np.array([len(p) for p in parts])
-        order = np.argsort(-lengths, kind="stable")
-        grid = np.zeros((BLOCK, len(parts)), self.codes.dtype)
-        for at, k in enumerate(order):
-            grid[: lengths[k], at] = parts[k]
-        active = np.searchsorted(-lengths[order], -np.arange(1, BLOCK + 1), side="right")
-        owners, out = np.array(owner)[order], np.empty((len(texts), len(self.names)))
-        for k, lang in enumerate(self.languages):
-            steps, width = lang.steps, lang.width
-            columns = lang.column[grid]
-            seldom = (columns == lang.rare).any(axis=1)
-            state = np.full(len(parts), len(steps) // width - 1, np.int32)
-            count = np.zeros(len(parts), np.int32)
-            for t in range(BLOCK):
-                n = active[t]
-                if n == 0:
-                    break
-                nxt = steps[state[:n] * width + columns[t, :n]]
-                if seldom[t]:
-                    at = np.flatnonzero(columns[t, :n] == lang.rare)
-                    nxt[at] = lang.moves(state[at], grid[t, at])
-                count[:n] += nxt & 1
-                state[:n] = nxt >> 1
-            out[:, k] = np.bincount(owners, count, len(texts))
-        return out / np.maximum(sizes, 1)[:, None]
+        symbols = sorted(((i, self.encode(t)) for i, t in enumerate(texts)), key=lambda x: -len(x[1]))
+        order, lengths = np.array([i for i, _ in symbols], np.int64), np.array([len(x) for _, x in symbols], np.int64)
+        counts = np.zeros((len(self.names), len(texts)), np.int64)
+        states = [np.full(len(texts), len(lang.steps) // lang.width - 1, np.int32) for lang in self.languages]
+        done = 0
+        while (going := int(np.searchsorted(-lengths, -done, side="left"))) >= NARROW:
+            grid = np.zeros((BLOCK, going), self.codes.dtype)
+            for k in range(going):
+                piece = symbols[k][1][done:done + BLOCK]
+                grid[: len(piece), k] = piece
+            active = np.searchsorted(-lengths, -np.arange(done + 1, done + BLOCK + 1), side="right")
+            for lang, state, count in zip(self.languages, states, counts, strict=True):
+                steps, width = lang.steps, lang.width
+                columns = lang.column[grid]
+                seldom = (columns == lang.rare).any(axis=1)
+                for t in range(BLOCK):
+                    n = active[t]
+                    if n == 0:
+                        break
+                    nxt = steps[state[:n] * width + columns[t, :n]]
+                    if seldom[t]:
+                        at = np.flatnonzero(columns[t, :n] == lang.rare)
+                        nxt[at] = lang.moves(state[at], grid[t, at])
+                    count[:n] += nxt & 1
+                    state[:n] = nxt >> 1
+            done += BLOCK
+        for lang, state, count in zip(self.languages, states, counts, strict=True):
+            for k in range(going):
+                count[k] += lang.follow(symbols[k][1][done:], int(state[k]))
+        out = np.empty((len(texts), len(self.names)))
+        out[order] = counts.T / np.maximum(lengths, 1)[:, None]
+        return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = ["und"] * len(texts), [0.0] * len(texts)
@@ -184,12 +205,12 @@ def model_of(samples: tuple[tuple[str, str], ...]) -> Model:
 
 
 def blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch of at most 1000 rows and TEXT_BYTES in its first column, or one row."""
+    """Pieces of a batch of at most TEXT_ROWS rows and TEXT_BYTES in its first column, or one row."""
     sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(0)), 0).to_numpy())
     at = 0
     while at < batch.num_rows:
         before = sizes[at - 1] if at else 0
-        to = min(at + 1000, max(at + 1, int(np.searchsorted(sizes, before + TEXT_BYTES, side="right"))))
+        to = min(at + TEXT_ROWS, max(at + 1, int(np.searchsorted(sizes, before + TEXT_BYTES, side="right"))))
         yield batch.slice(at, to - at)
         at = to
 
@@ -229,7 +250,7 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_col: str
     """Predicted language of every text: the columns in ``keep`` (the identifier by default), lang_pred and score.
 
     ``und`` with score 0 for texts that are null or have no letter, and for all if nothing was learned. Ties go to the language first by
-    code point. ``score`` is the share of the winner among phrases per character to the power of -8. One row per row of ``docs``.
+    code point. Whole texts are parsed, however long. ``score`` is the share of the winner among phrases per character to the power of -8. One row per row of ``docs``.
     """
     importable(docs.sparkSession)
     keep = keep or [id_col]

@@ -189,23 +189,25 @@ def test_automaton_accepts_exactly_the_substrings():
 
 
 def test_phrases_are_those_of_a_plain_parse():
-    from brookmart.llm.language import BLOCK, Model
+    from brookmart.llm.language import BLOCK, NARROW, Model
 
     samples = {"a": "the cat sat on the mat and the dog", "b": "le chat est sur la table et le chien"}
     model = Model(samples)
 
     def plain(text: str, sample: str) -> int:
-        n = 0
-        for at in range(0, len(text), BLOCK):
-            part, i = text[at:at + BLOCK], 0
-            while i < len(part):
-                k = 1
-                while i + k < len(part) and part[i:i + k + 1] in sample:
-                    k += 1
-                i, n = i + k, n + 1
+        n = i = 0
+        while i < len(text):
+            k = 1
+            while i + k < len(text) and text[i:i + k + 1] in sample:
+                k += 1
+            i, n = i + k, n + 1
         return n
 
-    texts = ["the cat", "le chien est la", "that chat " * 200, "x", "zzz the zzz"]
+    r = random.Random(6)
+    texts = ["the cat", "le chien est la", "that chat " * 200, "x", "zzz the zzz", ""]
+    # Phrases reach over borders of blocks, side by side and alone; one text is longer than all others.
+    texts += [" ".join(r.choice(" ".join(samples.values()).split()) for _ in range(r.randint(50, 400))) for _ in range(2 * NARROW)]
+    texts += ["the cat sat on the mat " * 3 * BLOCK]
     got = model.phrases(texts)
     for i, t in enumerate(texts):
         for j, name in enumerate(model.names):
@@ -233,6 +235,7 @@ def test_every_character_of_several_scripts_counts():
     texts = [invented(10 * script + k, script, 40) for script in range(len(SCRIPTS)) for k in range(2)]
     names, _ = model.predict(texts)
     assert names == [f"{k}-{script}" for script in range(len(SCRIPTS)) for k in range(2)]
+    assert np.array_equal(np.tile(model.phrases(texts), (4, 1)), model.phrases(texts * 4))  # alone, and side by side
     got = model.phrases([*texts, "\u4e00\u4e01 unknown"])
     for i, t in enumerate([*texts, "\u4e00\u4e01 unknown"]):
         for j, name in enumerate(model.names):
