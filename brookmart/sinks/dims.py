@@ -32,7 +32,7 @@ _ROWS = T.StructType([
 
 def _table(root: str) -> VersionedTable:
     # Of rows with equal time in one batch the one with the greatest text counts.
-    return VersionedTable(root, ["sink_table", "pk"], ["ts", F.to_json("data")], split="sink_table", loose=True)
+    return VersionedTable(root, ["sink_table", "pk"], ["ts", F.to_json("data")], split="sink_table", loose=True, spread=True)
 
 
 def ensure_dim_table(spark: SparkSession, root: str, sink_table: str, columns: Iterable[str] = ()) -> None:

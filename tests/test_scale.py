@@ -1,7 +1,39 @@
-"""What held on small tables only: sums past 64 bits."""
+"""What held on small tables only: the session's state store, files of a topic, sums past 64 bits."""
 
+from pyspark.sql import functions as F
+
+import __spark_entry__ as driver
 from brookmart import samples
+from brookmart.registry import streams
 from brookmart.registry.batch import changes_by_table
+from brookmart.sinks import dims, read_dim_table
+
+SF = "/root/testdata/sf0.001"
+HDFS_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+def test_stream_queries_bring_their_state_store(spark):
+    before = spark.conf.get(streams.STATE_STORE)
+    spark.conf.set(streams.STATE_STORE, HDFS_STORE)
+    try:
+        got = driver.queries()["live_bounce_visits"](spark, SF).count()
+        assert spark.conf.get(streams.STATE_STORE) == HDFS_STORE
+    finally:
+        spark.conf.set(streams.STATE_STORE, before)
+    assert got == driver.queries()["bounce_visits"](spark, SF).count() > 0
+
+
+def test_a_topic_has_more_files_for_more_rows_in_the_same_batches(spark, tmp_path):
+    rows = spark.range(0, 9_000).select("id", (F.col("id") * 60_000).alias("ts"))
+    topic = streams._topic(spark, rows, str(tmp_path), "t", per_file=500)
+    files = spark.read.parquet(f"{tmp_path}/topic-t").groupBy(F.input_file_name()).count()
+    assert files.count() == 18 and files.agg(F.max("count")).first()[0] < 1_000
+    sizes = []
+    query = topic.writeStream.foreachBatch(lambda b, n: sizes.append((b.count(), b.agg(F.min("id"), F.max("id")).first()))).trigger(
+        availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start()
+    query.awaitTermination()
+    assert len(sizes) == streams.FILES and sum(n for n, _ in sizes) == 9_000
+    assert all(a[1] < b[0] for (_, a), (_, b) in zip(sizes, sizes[1:]))
 
 
 def test_sums_of_times_past_64_bits(spark, tmp_path):
@@ -15,3 +47,26 @@ def test_sums_of_times_past_64_bits(spark, tmp_path):
         sums = {r["table"]: int(r["ts_sum"]) for r in got.collect()}
         assert sums["order_detail"] == n * 253_370_764_800_000
         assert dict(got.dtypes)["ts_sum"] == kind
+
+
+def test_a_stream_between_jobs_has_files_in_order_of_time(spark, tmp_path):
+    rows = spark.range(0, 6_000).select("id", (F.col("id") * 60_000).alias("ts"))
+    topic = streams._topic(spark, rows, str(tmp_path), "t").withColumn("et", F.timestamp_millis("ts"))
+    again = streams._restream(spark, topic, str(tmp_path), "again", per_file=500)
+    spans = []
+    again.writeStream.foreachBatch(lambda b, n: spans.append(tuple(b.agg(F.count("*"), F.min("id"), F.max("id")).first()))).trigger(
+        availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start().awaitTermination()
+    assert sum(n for n, _, _ in spans) == 6_000
+    assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+    assert len(spark.read.parquet(f"{tmp_path}/again/batch_id=*").inputFiles()) >= 12
+
+
+def test_one_dimension_table_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(400).selectExpr("'dim' AS sink_table", "cast(id AS string) AS pk", "map('id', cast(id AS string)) AS data", "id AS ts")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as in a stream; small partitions are not joined then
+    try:
+        dims._table(str(tmp_path)).commit(rows.select("pk", "data", "ts", "sink_table"), 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(spark.read.parquet(f"{tmp_path}/batch_id=0").inputFiles()) > 1
+    assert read_dim_table(spark, str(tmp_path), "dim", ["id"]).count() == 400
