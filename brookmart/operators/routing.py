@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from brookmart.operators.joins import small_side
-
 UPSERTS = ("insert", "update", "bootstrap-insert")
 
 
@@ -28,7 +26,8 @@ def latest_config(events: DataFrame) -> DataFrame:
 def route_dims(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Rows for the configured tables: target table, key, configured columns only, and change time.
 
-    Rows of tables without a route, and deletes, are dropped.
+    Rows of tables without a route, and deletes, are dropped. The routes, a row per table, are broadcast whatever their estimated size:
+    a join by the name of the table would put all changes of a table into one task.
     """
     routes = config.select(
         F.col("source_table").alias("table"),
@@ -36,7 +35,7 @@ def route_dims(changes: DataFrame, config: DataFrame) -> DataFrame:
         F.coalesce("sink_pk", F.lit("id")).alias("_pk"),
         F.split("sink_columns", r"\s*,\s*").alias("_columns"),
     )
-    rows = changes.where(F.col("type").isin(*UPSERTS)).join(small_side(routes), "table", "inner")
+    rows = changes.where(F.col("type").isin(*UPSERTS)).join(F.broadcast(routes), "table", "inner")
     kept = F.map_filter("data", lambda name, _: F.array_contains("_columns", name))
     return rows.select(
         "sink_table",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from brookmart import samples
+from brookmart.operators import latest_config, route_dims
 from brookmart.registry import streams
 from brookmart.registry.batch import changes_by_table
 from brookmart.sinks import dims, read_dim_table
@@ -70,3 +71,12 @@ def test_one_dimension_table_is_written_by_many_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(spark.read.parquet(f"{tmp_path}/batch_id=0").inputFiles()) > 1
     assert read_dim_table(spark, str(tmp_path), "dim", ["id"]).count() == 400
+
+
+def test_changes_are_routed_without_a_shuffle_by_table(spark):
+    changes = samples.changes(samples.reader(spark, SF), "user_info", "sku_info")
+    stored = latest_config(samples.config_events(spark, SF))
+    config = spark.createDataFrame([tuple(r) for r in stored.collect()], stored.schema)  # of unknown size, as in a micro-batch
+    routed = route_dims(changes, config)
+    assert "Exchange hashpartitioning" not in routed._jdf.queryExecution().executedPlan().toString()
+    assert routed.count() == route_dims(changes, stored).count() > 0
