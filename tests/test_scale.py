@@ -8,6 +8,9 @@ from brookmart.operators import latest_config, route_dims
 from brookmart.registry import streams
 from brookmart.registry.batch import changes_by_table
 from brookmart.sinks import dims, read_dim_table
+from brookmart.sinks.files import exists
+from brookmart.streaming.history import Joined
+from brookmart.streaming.jobs import start_batches
 
 SF = "/root/testdata/sf0.001"
 HDFS_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
@@ -37,6 +40,43 @@ def test_a_topic_has_more_files_for_more_rows_in_the_same_batches(spark, tmp_pat
     assert all(a[1] < b[0] for (_, a), (_, b) in zip(sizes, sizes[1:]))
 
 
+def test_a_topic_of_long_texts_has_files_by_their_bytes(spark, tmp_path):
+    rows = spark.range(0, 600).selectExpr("id", "id * 60000 AS ts", "repeat('word ', 20000) AS text")
+    streams._topic(spark, rows, str(tmp_path), "t", long="text")
+    assert len(spark.read.parquet(f"{tmp_path}/topic-t").inputFiles()) > streams.FILES
+
+
+def test_order_chain_keeps_no_state_store(spark):
+    """Every line and change of a backlog in a state store took most of the time."""
+    root = streams._order_chain(spark, SF)
+    for name in ("lines", "wide"):
+        assert exists(spark, f"{root}/checkpoint-{name}/commits") and not exists(spark, f"{root}/checkpoint-{name}/state")
+
+
+def test_joined_streams_give_each_pair_once(spark, tmp_path):
+    def side(name, value):  # keys of one micro-batch come in other ones on the other side; the last have no partner there
+        for n in range(3):
+            rows = spark.range(n * 10, n * 10 + 10).selectExpr(f"(id * {value}) % 30 AS {name}", f"id AS {name}_row")
+            rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+
+    sides, out = [side("a", 7), side("b", 2), side("c", 11)], []
+    plan = lambda a, b, c: a.join(b, F.col("a") == F.col("b")).join(c, F.col("a") == F.col("c"))
+    start_batches(Joined(sides, plan, f"{tmp_path}/run"), lambda rows, n: out.append([tuple(r) for r in rows.collect()]), f"{tmp_path}/cp").awaitTermination()
+    want = [tuple(r) for r in plan(*[spark.read.parquet(f"{tmp_path}/{n}") for n in "abc"]).collect()]
+    assert len(out) == 3 and sorted(sum(out, [])) == sorted(want) and len(want) > 20
+
+
+def test_newest_lines_are_not_shuffled_again_after_their_joins(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = driver.queries()["newest_order_lines"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 5
+
+
 def test_sums_of_times_past_64_bits(spark, tmp_path):
     for name, layout in samples.LAYOUT.items():
         spark.createDataFrame([], layout).write.parquet(f"{tmp_path}/{name}.parquet")
