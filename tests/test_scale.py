@@ -1,10 +1,13 @@
 """What held on small tables only: the session's state store, files of a topic, sums past 64 bits."""
 
+import re
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from brookmart import samples
 from brookmart.operators import latest_config, route_dims
+from brookmart.plans import trade
 from brookmart.registry import streams
 from brookmart.registry.batch import changes_by_table
 from brookmart.sinks import dims, read_dim_table
@@ -120,3 +123,70 @@ def test_changes_are_routed_without_a_shuffle_by_table(spark):
     routed = route_dims(changes, config)
     assert "Exchange hashpartitioning" not in routed._jdf.queryExecution().executedPlan().toString()
     assert routed.count() == route_dims(changes, stored).count() > 0
+
+
+def test_a_topic_of_few_large_rows_keeps_its_micro_batches_apart(spark, tmp_path):
+    """Rows dealt to files by a hash may leave a file empty; then the next file would begin another micro-batch."""
+    rows = spark.range(0, 12).select("id", (F.col("id") * 60_000).alias("ts"))
+    topic, spans = streams._topic(spark, rows, str(tmp_path), "t", per_file=1), []
+    topic.writeStream.foreachBatch(lambda b, n: spans.append(tuple(b.agg(F.count("*"), F.min("id"), F.max("id")).first()))).trigger(
+        availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start().awaitTermination()
+    assert sum(n for n, _, _ in spans) == 12 and all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+
+
+def test_topics_are_cut_without_samples_of_their_rows(spark, tmp_path, monkeypatch):
+    def ranges(*_):
+        raise AssertionError("ranges make every row twice")
+
+    rows = spark.range(0, 3_000).select("id", (F.col("id") * 60_000).alias("ts"))
+    monkeypatch.setattr(type(rows), "repartitionByRange", ranges)
+    streams._topic(spark, rows, str(tmp_path), "t", per_file=500)
+    assert spark.read.parquet(f"{tmp_path}/topic-t").count() == 3_000
+
+
+def test_micro_batches_of_line_versions_do_not_grow_with_the_files(spark, tmp_path, monkeypatch):
+    spark.range(400).selectExpr("id", "'insert' AS type", "null AS old").repartition(40).write.parquet(f"{tmp_path}/wide/batch_id=0")
+    monkeypatch.setattr(streams, "_order_chain", lambda s, d: str(tmp_path))
+    sizes = []
+    streams._placed(spark, SF).writeStream.foreachBatch(lambda b, n: sizes.append(b.count())).trigger(
+        availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start().awaitTermination()
+    assert len(sizes) == streams.FILES and sum(sizes) == 400
+
+
+def _changes_of(spark, table, rows):
+    data = ", ".join(f"('{table}', 'insert', {n}L, map({', '.join(repr(x) if x else 'null' for kv in r.items() for x in kv)}))" for n, r in enumerate(rows))
+    return spark.sql(f"SELECT 'shop' AS database, `table`, type, ts, cast(data AS map<string,string>) AS data, cast(null AS map<string,string>) AS old FROM VALUES {data} AS t(`table`, type, ts, data)")
+
+
+def test_lines_by_order_are_those_joined_by_line(spark):
+    line = lambda i, o, sku="s": {"id": i, "order_id": o, "sku_id": sku, "source_type": "2401"}
+    changes = _changes_of(spark, "order_detail", [line("a", "1"), line("a", "1"), line("a", "2", "t"), line("b", "1"), line("c", "2"), line(None, "2"), line("d", None)])
+    for table, ids in (("order_detail_activity", ["a", "a", "b", "d", None, "x"]), ("order_detail_coupon", ["a", "c", "a", None])):
+        key = "activity_id" if table.endswith("activity") else "coupon_id"
+        changes = changes.unionByName(_changes_of(spark, table, [{"order_detail_id": i, key: None if n == 1 else f"{n}"} for n, i in enumerate(ids)]))
+    changes = changes.unionByName(_changes_of(spark, "order_info", [{"id": o, "user_id": "u"} for o in ("1", "1", "2", None)]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = trade.order_wide(changes, samples.codes(spark))
+        wanted = spark.sql("SELECT * FROM VALUES ('1', 's'), ('1', 's'), ('2', 't'), (null, 's') AS t(order_id, sku_id)")
+        text = lambda df: sorted(str(r) for r in df.collect())
+        got = trade.order_wide(changes, samples.codes(spark), lines_by_order=True)
+        assert got.columns == plain.columns and text(got) == text(plain) and len(text(got)) > 10
+        some = trade.order_wide(changes, samples.codes(spark), lines_by_order=True, among=wanted)
+        assert text(some) == text(plain.where("(order_id = '1' AND sku_id = 's') OR (order_id = '2' AND sku_id = 't')"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_wide_lines_are_shuffled_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {n: driver.queries()[n](spark, SF)._jdf.queryExecution().executedPlan().toString()
+                 for n in ("orders_placed", "payments_succeeded", "refund_requests_wide", "refunds_paid_wide")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for name, plan in plans.items():  # the lines and the pairs of order and line; nothing by order and another column
+        assert len(re.findall(r"Exchange hashpartitioning\(order_id#\d+, \d+\)", plan)) == 2, name
+        assert not re.search(r"Exchange hashpartitioning\(order_id#\d+, [a-z_]+#", plan), name
