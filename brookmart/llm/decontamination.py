@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterable, Iterator
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pandas as pd
@@ -34,6 +34,8 @@ WINDOW, STEP, BLOCK, RANK, MORE, SEED = 32, 16, 250, 512, 16, 5
 NEAR, MASS, SHARE, SHARE_WITH_ANSWER, FEWEST = 0.55, 0.35, 0.7, 0.5, 8
 #: Of a passage's rarest words, so many must stand within the region of a leak; up to half of FEWEST, any number finds the same.
 RARE = 4
+#: Words of the texts that are searched together.
+GROUP = 1 << 15
 LEAK = "item_id long, cosine double, share double, answer boolean, start_word int, end_word int"
 _LEAK = pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64()), ("answer", pa.bool_()),
                    ("start_word", pa.int32()), ("end_word", pa.int32())])
@@ -75,6 +77,20 @@ def contains(region: list[bytes], part: list[bytes]) -> bool:
     return bool(part) and b" %s " % b" ".join(part) in b" %s " % b" ".join(region)
 
 
+def shares(region: list, bag: Counter, least: float) -> bool:
+    """Whether the region and the bag have so many words in common, repeats counted; few regions need the exact count."""
+    hits = list(filter(bag.__contains__, region))
+    if len(hits) < least:
+        return False
+    return len(set(hits)) >= least or sum(min(n, bag[w]) for w, n in Counter(hits).items()) >= least
+
+
+def expand(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges that begin at ``first`` and have ``many`` members, range by range."""
+    ends = many.cumsum()
+    return np.arange(many.sum()) + (first - ends + many).repeat(many)
+
+
 class Rare:
     """Where texts may hold a share of one of some rows of words within one and a half times its length.
 
@@ -86,23 +102,27 @@ class Rare:
                  for w in sorted(ids, key=lambda w: (-idf[w], w))[: len(ids) - int(np.ceil(share * len(ids) - 1e-9)) + RARE]}
         rare = np.array(sorted(pairs), np.int64).reshape(-1, 2)
         self.begin = np.searchsorted(rare[:, 0], np.arange(len(idf) + 2))
-        self.rows = rare[:, 1]
+        self.many = np.diff(self.begin)
+        self.rows = rare[:, 1].astype(np.uint16 if len(rows) <= 2**16 else np.int64)  # of 16 bits they are sorted faster
         self.spans = np.array([len(r) + len(r) // 2 for r in rows], np.int64)
 
-    def __call__(self, ids: np.ndarray) -> list[tuple[int, int]]:
-        """(row, place) where RARE of a row's rarest words stand within its span, the first of them at the place."""
-        many = np.diff(self.begin)[ids]
-        at = np.flatnonzero(many)
+    def __call__(self, ids: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows, and places, where RARE of a row's rarest words stand within its span, the first of them at the place.
+
+        The words of several texts stand in ``ids``, and the numbers of their texts in ``text``; all must be of one text.
+        """
+        many = self.many[ids]
+        at = many.nonzero()[0]
         if len(at) < RARE:
-            return []
+            return at[:0], at[:0]
         many = many[at]
-        first = np.repeat(self.begin[ids[at]] - (np.cumsum(many) - many), many)
-        row, place = self.rows[first + np.arange(len(first))], np.repeat(at, many)
-        order = np.argsort(row, kind="stable")
-        row, place = row[order], place[order]
-        ahead, behind = slice(RARE - 1, None), slice(None, len(row) - RARE + 1)
-        hit = np.flatnonzero((row[ahead] == row[behind]) & (place[ahead] - place[behind] < self.spans[row[behind]]))
-        return list(zip(row[hit].tolist(), place[hit].tolist(), strict=True))
+        row = self.rows[expand(self.begin[ids[at]], many)]
+        order = row.argsort(kind="stable")
+        row, place = row[order], at.repeat(many)[order]
+        hit = (row[RARE - 1:] == row[:len(row) - RARE + 1]).nonzero()[0]
+        row, place, last = row[hit], place[hit], place[hit + RARE - 1]
+        hit = (last - place < self.spans[row]) & (text[last] == text[place])
+        return row[hit].astype(np.int64), place[hit]
 
 
 class Index:
@@ -122,79 +142,148 @@ class Index:
                     rows.append([self.vocabulary[w] for w in p])
         self.passages = rows
         self.masses = np.append(self.idf, np.float32(self.unknown)) ** 2
+        self.inside = np.append(self.masses[:-1], np.float32(0))
+        self.bags = [Counter(words) for _, words, _ in self.items]
+        self.passage_bags = [Counter(ids) for ids in rows]
         # A leak holds SHARE of the words of a passage ...
         self.close = Rare(rows, SHARE, self.idf)
         # ... or SHARE_WITH_ANSWER of those of the item, and the answer word for word, which is looked for at its rarest word, or by a
         # scan if it has words of its own.
         self.half = Rare([[self.vocabulary[w] for w in words] if len(words) >= FEWEST else [] for _, words, _ in self.items], SHARE_WITH_ANSWER, self.idf)
-        self.asked: dict[int, list[tuple[int, int]]] = {}
-        self.scanned = []
+        asked, self.scanned = [], []
         for k, (_, words, answer) in enumerate(self.items):
             if len(words) >= FEWEST and answer:
                 if all(w in self.vocabulary for w in answer):
                     i = max(range(len(answer)), key=lambda i: self.idf[self.vocabulary[answer[i]]])
-                    self.asked.setdefault(self.vocabulary[answer[i]], []).append((k, i))
+                    asked.append((self.vocabulary[answer[i]], k, i))
                 else:
                     self.scanned.append(k)
-        self.asks = np.zeros(len(self.vocabulary) + 1, bool)
-        self.asks[list(self.asked)] = True
+        self.asked = np.array(sorted(asked), np.int64).reshape(-1, 3)
+        self.asked_from = np.searchsorted(self.asked[:, 0], np.arange(len(self.vocabulary) + 2))
+        self.asks = np.diff(self.asked_from)
         if basis is not None:
             self.latent = (basis * self.idf[:, None]).astype(np.float32)
             q = np.array([self.latent[r].sum(axis=0) for r in rows], np.float32).reshape(len(rows), basis.shape[1])
             self.queries = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-9)
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
+    def numbers(self, words: Iterable[bytes], many: int) -> np.ndarray:
         """Places of the words in the vocabulary; one place behind it for all others."""
-        return np.fromiter(map(self.vocabulary.get, words, repeat(len(self.vocabulary))), np.int32, len(words))
-
-    def answered(self, ids: np.ndarray, words: list[bytes]) -> Iterator[tuple[int, int]]:
-        """(item, place) where the answer of an item stands word for word."""
-        for at in np.flatnonzero(self.asks[ids]).tolist():
-            for k, i in self.asked[ids[at]]:
-                answer = self.items[k][2]
-                if at >= i and words[at - i:at - i + len(answer)] == answer:
-                    yield k, at - i
+        return np.fromiter(map(self.vocabulary.get, words, repeat(len(self.vocabulary))), np.int32, many)
+
+    def answered(self, ids: np.ndarray, text: np.ndarray, begin: np.ndarray, texts: list[list[bytes]]) -> Iterator[tuple[int, int, int]]:
+        """(text, item, place) where the answer of an item stands word for word, near half of the item's words."""
+        spans = self.half.spans
+        item, place = self.half(ids, text)
+        if not len(item):
+            return
+        # Places are told apart by stretches of the item's span; those with such a place and their neighbours count.
+        stretches = int(np.diff(begin).max()) // FEWEST + 3
+        stretch = lambda t, k, local: (t * len(self.items) + k) * stretches + local // spans[k] + 1
+        t = text[place]
+        near = np.unique(stretch(t, item, place - begin[t])[:, None] + (-1, 0, 1))
+        at = self.asks[ids].nonzero()[0]
+        many = self.asks[ids[at]]
+        _, k, i = self.asked[expand(self.asked_from[ids[at]], many)].T
+        t, at = text[at].repeat(many), at.repeat(many)
+        local = at - i - begin[t]
+        ok = (local >= 0) & np.isin(stretch(t, k, local), near)
+        for x in zip(t[ok].tolist(), k[ok].tolist(), local[ok].tolist(), strict=True):
+            answer = self.items[x[1]][2]
+            if texts[x[0]][x[2]:x[2] + len(answer)] == answer:
+                yield x
         if self.scanned:
-            joined = b" %s " % b" ".join(words)
-            for k in self.scanned:
-                part = b" %s " % b" ".join(self.items[k][2])
-                at = joined.find(part)
-                while at >= 0:
-                    yield k, joined.count(b" ", 0, at + 1) - 1
-                    at = joined.find(part, at + 1)
-
-    def candidates(self, ids: np.ndarray) -> dict[int, tuple[float, set[int]]]:
-        """Items near a window of the text: the best cosine, and the starts of the windows."""
+            known = set(near.tolist())
+            for t in np.unique(text[place]).tolist():
+                joined = b" %s " % b" ".join(texts[t])
+                for k in self.scanned:
+                    part = b" %s " % b" ".join(self.items[k][2])
+                    at = joined.find(part)
+                    while at >= 0:
+                        local = joined.count(b" ", 0, at + 1) - 1
+                        if int(stretch(t, k, local)) in known:
+                            yield t, k, local
+                        at = joined.find(part, at + 1)
+
+    def candidates(self, ids: np.ndarray, sizes: np.ndarray) -> list[dict[int, tuple[float, set[int]]]]:
+        """For each text the items near one of its windows: the best cosine, and the starts of the windows."""
         none = len(self.vocabulary)
-        cuts = np.arange(0, len(ids), STEP)
-        pair = lambda x: x[:-1] + x[1:] if len(x) > 1 else x  # noqa: E731  steps to windows
-        mass = self.masses[ids]
-        total = pair(np.add.reduceat(mass, cuts))
-        inside = pair(np.add.reduceat(np.where(ids == none, 0, mass), cuts))
-        hopeful = np.flatnonzero(inside >= MASS * total)
-        if not len(hopeful):
-            return {}
-        found: dict[int, tuple[float, set[int]]] = {}
-        for at in range(0, len(hopeful), 4096):
-            some = hopeful[at:at + 4096]
-            steps = np.unique(np.concatenate([some, np.minimum(some + 1, len(cuts) - 1)]))
-            place = np.searchsorted(steps, some), np.searchsorted(steps, np.minimum(some + 1, len(cuts) - 1))
-            take = (steps[:, None] * STEP + np.arange(STEP)).ravel()
-            near = ids[np.minimum(take, len(ids) - 1)]
-            used = np.flatnonzero((near != none) & (take < len(ids)))
-            step, first = np.unique(used // STEP, return_index=True)
-            sums = np.zeros((len(steps), self.latent.shape[1]), np.float32)
+        found: list[dict[int, tuple[float, set[int]]]] = [{} for _ in sizes]
+        steps = -(-sizes // STEP)
+        text = np.arange(len(sizes)).repeat(steps)
+        nth = expand(np.zeros_like(steps), steps)
+        cuts = (sizes.cumsum() - sizes)[text] + nth * STEP
+        many = np.diff(cuts, append=len(ids))
+        # A window is a step and the one behind it, or the only step of its text.
+        last = nth == steps[text] - 1
+        window = (~last | (nth == 0)).nonzero()[0]
+        pair = lambda x: np.where(last[window], x[window], x[window] + x[np.minimum(window + 1, len(cuts) - 1)])
+        hopeful = window[pair(np.add.reduceat(self.inside[ids], cuts)) >= MASS * pair(np.add.reduceat(self.masses[ids], cuts))]
+        for at in range(0, len(hopeful), 1024):
+            some = hopeful[at:at + 1024]
+            behind = np.where(last[some], some, some + 1)
+            both = np.union1d(some, behind)
+            near = ids[expand(cuts[both], many[both])]
+            used = (near != none).nonzero()[0]
+            step, first = np.unique(np.arange(len(both)).repeat(many[both])[used], return_index=True)
+            sums = np.zeros((len(both), self.latent.shape[1]), np.float32)
             sums[step] = np.add.reduceat(self.latent[near[used]], first)
-            x = np.where((place[0] == place[1])[:, None], sums[place[0]], sums[place[0]] + sums[place[1]])
+            x = sums[np.searchsorted(both, some)]
+            two = (behind > some).nonzero()[0]
+            x[two] += sums[np.searchsorted(both, behind[two])]
             cosine = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)) @ self.queries.T
-            for w, p in zip(*np.nonzero(cosine >= NEAR), strict=True):
-                k, start = self.owner[p], int(some[w]) * STEP
-                best, starts = found.get(k, (0.0, set()))
-                found[k] = max(best, float(cosine[w, p])), starts | {start}
+            w, p = (cosine >= NEAR).nonzero()
+            for t, start, passage, c in zip(text[some[w]].tolist(), (nth[some[w]] * STEP).tolist(), p.tolist(), cosine[w, p].tolist(), strict=True):
+                k = self.owner[passage]
+                best, starts = found[t].get(k, (0.0, set()))
+                found[t][k] = max(best, c), starts | {start}
         return found
 
     def leaks(self, text: str) -> list[tuple]:
-        words = words_of(text)
+        return next(self.leaks_of([text]))
+
+    def leaks_of(self, texts: Iterable[str]) -> Iterator[list[tuple]]:
+        """The leaks of each text. Texts are taken together until they have GROUP words, as much of the work is short calls."""
+        group, many = [], 0
+        for t in texts:
+            group.append(words_of(t))
+            many += len(group[-1])
+            if many >= GROUP:
+                yield from self._leaks_of(group, many)
+                group, many = [], 0
+        yield from self._leaks_of(group, many)
+
+    def _leaks_of(self, texts: list[list[bytes]], many: int) -> Iterator[list[tuple]]:
+        if not many or not self.passages:
+            yield from map(self._short, texts)
+            return
+        ids = self.numbers(chain.from_iterable(texts), many)
+        sizes = np.array([len(w) for w in texts], np.int64)
+        begin, text = np.append(0, sizes.cumsum()), np.arange(len(texts)).repeat(sizes)
+        of = [ids[a:b] for a, b in pairwise(begin.tolist())]
+        near = self.candidates(ids, sizes)
+        best = [{k: self._check(words, k, starts) for k, (_, starts) in found.items()} for words, found in zip(texts, near, strict=True)]
+        tried: list[set[tuple[int, int]]] = [set() for _ in texts]
+        p, place = self.close(ids, text)
+        t = text[place]
+        for p, t, place in zip(p.tolist(), t.tolist(), (place - begin[t]).tolist(), strict=True):
+            k = self.owner[p]
+            hit = self._check_passage(of[t], texts[t], p, place, tried[t])
+            if hit and (best[t].get(k) is None or hit[0] > best[t][k][0]):
+                best[t][k] = hit
+        for t, k, place in self.answered(ids, text, begin, texts):
+            n = len(self.items[k][1])
+            if best[t].get(k) is None:
+                best[t][k] = self._check(texts[t], k, {max(0, at) for at in range(place - n, place + 1, WINDOW)})
+        for t, words in enumerate(texts):
+            found = self._short(words)
+            for k, hit in best[t].items():
+                if hit:
+                    cosine = near[t][k][0] if k in near[t] else self._cosine(of[t][hit[2]:hit[3]], k)
+                    found.append((self.items[k][0], min(1.0, cosine), *hit))
+            yield sorted(found, key=lambda x: (x[0] is None, x[0] or 0, x[1:]))
+
+    def _short(self, words: list[bytes]) -> list[tuple]:
+        """Items of fewer than FEWEST words, which must stand there word for word."""
         found = []
         if self.short:
             joined = b" %s " % b" ".join(words)
@@ -204,26 +293,6 @@ class Index:
                 if at >= 0:
                     start = joined.count(b" ", 0, at + 1) - 1
                     found.append((i, 1.0, 1.0, True, start, start + len(item)))
-        if words and self.passages:
-            ids = self.numbers(words)
-            near = self.candidates(ids)
-            best = {k: self._check(words, k, starts) for k, (_, starts) in near.items()}
-            tried: set[tuple[int, int]] = set()
-            for p, place in self.close(ids):
-                k = self.owner[p]
-                hit = self._check_passage(ids, words, p, place, tried)
-                if hit and (best.get(k) is None or hit[0] > best[k][0]):
-                    best[k] = hit
-            spans = self.half.spans
-            half = {(k, place // spans[k] + d) for k, place in self.half(ids) for d in (-1, 0, 1)}
-            for k, place in self.answered(ids, words) if half else ():
-                n = len(self.items[k][1])
-                if best.get(k) is None and (k, place // spans[k]) in half:
-                    best[k] = self._check(words, k, {max(0, at) for at in range(place - n, place + 1, WINDOW)})
-            for k, hit in best.items():
-                if hit:
-                    cosine = near[k][0] if k in near else self._cosine(ids[hit[2]:hit[3]], k)
-                    found.append((self.items[k][0], min(1.0, cosine), *hit))
         return sorted(found, key=lambda x: (x[0] is None, x[0] or 0, x[1:]))
 
     def _cosine(self, ids: np.ndarray, k: int) -> float:
@@ -235,7 +304,7 @@ class Index:
     def _check(self, words: list[bytes], k: int, starts: set[int]) -> tuple | None:
         """The best region around the windows: share of the item's words in order, answer found, bounds."""
         _, item, answer = self.items[k]
-        n, bag = len(item), Counter(item)
+        n, bag = len(item), self.bags[k]
         best = None
         tried = set()
         for s in starts:
@@ -244,7 +313,7 @@ class Index:
                     continue
                 tried.add(at)
                 region = words[at:at + n + n // 2]
-                if sum((Counter(region) & bag).values()) < SHARE_WITH_ANSWER * n:
+                if not shares(region, bag, SHARE_WITH_ANSWER * n):
                     continue
                 share = common_subsequence(item, region) / n
                 if share >= SHARE or (share >= SHARE_WITH_ANSWER and contains(region, answer)):
@@ -257,13 +326,13 @@ class Index:
         k, passage = self.owner[p], self.passages[p]
         _, item, answer = self.items[k]
         n, step = len(passage), max(1, len(passage) // 4)
-        best, bag = None, Counter(passage)
+        best, bag = None, self.passage_bags[p]
         for at in range(max(0, place - n - n // 2 + 1) // step * step, place + 1, step):
             if (p, at) in tried:
                 continue
             tried.add((p, at))
             region = ids[at:at + n + n // 2].tolist()
-            if sum((Counter(region) & bag).values()) < SHARE * n:
+            if not shares(region, bag, SHARE * n):
                 continue
             share = common_subsequence(passage, region) / n
             if share >= SHARE and (best is None or share > best[0]):
@@ -375,11 +444,10 @@ def _search(shared):
         index = in_worker(_index, *shared.value)
         names = _LEAK.names if hasattr(_LEAK, "names") else [f.name for f in _LEAK]
         for batch in batches:
+            texts = (x.as_py() or "" for x in batch.column(0))
             found = []
-            for text, before in zip(batch.column(0), batch.column(batch.num_columns - 1), strict=True):
-                t = text.as_py()
-                new = [dict(zip(names, x, strict=True)) for x in index.leaks(t)] if t else []
-                found.append((before.as_py() or []) + new)
+            for leaks, before in zip(index.leaks_of(texts), batch.column(batch.num_columns - 1), strict=True):
+                found.append((before.as_py() or []) + [dict(zip(names, x, strict=True)) for x in leaks])
             yield pa.record_batch([*batch.columns[:-1], pa.array(found, pa.list_(_LEAK))], names=batch.schema.names)
     return run
 

@@ -1,6 +1,7 @@
 """Jaccard join, decontamination and the pipeline, against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -210,6 +211,42 @@ def test_passages_of_long_items():
     assert index.leaks(" ".join([*other[:150], *item[50:62], *other[150:300]])) == []
 
 
+def test_texts_searched_together(monkeypatch):
+    r = random.Random(9)
+    words, other = lexicon(r, 120), lexicon(r, 3000)
+    items = [(m, " ".join([*r.sample(words, m), ". " + r.choice(words)]), None) for m in (9, 20, 40, 90)]
+    items += [(200, " ".join(r.sample(words, 5)), None), (201, items[1][1], None), (202, " ".join(r.sample(words, 30)), "never seen " + other[0])]
+    texts = ["", " .,", other[0]]
+    for i in range(60):
+        item = items[i % len(items)][1].split()
+        changed = [other[i] if r.random() < i / 100 else w for w in item]
+        # Halves of an item end one text and begin the next: no leak of either.
+        texts += [" ".join([*r.sample(other, 30 * (i % 4)), *changed, "never seen " + other[0], *r.sample(other, 10 * (i % 3))]),
+                  " ".join([*r.sample(other, 40), *item[:len(item) // 3]]), " ".join([*item[len(item) // 3:len(item) // 2], *r.sample(words, i)])]
+    texts.insert(90, " ".join([*r.choices(other, k=3000), items[2][1], *r.choices(words, k=500)]))
+    index = full_index(items, texts)
+    calls = []
+    close = index.close
+    index.close = lambda ids, text: calls.append(len(ids)) or close(ids, text)
+    alone = [index.leaks(t) for t in texts]
+    for group in (1, 100, 1000, 10**6):
+        monkeypatch.setattr(dec, "GROUP", group)
+        calls.clear()
+        together = list(index.leaks_of(iter(texts)))
+        assert [[(x[0], *x[2:]) for x in found] for found in together] == [[(x[0], *x[2:]) for x in found] for found in alone]
+        assert all(abs(x[1] - y[1]) < 1e-5 for a, b in zip(together, alone, strict=True) for x, y in zip(a, b, strict=True))
+    assert calls == [sum(len(dec.words_of(t)) for t in texts)]
+    assert {x[0] for found in alone for x in found} == {i for i, *_ in items}
+
+
+def test_words_shared_with_a_bag():
+    r = random.Random(10)
+    for _ in range(500):
+        region, bag = r.choices("abcdef", k=r.randint(0, 12)), Counter(r.choices("abcdefgh", k=r.randint(0, 12)))
+        n = sum((Counter(region) & bag).values())
+        assert all(dec.shares(region, bag, least) == (n >= least) for least in (0, n - 0.5, n, n + 0.5, n + 1))
+
+
 def test_leaks_of_odd_rows(spark):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = dec.find_leaks(odd_docs(spark), benchmark, ["doc_id", "row", "text"])
