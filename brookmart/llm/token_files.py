@@ -17,9 +17,11 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.ipc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -29,8 +31,12 @@ from brookmart.llm.common import Scratch, in_worker, whole
 
 SEQUENCE, BATCH = 2048, 64
 CACHED_WORDS = 500_000
+#: Bytes of the texts, about, whose words are looked up together.
+BLOCK = 4 << 20
 #: Below this character, lower case does not depend on what stands around.
 LATIN = "\u0250"
+#: Characters that end a piece behind a letter; words are remembered without them.
+MARKS = frozenset(".,")
 #: The one letter below it whose lower case does not end in a letter.
 DOTTED = "\u0130"
 #: A byte's name in byte-level vocabularies is its own character if that prints, else one of those from U+0100 on, in order.
@@ -62,8 +68,8 @@ class WordEncoder:
     A capital I with a dot keeps its mark, for its lower case ends in a combining dot, which is no letter.
     With ``special_tokens``, as in files, the tokenizer's special tokens in a text are told, as encoding the whole text does; words with one
     are left as they are, as their case counts. The normaliser leaves lower-case Latin stems alone, so the file's model gets the
-    pieces of those without an apostrophe at once, by the names of their bytes. When ``CACHED_WORDS`` are remembered, those met in one block only are
-    forgotten. That changes nothing but speed.
+    pieces of those without an apostrophe at once, by the names of their bytes. Of ``CACHED_WORDS``, half are the newest; when
+    there are more, the half before them is forgotten, but for words met since. That changes nothing but speed.
     """
 
     def __init__(self, tokenizer_file: str, dtype: str, special_tokens: bool = False):
@@ -76,17 +82,42 @@ class WordEncoder:
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
         self.dtype = dtype
         self.known: dict[str, bytes] = {}
-        self.again: set[str] = set()
+        self.before: dict[str, bytes] = {}
 
-    def _learn(self, words: set[str]) -> None:
-        known, later, single, new = self.known, [], set(), set()
+    def _learn(self, words: list[str]) -> None:
+        known, single, new = self.known, set(), set()
+        later, lows, marks = [], [], []
         joined = "\n".join(words).lower() if self.special else ""
         special = [t for t in self.special if t in joined]
+        if not special:
+            # Nearly all words are letters of ASCII with a mark or without; these need none of the tests below.
+            rest = []
+            for w in words:
+                mark = ""
+                if not w.isascii():
+                    rest.append(w)
+                    continue
+                if w.isalpha():
+                    low = w.lower()
+                elif w[-1:] in MARKS and w[:-1].isalpha():
+                    low, mark = w[:-1].lower(), w[-1]
+                    if mark not in known:
+                        new.add(mark)
+                else:
+                    rest.append(w)
+                    continue
+                if low not in known:
+                    single.add(low)
+                if low != w:
+                    later.append(w)
+                    lows.append(low)
+                    marks.append(mark)
+            words = rest
         for w in words:
             latin = w.isascii() or max(w) < LATIN
             stem, mark = w, ""
             if not w.isalpha():
-                if w[-1:] in (".", ",") and w[-2:-1] < LATIN and w[-2:-1].isalpha() and w[-2] != DOTTED:
+                if w[-1:] in MARKS and w[-2:-1] < LATIN and w[-2:-1].isalpha() and w[-2] != DOTTED:
                     stem, mark = w[:-1], w[-1]
                     latin = latin or max(stem) < LATIN
             if special and any(t in w.lower() for t in special):
@@ -96,7 +127,9 @@ class WordEncoder:
                 # Lower case of a Latin letter may be a letter of another block, or a letter with a combining mark.
                 (single if latin and PLAIN.fullmatch(low) else new).add(low)
             if low is not w and low != w:
-                later.append((w, low, mark))
+                later.append(w)
+                lows.append(low)
+                marks.append(mark)
                 if mark and mark not in known:
                     new.add(mark)
         todo = list(new)
@@ -113,20 +146,36 @@ class WordEncoder:
         for x, end in zip([*single, *todo], ends, strict=True):
             known[x] = flat[at * size:end * size]
             at = end
-        for w, low, mark in later:
+        for w, low, mark in zip(later, lows, marks, strict=True):
             known[w] = known[low] + known[mark] if mark else known[low]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        if len(self.known) > CACHED_WORDS:
-            self.known = {w: self.known[w] for w in self.again} if len(self.again) <= CACHED_WORDS // 2 else {}
-            self.again = set()
-        met = words & self.known.keys()
-        self.again |= met
-        self._learn(words - met)
-        known = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(known, w)), dtype=self.dtype) for w in split]
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        """The ids of each text. Arrow cuts and numbers the words, so only the different ones of a block are looked up."""
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.large_string())
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # many times faster than to_pylist
+        if len(self.known) > CACHED_WORDS // 2:
+            self.before, self.known = self.known, {}
+        found = list(map(self.known.get, distinct))
+        if missing := [i for i, x in enumerate(found) if x is None]:
+            words = [distinct[i] for i in missing]
+            again = list(map(self.before.get, words))
+            self.known.update((w, x) for w, x in zip(words, again, strict=True) if x is not None)
+            self._learn([w for w, x in zip(words, again, strict=True) if x is None])
+            for i, w in zip(missing, words, strict=True):
+                found[i] = self.known[w]
+        flat = np.frombuffer(b"".join(found), dtype=self.dtype)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // flat.itemsize
+        word = coded.indices.to_numpy()
+        many = sizes[word]
+        ends = many.cumsum()
+        # Each word's place in the ids of the different ones, less its place in those of the texts.
+        shift = (sizes.cumsum() - sizes)[word] - ends + many
+        ids = flat[np.arange(many.sum()) + shift.repeat(many)]
+        borders = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return [ids[a:b] for a, b in pairwise(np.append(0, ends)[borders].tolist())]
 
 
 def _write_shard(folder: str, part: int, batches, tokenizer_file: str, dtype: str, end_id: int, length: int) -> pa.RecordBatch:
@@ -159,10 +208,11 @@ def _write_shard(folder: str, part: int, batches, tokenizer_file: str, dtype: st
                 ], schema=schema))
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
+            rows_at_once = max(1, batch.num_rows * BLOCK // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, rows_at_once):
+                piece = batch.slice(at, rows_at_once)
                 rows = []
-                for ids in encoder.encode(piece.column(1).to_pylist()):
+                for ids in encoder.encode(piece.column(1)):
                     queue += [ids, end]
                     rows.append(len(ids) + 1)
                 sizes = np.array(rows, np.int64)

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,32 @@ def test_files_hold_the_ids_of_whole_texts():
     assert encoder.encode(["<|endoftext|>"])[0].tolist() == [49407]
 
 
+def test_words_are_looked_up_once_a_block(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 60)
+    r, plain = random.Random(3), Tokenizer.from_file(tokenizer_file())
+    encoder = token_files._words(tokenizer_file(), "<u2")
+    looked = []
+
+    class Counted(dict):
+        def get(self, word, default=None):
+            looked.append(word)
+            return super().get(word, default)
+
+    stems = ["".join(r.choice("abe\u00f1\u0130\u00c9K0'\u0416") for _ in range(r.randint(1, 5))) for _ in range(40)] + ["", ".", ",", "...", "a.b", "\t", "[CLS]"]
+    for k in range(40):
+        texts = [r.choice(["", "\n", " "]).join(r.choice([" ", "\n", "  "]) + r.choice(stems) + r.choice(["", "", ".", ",", ".,"]) for _ in range(r.randint(0, 90))) for _ in range(r.randint(1, 8))]
+        encoder.known, encoder.before = Counted(encoder.known), dict(encoder.before)
+        looked.clear()
+        got = encoder.encode(pa.array(["cut off", *texts]).slice(1))
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in got] == want
+        words = {w for t in texts for w in t.replace("\n", " ").split(" ")}
+        assert len(looked) == len(words) and words <= encoder.known.keys()
+    assert token_files.WordEncoder(tokenizer_file(), "<u2").encode([]) == []
+
+
 def test_token_files_round_trip(spark, tmp_path, monkeypatch):
     from tokenizers import Tokenizer
 
