@@ -218,8 +218,8 @@ class Index:
         window = (~last | (nth == 0)).nonzero()[0]
         pair = lambda x: np.where(last[window], x[window], x[window] + x[np.minimum(window + 1, len(cuts) - 1)])
         hopeful = window[pair(np.add.reduceat(self.inside[ids], cuts)) >= MASS * pair(np.add.reduceat(self.masses[ids], cuts))]
-        for at in range(0, len(hopeful), 1024):
-            some = hopeful[at:at + 1024]
+        for at in range(0, len(hopeful), 4096):
+            some = hopeful[at:at + 4096]
             behind = np.where(last[some], some, some + 1)
             both = np.union1d(some, behind)
             near = ids[expand(cuts[both], many[both])]
@@ -276,10 +276,12 @@ class Index:
                 best[t][k] = self._check(texts[t], k, {max(0, at) for at in range(place - n, place + 1, WINDOW)})
         for t, words in enumerate(texts):
             found = self._short(words)
-            for k, hit in best[t].items():
-                if hit:
-                    cosine = near[t][k][0] if k in near[t] else self._cosine(of[t][hit[2]:hit[3]], k)
-                    found.append((self.items[k][0], min(1.0, cosine), *hit))
+            hits = {k: hit for k, hit in best[t].items() if hit}
+            # Products of several texts are rounded otherwise; what is told is the cosine in the text alone.
+            alone = self.candidates(of[t], sizes[t:t + 1])[0] if len(texts) > 1 and hits.keys() & near[t].keys() else near[t]
+            for k, hit in hits.items():
+                cosine = alone[k][0] if k in alone else self._cosine(of[t][hit[2]:hit[3]], k)
+                found.append((self.items[k][0], min(1.0, cosine), *hit))
             yield sorted(found, key=lambda x: (x[0] is None, x[0] or 0, x[1:]))
 
     def _short(self, words: list[bytes]) -> list[tuple]:
