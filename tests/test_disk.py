@@ -92,3 +92,23 @@ def test_only_keys_that_come_again_are_shuffled_whole(spark, tmp_path, monkeypat
     monkeypatch.setattr(versions, "MORE", 100)
     plan = once.read(spark)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and once.read(spark).count() == 1_000
+
+
+def test_a_large_topic_is_written_one_micro_batch_after_the_other(spark, tmp_path, monkeypatch):
+    rows = spark.range(0, 9_000).select("id", (F.col("id") * 60_000).alias("ts"))
+    monkeypatch.setattr(streams, "AT_ONCE", 100)
+    shuffled = []
+    whole = type(rows).repartitionById
+    monkeypatch.setattr(type(rows), "repartitionById", lambda df, *a: shuffled.append(a[0]) or whole(df, *a))
+    topic, spans = streams._topic(spark, rows, str(tmp_path), "t", per_file=500), []
+    topic.writeStream.foreachBatch(lambda b, n: spans.append(tuple(b.agg(F.count("*"), F.min("id"), F.max("id")).first()))).trigger(
+        availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start().awaitTermination()
+    assert shuffled == [6] * streams.FILES and len(spark.read.parquet(f"{tmp_path}/topic-t").inputFiles()) == 18
+    assert len(spans) == streams.FILES and sum(n for n, _, _ in spans) == 9_000 and all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+
+
+def test_stream_queries_leave_no_topic_or_state(spark, tmp_path, monkeypatch):
+    for name in ("live_sku_order_lines", "live_registrations"):
+        monkeypatch.setattr(streams, "shared_folder", lambda s, purpose: f"{tmp_path}/{name}")
+        assert streams.STREAMS[name](spark, SF).count() > 0
+        assert children(spark, f"{tmp_path}/{name}") == ["windows"]
