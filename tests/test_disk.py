@@ -1,10 +1,10 @@
 """What a run leaves and shuffles: consumed folders, history that meets nothing new, keys that come once."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from brookmart import samples
-from brookmart.plans import live, trade
-from brookmart.registry import streams
+from brookmart.plans import live
+from brookmart.registry import batch, streams
 from brookmart.sinks import versions
 from brookmart.sinks.files import children
 from brookmart.sinks.versions import VersionedTable
@@ -112,3 +112,18 @@ def test_stream_queries_leave_no_topic_or_state(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(streams, "shared_folder", lambda s, purpose: f"{tmp_path}/{name}")
         assert streams.STREAMS[name](spark, SF).count() > 0
         assert children(spark, f"{tmp_path}/{name}") == ["windows"]
+
+
+@pytest.mark.parametrize("name", [
+    "order_wide", "orders_placed", "orders_cancelled", "refund_requests_wide", "refunds_paid_wide", "sku_orders", "sku_orders_dedup"])
+def test_wide_queries_of_many_lines_by_parts_of_the_orders(spark, name, tmp_path, monkeypatch):
+    text = lambda df: sorted(map(str, df.collect()))
+    whole = batch.BATCH[name](spark, SF)
+    want = text(whole)
+    monkeypatch.setattr(batch, "LINES_AT_ONCE", 2_500)
+    monkeypatch.setattr(batch, "shared_folder", lambda s, purpose: f"{tmp_path}/{purpose}")
+    settings = {n: spark.conf.get(n, None) for n in batch.WRITTEN}
+    got = batch.BATCH[name](spark, SF)
+    assert children(spark, f"{tmp_path}/by-orders") == ["rows"] and len(children(spark, f"{tmp_path}/by-orders/rows")) == 3
+    assert got.columns == whole.columns and text(got) == want and len(want) > 0
+    assert {n: spark.conf.get(n, None) for n in batch.WRITTEN} == settings
